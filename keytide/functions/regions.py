@@ -26,7 +26,8 @@ REGIONS = (
 
 def region_table(spark: SparkSession) -> DataFrame:
     """identifier, longName, areaCode: one row per region."""
-    return spark.createDataFrame(list(REGIONS), "identifier string, longName string, areaCode string")
+    rows = ", ".join(f"('{code}', '{name}', '{prefix}')" for code, name, prefix in REGIONS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS regions(identifier, longName, areaCode)")
 
 
 def region_field(index: Column, field: int) -> Column:

@@ -23,18 +23,17 @@ def flag_repeats(
 ) -> DataFrame:
     """Every record as it came, with ``epoch`` one higher if its key was seen before.
 
-    The order columns identify a row, so a row is the first of its key exactly when it meets
-    its key's entry in the table of first positions. Few keys: that table is broadcast and the
-    log does not move. Many: the join is by key and position, which spreads a hot key evenly.
+    The order columns identify a row, so a row is the first of its key exactly when its position
+    is in the table of first positions. Few keys: that table is broadcast and the log does not
+    move. Many: the join is by position, which spreads a hot key evenly.
     """
     firsts = written_table(
         first_by_key(log, [key], list(order), order).select(
-            F.col(key).alias("_key"), *[F.col(name).alias(f"_first_{name}") for name in order]
+            *[F.col(name).alias(f"_first_{name}") for name in order]
         ),
         "first-positions",
     )
-    same = [F.col(key).eqNullSafe(F.col("_key"))]
-    same += [F.col(name) == F.col(f"_first_{name}") for name in order]
+    same = [F.col(name) == F.col(f"_first_{name}") for name in order]
     side = F.broadcast(firsts) if fits_broadcast(firsts, limits) else firsts.hint("merge")
     repeat = F.when(F.col(f"_first_{order[0]}").isNull(), F.lit(1)).otherwise(F.lit(0))
     marked = log.join(side, same, "left").withColumn("epoch", F.col("epoch") + repeat)

@@ -37,7 +37,7 @@ def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
 
 
 def read_committed(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of committed batches, with their ``batch_id``; other folders are pruned."""
+    """Rows of committed batches, with their ``batch_id``."""
     rows = spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(f"{root}/{table}")
     commits = spark.read.schema(T.StructType([T.StructField("id", T.LongType()), _BATCH])).parquet(
         f"{root}/{COMMITS}"

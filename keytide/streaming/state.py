@@ -43,13 +43,14 @@ class FlagRepeats(StatefulProcessor):
             if not seen:
                 # Only the earliest row so far is held back, whatever the number of rows.
                 pool = frame if first is None else pd.concat([first, frame])
-                pool = pool.sort_values(self._order)
+                if len(pool) > 1:
+                    pool = pool.sort_values(self._order)
                 first, frame = pool.iloc[:1], pool.iloc[1:]
             if len(frame):
                 yield frame.assign(epoch=frame["epoch"] + 1)
         if first is not None:
             yield first
-        self._seen.update((True,))
+            self._seen.update((True,))
 
     def close(self) -> None:
         pass
