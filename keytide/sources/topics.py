@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from keytide.schemas import record
 
@@ -22,23 +22,33 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def end_of_log(log: DataFrame, position: str = "off") -> int:
+    """The position the next record will have at the least."""
+    last = log.agg(F.max(position)).first()[0]
+    return 0 if last is None else last + 1
+
+
 def stream_log(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     *,
-    latest: bool = False,
+    start: int | None = None,
+    position: str = "off",
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """The same log as a stream, from its beginning or (``latest``) only what arrives later.
+    """The same log as a stream, from its beginning or from the position ``start``.
 
-    One of the two batch bounds keeps a micro-batch, and with it the share of one key that a
-    stateful operator meets at once, to a chosen size.
+    To see only what arrives from now on, start at ``end_of_log`` and keep that number for
+    restarts, or records written in between would be skipped. One of the two batch bounds keeps
+    a micro-batch, and with it the share of one key that a stateful operator meets at once, to
+    a chosen size.
     """
-    reader = spark.readStream.schema(schema).option("includeExistingFiles", str(not latest).lower())
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    return reader.parquet(path)
+    log = reader.parquet(path)
+    return log if start is None else log.where(F.col(position) >= start)

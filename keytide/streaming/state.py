@@ -1,6 +1,7 @@
 """Repeated-key operators on unbounded streams, as state per key.
 
-State grows with the number of keys; ``ttl_ms`` lets idle keys go (off by default). A task
+State grows with the number of keys; ``ttl_ms`` lets idle keys go (off by default). Such a
+query keeps running empty batches to expire keys, so it must not be started with ``once``. A task
 meets one key's share of one micro-batch, so bound the batch at the source
 (``files_per_batch`` / ``bytes_per_batch``). Where only the newest outcome per key matters, use
 ``dedup.latest_repeat``: it pre-aggregates and does not mind hot keys.
