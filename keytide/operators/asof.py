@@ -70,13 +70,8 @@ def _by_merge(
         "_key", F.col("_from").alias("_at"), F.lit(0).alias("_side"), F.lit(0).cast("bigint").alias("_off"), "_version"
     )
     merged = rows.unionByName(marks, allowMissingColumns=True)
-    filled = ordered.apply_in_order(
-        merged,
-        ["_key"],
-        ["_at", "_side", "_off"],
-        lambda piece, scope: ordered.last_value(piece, scope, F.col("_version"), "_current"),
-        limits,
-    )
+    carry_forward = ordered.last_value("_version", "_current")
+    filled = ordered.apply_in_order(merged, ["_key"], ["_at", "_side", "_off"], carry_forward, limits)
     found = filled.where(F.col("_side") == 1)
     if how == "inner":
         found = found.where(F.col("_current").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keytide.functions.logs import ARRIVAL
 from keytide.operators import ordered
@@ -58,15 +58,8 @@ def count_repeats(
     ``fields`` are the record's columns; key and order columns stay those of the incoming row.
     """
 
-    def step(rows: DataFrame, scope: ordered.Scope) -> DataFrame:
-        numbered = ordered.number_rows(rows, scope, "_n")
-        before = ordered.last_value(numbered, scope, F.col(identity), "_before", before=True)
-        starts = F.col("_before").isNull() | (F.col("_before") != F.col(identity))
-        marked = before.withColumn("_start", F.when(starts, F.struct("_n", *fields)))
-        return ordered.last_value(marked, scope, F.col("_start"), "_stored").drop("_before", "_start")
-
     others = [name for name in log.columns if name not in fields]
-    done = ordered.apply_in_order(log, [key], order, step, limits)
+    done = ordered.apply_in_order(log, [key], order, _runs(fields, identity), limits)
     since = (F.col("_n") - F.col("_stored._n")).cast("int")
     kept = [
         (F.col("_stored.epoch") + since).alias("epoch") if name == "epoch" else F.col(f"_stored.{name}").alias(name)
@@ -75,6 +68,46 @@ def count_repeats(
     return done.select(*others, *kept).select(*log.columns)
 
 
+def _runs(fields: Sequence[str], identity: str) -> ordered.Step:
+    """Number the rows (``_n``) and give each the first record of its run (``_stored``)."""
+
+    def local(rows: DataFrame, scope: ordered.Scope) -> DataFrame:
+        same = F.lag(identity).over(scope.ordered) == F.col(identity)
+        marked = rows.withColumn("_n", F.row_number().over(scope.ordered).cast("bigint")).withColumn(
+            "_start", F.when(~F.coalesce(same, F.lit(False)), F.struct("_n", *fields))
+        )
+        done = marked.withColumn("_stored", F.last("_start", ignorenulls=True).over(scope.so_far)).drop("_start")
+        return done.withColumn("_opening", F.first(identity).over(scope.so_far)) if scope.segmented else done
+
+    def finish(rows: DataFrame, ends: DataFrame, scope: ordered.Scope) -> DataFrame:
+        # The first run of a segment may go on from the segment before. Then its true start is
+        # the newest run start among the earlier segments.
+        def shifted(by: Column) -> Column:
+            return F.struct((F.col("_stored._n") + by).alias("_n"), *[F.col(f"_stored.{name}") for name in fields])
+
+        first_run = F.col("_stored._n") == 1
+        linked = ends.select(
+            *scope.group,
+            "_stored",
+            F.coalesce(F.sum("_n").over(scope.earlier_segments), F.lit(0)).alias("_base"),
+            F.coalesce(F.lag(identity).over(scope.by_segment) == F.col("_opening"), F.lit(False)).alias("_goes_on"),
+        )
+        begun = F.when(~(F.col("_goes_on") & first_run), shifted(F.col("_base")))
+        inherited = F.last(begun, ignorenulls=True).over(scope.earlier_segments)
+        carry = linked.select(
+            *scope.group, "_base", F.when(F.col("_goes_on"), inherited).alias("_inherited")
+        ).where(F.col("_base") > 0)
+        attached = scope.attach(rows, carry).withColumn("_base", F.coalesce(F.col("_base"), F.lit(0)))
+        stored = F.when(first_run & F.col("_inherited").isNotNull(), F.col("_inherited"))
+        return (
+            attached.withColumn("_stored", stored.otherwise(shifted(F.col("_base"))))
+            .withColumn("_n", F.col("_n") + F.col("_base"))
+            .drop("_base", "_inherited", "_opening")
+        )
+
+    return ordered.Step(local, finish)
+
+
 def latest_repeat(log: DataFrame, fields: Sequence[str], key: str = "key", order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Only the newest outcome of ``count_repeats`` per key, as one aggregate.
 

@@ -2,8 +2,9 @@
 
 A window per key sends all rows of the key to one task. That is fine up to
 ``Limits.hot_rows``. Rows of larger keys are cut by ``repartitionByRange(key, order)`` into
-segments of about ``Limits.segment_rows`` rows; windows then run per (key, segment), and what
-the earlier segments of the key contribute comes from one summary row per (key, segment).
+segments of about ``Limits.segment_rows`` rows. Windows then run per (key, segment), their
+result is written once, and what the earlier segments of the key contribute is read off the
+last row of each segment.
 
 Range segments of a key are contiguous, so at most ``segments - 1`` (key, segment) pairs have
 an earlier segment of the same key. That bounds every carried table, which is why those are
@@ -14,14 +15,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keytide.functions.logs import position
 from keytide.settings import DEFAULT_LIMITS, Limits, written_table
 
 SEGMENT = "_segment"
-_Step = Callable[[DataFrame, "Scope"], DataFrame]
+_LAST = "_last"
 
 
 class Scope:
@@ -30,24 +31,29 @@ class Scope:
     def __init__(self, keys: Sequence[str], order: Sequence[str], segmented: bool):
         self.keys, self.order, self.segmented = list(keys), list(order), segmented
         self.group = [*self.keys, SEGMENT] if segmented else self.keys
+        self.ordered = Window.partitionBy(*self.group).orderBy(*self.order)
+        self.so_far = self.ordered.rowsBetween(Window.unboundedPreceding, 0)
+        self.by_segment = Window.partitionBy(*self.keys).orderBy(SEGMENT)
+        self.earlier_segments = self.by_segment.rowsBetween(Window.unboundedPreceding, -1)
+
+    def attach(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """Add the carried columns (at most one row per segment) to the rows they apply to."""
+        renamed = carry.withColumnsRenamed({name: f"_c_{name}" for name in self.group})
+        same = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in self.group]
+        joined = rows.join(F.broadcast(renamed), same, "left")
+        return joined.drop(*[f"_c_{name}" for name in self.group])
 
-    def window(self, first: int, last: int):
-        return Window.partitionBy(*self.group).orderBy(*self.order).rowsBetween(first, last)
 
-    def earlier_segments(self):
-        return (
-            Window.partitionBy(*self.keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-        )
+@dataclass(frozen=True)
+class Step:
+    """What to compute within a key.
 
-    def with_carry(self, df: DataFrame, carry: DataFrame) -> DataFrame:
-        """Attach the carried columns (at most one row per segment) to the rows they apply to."""
-        renamed = carry.select(
-            *[F.col(name).alias(f"_c_{name}") for name in self.group],
-            *[name for name in carry.columns if name not in self.group],
-        )
-        same = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in self.group]
-        joined = df.join(F.broadcast(renamed), same, "left")
-        return joined.drop(*[f"_c_{name}" for name in self.group])
+    ``local`` adds columns by windows of the scope; for whole keys that is the answer. For cut
+    keys ``finish`` corrects them, given the last row of every segment.
+    """
+
+    local: Callable[[DataFrame, Scope], DataFrame]
+    finish: Callable[[DataFrame, DataFrame, Scope], DataFrame]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame | None:
@@ -75,7 +81,7 @@ def apply_in_order(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    step: _Step,
+    step: Step,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Run ``step`` within each key in order; rows of hot keys are segmented first.
@@ -85,64 +91,64 @@ def apply_in_order(
     whole = Scope(keys, order, segmented=False)
     if not keys:
         total = df.count()
-        if total <= limits.hot_rows:
-            return step(df, whole)
-        return step(_segments(df, keys, order, total, limits), Scope(keys, order, True)).drop(SEGMENT)
+        return step.local(df, whole) if total <= limits.hot_rows else _in_segments(df, keys, order, step, total, limits)
     hot = hot_keys(df, keys, limits)
     if hot is None:
-        return step(df, whole)
+        return step.local(df, whole)
     flagged = flag_hot(df, keys, hot, "_hot")
-    cold = step(flagged.where(F.col("_hot").isNull()).drop("_hot"), whole)
+    cold = step.local(flagged.where(F.col("_hot").isNull()).drop("_hot"), whole)
     hot_total = hot.agg(F.sum("_rows")).first()[0]
-    pieces = _segments(flagged.where(F.col("_hot")).drop("_hot"), keys, order, hot_total, limits)
-    return cold.unionByName(step(pieces, Scope(keys, order, True)).drop(SEGMENT))
+    large = flagged.where(F.col("_hot")).drop("_hot")
+    return cold.unionByName(_in_segments(large, keys, order, step, hot_total, limits))
 
 
-def _segments(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int, limits: Limits
+def _in_segments(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, total: int, limits: Limits
 ) -> DataFrame:
+    scope = Scope(keys, order, segmented=True)
     pieces = min(max(2, math.ceil(total / limits.segment_rows)), limits.segments)
-    ranged = df.repartitionByRange(pieces, *keys, *order)
-    # Written, because the segment number must not change between the summary and the rows.
-    return written_table(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments")
+    cut = df.repartitionByRange(pieces, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+    local = step.local(cut, scope).withColumn(_LAST, F.lead(F.lit(True)).over(scope.ordered).isNull())
+    # Written, so that rows and segment ends agree, and the windows run once.
+    written = written_table(local, "segments")
+    ends = written.where(F.col(_LAST)).drop(_LAST)
+    return step.finish(written.drop(_LAST), ends, scope).drop(SEGMENT)
 
 
-def number_rows(df: DataFrame, scope: Scope, out: str) -> DataFrame:
+def numbered(out: str) -> Step:
     """1, 2, 3, … within the key."""
-    numbered = df.withColumn(
-        out,
-        F.row_number().over(Window.partitionBy(*scope.group).orderBy(*scope.order)).cast("bigint"),
+    return Step(
+        lambda rows, scope: rows.withColumn(out, F.row_number().over(scope.ordered).cast("bigint")),
+        lambda rows, ends, scope: _plus_earlier(rows, ends, scope, out),
     )
-    return _add_carried_sum(numbered, df, scope, F.count(F.lit(1)), out) if scope.segmented else numbered
 
 
-def running_sum(df: DataFrame, scope: Scope, value: Column, out: str) -> DataFrame:
+def running_sum(value: str | Column, out: str) -> Step:
     """Sum of ``value`` over this and all earlier rows of the key."""
-    summed = df.withColumn(out, F.sum(value).over(scope.window(Window.unboundedPreceding, 0)))
-    return _add_carried_sum(summed, df, scope, F.sum(value), out) if scope.segmented else summed
-
-
-def _add_carried_sum(df: DataFrame, rows: DataFrame, scope: Scope, total: Column, out: str) -> DataFrame:
-    totals = rows.groupBy(*scope.group).agg(total.alias("_total"))
-    carry = totals.select(
-        *scope.group, F.sum("_total").over(scope.earlier_segments()).alias("_carried")
-    ).where(F.col("_carried").isNotNull())
-    attached = scope.with_carry(df, carry)
-    return attached.withColumn(
-        out, F.col(out) + F.coalesce(F.col("_carried"), F.lit(0))
-    ).drop("_carried")
-
-
-def last_value(df: DataFrame, scope: Scope, value: Column, out: str, *, before: bool = False) -> DataFrame:
-    """The newest non-null ``value`` up to this row, or only before it."""
-    frame = scope.window(Window.unboundedPreceding, -1 if before else 0)
-    filled = df.withColumn(out, F.last(value, ignorenulls=True).over(frame))
-    if not scope.segmented:
-        return filled
-    where_set = F.when(value.isNotNull(), position(scope.order))
-    ends = df.groupBy(*scope.group).agg(F.max_by(value, where_set).alias("_end"))
-    carry = ends.select(
-        *scope.group, F.last("_end", ignorenulls=True).over(scope.earlier_segments()).alias("_carried")
-    ).where(F.col("_carried").isNotNull())
-    attached = scope.with_carry(filled, carry)
-    return attached.withColumn(out, F.coalesce(F.col(out), F.col("_carried"))).drop("_carried")
+    return Step(
+        lambda rows, scope: rows.withColumn(out, F.sum(value).over(scope.so_far)),
+        lambda rows, ends, scope: _plus_earlier(rows, ends, scope, out),
+    )
+
+
+def _plus_earlier(rows: DataFrame, ends: DataFrame, scope: Scope, out: str) -> DataFrame:
+    carry = ends.select(*scope.group, F.sum(out).over(scope.earlier_segments).alias("_carried"))
+    attached = scope.attach(rows, carry.where(F.col("_carried").isNotNull()))
+    total = F.when(F.col("_carried").isNull(), F.col(out)).otherwise(
+        F.col("_carried") + F.coalesce(F.col(out), F.lit(0))
+    )
+    return attached.withColumn(out, total).drop("_carried")
+
+
+def last_value(value: str | Column, out: str) -> Step:
+    """The newest non-null ``value`` up to this row."""
+
+    def finish(rows: DataFrame, ends: DataFrame, scope: Scope) -> DataFrame:
+        newest = F.last(out, ignorenulls=True).over(scope.earlier_segments)
+        carry = ends.select(*scope.group, newest.alias("_carried"))
+        attached = scope.attach(rows, carry.where(F.col("_carried").isNotNull()))
+        return attached.withColumn(out, F.coalesce(F.col(out), F.col("_carried"))).drop("_carried")
+
+    return Step(
+        lambda rows, scope: rows.withColumn(out, F.last(value, ignorenulls=True).over(scope.so_far)), finish
+    )

@@ -71,10 +71,4 @@ def latest_with_deletes(
 def batch_counts(log: DataFrame, poll_size: int, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Records per poll of ``poll_size``, and records read so far."""
     counts = log.groupBy(F.expr(f"off div {poll_size}").alias("batch")).agg(F.count(F.lit(1)).alias("records"))
-    return ordered.apply_in_order(
-        counts,
-        [],
-        ["batch"],
-        lambda rows, scope: ordered.running_sum(rows, scope, F.col("records"), "total"),
-        limits,
-    )
+    return ordered.apply_in_order(counts, [], ["batch"], ordered.running_sum("records", "total"), limits)

@@ -27,20 +27,31 @@ def expected(made):
         by_key.setdefault(key, []).append((off, value))
     out = {}
     for key, rows in by_key.items():
-        last, total = None, 0
+        last, total = None, None
         for n, (off, value) in enumerate(sorted(rows, key=lambda row: row[0]), 1):
-            before, last = last, value if value is not None else last
-            total += value or 0
-            out[off] = (key, n, last, before, total)
+            last = value if value is not None else last
+            total = total if value is None else (total or 0) + value
+            out[off] = (key, n, last, total)
     return out
 
 
-def everything(rows, scope):
-    value = F.col("value")
-    rows = ordered.number_rows(rows, scope, "n")
-    rows = ordered.last_value(rows, scope, value, "last")
-    rows = ordered.last_value(rows, scope, value, "before", before=True)
-    return ordered.running_sum(rows, scope, F.coalesce(value, F.lit(0)), "total")
+STEPS = [
+    ordered.numbered("n"),
+    ordered.last_value("value", "last"),
+    ordered.running_sum("value", "total"),
+]
+
+
+def each_local(rows, scope):
+    for step in STEPS:
+        rows = step.local(rows, scope)
+    return rows
+
+
+def each_finish(rows, ends, scope):
+    for step in STEPS:
+        rows = step.finish(rows, ends, scope)
+    return rows
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -56,16 +67,15 @@ def everything(rows, scope):
 )
 def test_steps_equal_a_loop(spark, seed, limits):
     made, log = log_of(spark, seed)
-    done = ordered.apply_in_order(log, ["key"], ["off"], everything, limits)
-    got = {r.off: (r.key, r.n, r["last"], r.before, r.total) for r in done.collect()}
+    done = ordered.apply_in_order(log, ["key"], ["off"], ordered.Step(each_local, each_finish), limits)
+    got = {r.off: (r.key, r.n, r["last"], r.total) for r in done.collect()}
     assert got == expected(made)
 
 
 def test_without_keys_the_log_is_one_group(spark):
     log = spark.range(500).select((F.lit(499) - F.col("id")).alias("off"), F.col("id").alias("value")).repartition(7)
-    step = lambda rows, scope: ordered.number_rows(rows, scope, "n")
     for limits in (Limits(), Limits(hot_rows=10, segment_rows=30)):
-        got = ordered.apply_in_order(log, [], ["off"], step, limits).collect()
+        got = ordered.apply_in_order(log, [], ["off"], ordered.numbered("n"), limits).collect()
         assert sorted((r.off, r.n) for r in got) == [(i, i + 1) for i in range(500)]
         counts = tables.batch_counts(log, 30, limits).orderBy("batch").collect()
         assert [r.total for r in counts] == [min(500, 30 * (i + 1)) for i in range(17)]
