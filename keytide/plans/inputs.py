@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keytide.functions.regions import REGIONS, region_field, region_table
 from keytide.schemas import TABLES
-from keytide.sources import generators
+from keytide.sources import generators, topics
 
 # Regions missing from the snapshot table, so that inner and left joins differ.
 GAPS = ("HK", "IS")
@@ -16,9 +16,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, **bounds) -> DataFrame:
     # As a pattern the path may name one file as well as a folder of files.
-    return spark.readStream.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet*")
+    return topics.stream_log(spark, f"{folder}/{name}.parquet*", TABLES[name], **bounds)
 
 
 def as_customers(events: DataFrame) -> DataFrame:

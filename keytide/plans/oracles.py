@@ -209,3 +209,5 @@ ORACLES["dedup_epoch_flag_shuffled"] = ORACLES["dedup_epoch_flag"]
 ORACLES["stream_epoch_flag"] = ORACLES["dedup_epoch_flag"]
 ORACLES["stream_epoch_join"] = ORACLES["dedup_epoch_join"]
 ORACLES["stream_epoch_latest"] = ORACLES["dedup_epoch_latest"]
+ORACLES["fold_epoch_flag"] = ORACLES["dedup_epoch_flag"]
+ORACLES["fold_epoch_join"] = ORACLES["dedup_epoch_join"]

@@ -17,7 +17,7 @@ from keytide.schemas import CHANGE, CUSTOMER, REVISION
 from keytide.settings import DEFAULT_LIMITS, Limits, new_folder, use_utc, written_table
 from keytide.sinks import batches, logs
 from keytide.sources import generators, generic
-from keytide.streaming import state
+from keytide.streaming import fold, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ POLL_SIZE = 1000
 COUNTER_OFFSET = 7
 CHANGE_OFFSET = 100
 
+# Bytes of source files per micro-batch: for Spark's own operators, and for state kept by Python
+# tasks, which meet a key's whole share of the batch.
+BATCH_BYTES = 1 << 40
+STATE_BATCH_BYTES = 64 << 20
+
 # Under these limits no table is replicated and large keys are split early, whatever the size
 # of the tables: the plans for tables and keys beyond the default bounds run.
 SHUFFLED = Limits(
@@ -235,7 +240,7 @@ def price_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def price_table_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The table's update stream, folded to the last update of each key."""
-    points = inputs.as_price_points(inputs.table_stream(spark, folder, "events"))
+    points = inputs.as_price_points(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
     updates = tables.latest_by_key(points, ["key"], ["price", "ts", "off"])
     root = new_folder(spark, "price-changes")
     batches.start_batches(updates, root, batches.fan_out("changes"), output_mode="update").awaitTermination()
@@ -304,7 +309,7 @@ def join_region_left_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def join_region_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The replicated join on a stream, appended to a keyed log and read back."""
-    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events"))
+    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
     joined = joins.join_region_replicated(customers, inputs.regions(spark))
     root = new_folder(spark, "join-region")
     logs.append_log(joined, f"{root}/log", f"{root}/checkpoint").awaitTermination()
@@ -376,9 +381,9 @@ def dedup_epoch_latest(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.latest_repeat(inputs.customers(spark, folder), _FIELDS)
 
 
-def _stream_customers(spark: SparkSession, folder: str) -> DataFrame:
+def _stream_customers(spark: SparkSession, folder: str, bytes_per_batch: int = BATCH_BYTES) -> DataFrame:
     state.use_rocksdb(spark)
-    return inputs.as_customers(inputs.table_stream(spark, folder, "events"))
+    return inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=bytes_per_batch))
 
 
 def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -389,12 +394,28 @@ def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 @_query
 def stream_epoch_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return _appended(spark, state.flag_repeats(_stream_customers(spark, folder)), "epoch-flag")
+    return _appended(spark, state.flag_repeats(_stream_customers(spark, folder, STATE_BATCH_BYTES)), "epoch-flag")
 
 
 @_query
 def stream_epoch_join(spark: SparkSession, folder: str) -> DataFrame:
-    return _appended(spark, state.count_repeats(_stream_customers(spark, folder), CUSTOMER), "epoch-join")
+    customers = _stream_customers(spark, folder, STATE_BATCH_BYTES)
+    return _appended(spark, state.count_repeats(customers, CUSTOMER), "epoch-join")
+
+
+@_query
+def fold_epoch_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream in large batches, by batch operators and a state table."""
+    customers, root = _stream_customers(spark, folder), new_folder(spark, "fold-flag")
+    fold.flag_repeats(customers, root).awaitTermination()
+    return fold.read_log(spark, root, customers.schema)
+
+
+@_query
+def fold_epoch_join(spark: SparkSession, folder: str) -> DataFrame:
+    customers, root = _stream_customers(spark, folder), new_folder(spark, "fold-join")
+    fold.count_repeats(customers, root, CUSTOMER).awaitTermination()
+    return fold.read_log(spark, root, customers.schema)
 
 
 @_query
@@ -418,7 +439,7 @@ def stream_dedup_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def fan_out_two(spark: SparkSession, folder: str) -> DataFrame:
-    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events"))
+    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
     root = new_folder(spark, "fan-out")
     batches.start_batches(customers, root, batches.fan_out("topic1", "topic2")).awaitTermination()
     first, second = (
@@ -433,7 +454,7 @@ def fan_out_two(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def atomic_change_revision(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as changes with their revisions, written together and joined back."""
-    steps = inputs.as_order_steps(inputs.table_stream(spark, folder, "orders"))
+    steps = inputs.as_order_steps(inputs.table_stream(spark, folder, "orders", bytes_per_batch=BATCH_BYTES))
     parents = generators.changes(steps, CHANGE_OFFSET).select(*CHANGE.fieldNames())
     root = new_folder(spark, "changes")
 

@@ -25,10 +25,15 @@ def write_atomically(root: str, batch_id: int, tables: dict[str, DataFrame]) ->
         return False
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-    spark.range(1).write.mode("overwrite").parquet(f"{root}/{COMMITS}/batch_id={batch_id}")
+    commit(spark, root, batch_id)
     return True
 
 
+def commit(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Make what a batch wrote visible."""
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/{COMMITS}/batch_id={batch_id}")
+
+
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
     try:
         return not spark.read.schema("id long").parquet(f"{root}/{COMMITS}/batch_id={batch_id}").isEmpty()

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from keytide.operators import dedup, joins, tables
 from keytide.plans import inputs
 from keytide.schemas import CUSTOMER, EVENTS
-from keytide.settings import new_folder
+from keytide.settings import Limits, new_folder
 from keytide.sinks import batches, logs
 from keytide.sources import topics
-from keytide.streaming import state
+from keytide.streaming import fold, state
 
 FIELDS = CUSTOMER.fieldNames()
 
@@ -97,6 +97,41 @@ def test_flag_repeats_with_ttl(spark, parts):
     assert rows(written) == rows(dedup.flag_repeats(batch_customers(spark, parts)))
 
 
+SPLIT = Limits(broadcast_rows=0, hot_rows=20, segment_rows=30)
+
+
+@pytest.mark.parametrize(("key", "limits"), [("key", Limits()), ("region", SPLIT)], ids=["plain", "split"])
+def test_fold_equals_batch(spark, parts, key, limits):
+    """Five batches with a state table in between; keyed by region, records replace each other."""
+    rekey = lambda df: df.withColumn("key", F.col(key))
+    stream, whole = rekey(inputs.as_customers(events(spark, parts, **ONE_FILE))), rekey(batch_customers(spark, parts))
+    root = new_folder(spark, "test")
+    finish(fold.count_repeats(stream, root, CUSTOMER, limits=limits))
+    assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.count_repeats(whole, FIELDS))
+    root = new_folder(spark, "test")
+    finish(fold.flag_repeats(stream, root, limits=limits))
+    assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.flag_repeats(whole))
+
+
+def test_fold_replays_a_failed_batch(spark, parts, monkeypatch):
+    stream, root = inputs.as_customers(events(spark, parts, **ONE_FILE)), new_folder(spark, "test")
+    real, calls = fold.batches.commit, []
+
+    def commit(session, folder, batch_id):
+        calls.append(batch_id)
+        if calls == [0, 1, 2]:
+            raise RuntimeError("stop")
+        real(session, folder, batch_id)
+
+    monkeypatch.setattr(fold.batches, "commit", commit)
+    with pytest.raises(Exception, match="stop"):
+        finish(fold.count_repeats(stream, root, CUSTOMER))
+    assert fold.read_log(spark, root, stream.schema).count() == 400
+    finish(fold.count_repeats(stream, root, CUSTOMER))
+    assert calls == [0, 1, 2, 2, 3, 4]
+    assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.count_repeats(batch_customers(spark, parts), FIELDS))
+
+
 def test_latest_repeat_in_update_mode(spark, parts):
     newest = dedup.latest_repeat(inputs.as_customers(events(spark, parts, **ONE_FILE)), FIELDS)
     root = new_folder(spark, "test")
