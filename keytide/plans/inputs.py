@@ -47,22 +47,22 @@ def regions(spark: SparkSession) -> DataFrame:
     return region_table(spark).where(~F.col("identifier").isin(*GAPS))
 
 
-def region_changes(spark: SparkSession, folder: str) -> DataFrame:
+def as_region_changes(events: DataFrame) -> DataFrame:
     """Every error event re-states a region with a new area code."""
     index = F.col("event_id") % len(REGIONS)
-    return (
-        table(spark, folder, "events")
-        .where(F.col("event_type") == "error")
-        .select(
-            region_field(index, 0).alias("identifier"),
-            region_field(index, 1).alias("regionName"),
-            F.concat(region_field(index, 2), F.lit("#"), F.col("event_id").cast("string")).alias("areaCode"),
-            F.col("event_id").alias("off"),
-            "ts",
-        )
+    return events.where(F.col("event_type") == "error").select(
+        region_field(index, 0).alias("identifier"),
+        region_field(index, 1).alias("regionName"),
+        F.concat(region_field(index, 2), F.lit("#"), F.col("event_id").cast("string")).alias("areaCode"),
+        F.col("event_id").alias("off"),
+        "ts",
     )
 
 
+def region_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return as_region_changes(table(spark, folder, "events"))
+
+
 def event_steps(spark: SparkSession, folder: str) -> DataFrame:
     """Row numbers and times for the generators, one per event."""
     return table(spark, folder, "events").select(F.col("event_id").alias("n"), "ts")

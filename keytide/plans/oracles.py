@@ -211,3 +211,4 @@ ORACLES["stream_epoch_join"] = ORACLES["dedup_epoch_join"]
 ORACLES["stream_epoch_latest"] = ORACLES["dedup_epoch_latest"]
 ORACLES["fold_epoch_flag"] = ORACLES["dedup_epoch_flag"]
 ORACLES["fold_epoch_join"] = ORACLES["dedup_epoch_join"]
+ORACLES["stream_region_changing"] = ORACLES["join_region_asof_left"]

@@ -346,6 +346,19 @@ def join_region_asof_segmented(spark: SparkSession, folder: str) -> DataFrame:
     return _as_of(spark, folder, "left", SHUFFLED)
 
 
+@_query
+def stream_region_changing(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers and region changes as two streams; the table changes while it is joined."""
+    events = lambda: inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES)
+    customers, changes = inputs.as_customers(events()), inputs.as_region_changes(events())
+    root = new_folder(spark, "region-changing")
+    running, schema = fold.join_changing_table(
+        customers, changes, root, "region", "identifier", ["regionName", "areaCode"], "left"
+    )
+    running.awaitTermination()
+    return joins.with_region(fold.read_log(spark, root, schema), ["ts"])
+
+
 # --- repeated keys -------------------------------------------------------------------------
 
 

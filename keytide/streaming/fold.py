@@ -1,7 +1,8 @@
-"""Repeated-key operators on streams with large batches: batch operators plus a state table.
+"""Streams processed in large batches by the batch operators, with a state table in between.
 
-Each micro-batch is numbered by the same operator that works on whole logs, hot keys split and
-all, with the stored record of every key put in front of its new rows. The state table is
+Each micro-batch runs through the same operator that works on whole logs, hot keys split and
+all, together with what earlier batches left in the state table: the stored record of every key,
+put in front of its new rows, or the current version of every table key. The state table is
 rewritten per batch, which pays when a batch touches many of the keys: backfills, and streams
 read at long intervals. It alternates between two folders, so the state a batch started from
 is still there if the batch has to be replayed.
@@ -14,12 +15,52 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from keytide.operators import dedup, tables
+from keytide.operators import asof, dedup, tables
 from keytide.settings import DEFAULT_LIMITS, Limits
 from keytide.sinks import batches
 
 LOG = "log"
 _NEW = "_new"
+_SIDE = "_side"
+
+
+def start(
+    stream: DataFrame,
+    root: str,
+    output: T.StructType,
+    state: T.StructType,
+    work: Callable[[DataFrame, DataFrame], DataFrame],
+    renew: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
+    once: bool = True,
+) -> StreamingQuery:
+    """Per batch: append ``work(batch, state)`` to the log, then replace the state by
+    ``renew(batch, state, what was appended)``, then commit. The first state is empty."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batches.is_committed(spark, root, batch_id):
+            return
+        if batch_id > 0:
+            before = spark.read.schema(state).parquet(_state(root, batch_id - 1))
+        else:
+            before = spark.createDataFrame([], state)
+        folder = f"{root}/{LOG}/batch_id={batch_id}"
+        work(batch, before).select(*output.fieldNames()).write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(output).parquet(folder)
+        after = renew(batch, before, written).select(*state.fieldNames())
+        after.write.mode("overwrite").parquet(_state(root, batch_id))
+        batches.commit(spark, root, batch_id)
+
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def _state(root: str, batch_id: int) -> str:
+    return f"{root}/state/slot={batch_id % 2}"
+
+
+def read_log(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return batches.read_committed(spark, root, LOG, schema).drop("batch_id")
 
 
 def count_repeats(
@@ -38,7 +79,7 @@ def count_repeats(
     def number(rows: DataFrame) -> DataFrame:
         return dedup.count_repeats(rows, names, key, [_NEW, order], identity, limits)
 
-    return _start(stream, root, number, key, names, order, once)
+    return _repeats(stream, root, number, key, names, order, once)
 
 
 def flag_repeats(
@@ -54,14 +95,10 @@ def flag_repeats(
     def flag(rows: DataFrame) -> DataFrame:
         return dedup.flag_repeats(rows, key, [_NEW, order], limits)
 
-    return _start(stream, root, flag, key, ["epoch"], order, once)
-
-
-def read_log(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return batches.read_committed(spark, root, LOG, schema).drop("batch_id")
+    return _repeats(stream, root, flag, key, ["epoch"], order, once)
 
 
-def _start(
+def _repeats(
     stream: DataFrame,
     root: str,
     operator: Callable[[DataFrame], DataFrame],
@@ -70,31 +107,53 @@ def _start(
     order: str,
     once: bool,
 ) -> StreamingQuery:
-    schema = stream.schema
-    state_schema = T.StructType([schema[name] for name in (key, *stored, order)])
+    state = T.StructType([stream.schema[name] for name in (key, *stored, order)])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batches.is_committed(spark, root, batch_id):
-            return
-        rows = batch.withColumn(_NEW, F.lit(1))
-        before = None
-        if batch_id > 0:
-            before = spark.read.schema(state_schema).parquet(_state(root, batch_id - 1))
-            rows = before.withColumn(_NEW, F.lit(0)).unionByName(rows, allowMissingColumns=True)
-        done = operator(rows).where(F.col(_NEW) == 1).select(*schema.fieldNames())
-        done.write.mode("overwrite").parquet(f"{root}/{LOG}/batch_id={batch_id}")
-        written = spark.read.schema(schema).parquet(f"{root}/{LOG}/batch_id={batch_id}")
-        newest = written.select(*state_schema.fieldNames()).withColumn(_NEW, F.lit(1))
-        if before is not None:
-            newest = newest.unionByName(before.withColumn(_NEW, F.lit(0)))
-        after = tables.latest_by_key(newest, [key], [*stored, order], [_NEW, order])
-        after.write.mode("overwrite").parquet(_state(root, batch_id))
-        batches.commit(spark, root, batch_id)
+    def put_first(before: DataFrame, rows: DataFrame) -> DataFrame:
+        return before.withColumn(_NEW, F.lit(0)).unionByName(rows.withColumn(_NEW, F.lit(1)), allowMissingColumns=True)
 
-    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
+        return operator(put_first(before, batch)).where(F.col(_NEW) == 1)
 
+    def renew(_: DataFrame, before: DataFrame, written: DataFrame) -> DataFrame:
+        rows = put_first(before, written.select(*state.fieldNames()))
+        return tables.latest_by_key(rows, [key], [*stored, order], [_NEW, order])
 
-def _state(root: str, batch_id: int) -> str:
-    return f"{root}/state/slot={batch_id % 2}"
+    return start(stream, root, stream.schema, state, work, renew, once)
+
+
+def join_changing_table(
+    stream: DataFrame,
+    changes: DataFrame,
+    root: str,
+    stream_key: str,
+    table_key: str,
+    values: Sequence[str],
+    how: str = "inner",
+    limits: Limits = DEFAULT_LIMITS,
+    once: bool = True,
+) -> tuple[StreamingQuery, T.StructType]:
+    """Join a stream to a table whose changes are a stream too; also gives the log's schema.
+
+    A stream record meets the table value of its own time as far as it is known when the record
+    is processed; a later change does not re-emit it. A change that arrives behind a newer one
+    of its key does not replace it.
+    """
+    state = T.StructType([changes.schema[name] for name in (table_key, *values, "ts", "off")])
+    output = T.StructType([*stream.schema.fields, *[changes.schema[name] for name in values]])
+    change = F.struct(*state.fieldNames()).alias("_change")
+    both = stream.select(F.lit(1).alias(_SIDE), F.struct("*").alias("_row")).unionByName(
+        changes.select(F.lit(0).alias(_SIDE), change), allowMissingColumns=True
+    )
+
+    def known(batch: DataFrame, before: DataFrame) -> DataFrame:
+        return before.unionByName(batch.where(F.col(_SIDE) == 0).select("_change.*"))
+
+    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
+        rows = batch.where(F.col(_SIDE) == 1).select("_row.*")
+        return asof.join_as_of(rows, known(batch, before), stream_key, table_key, values, how, limits)
+
+    def renew(batch: DataFrame, before: DataFrame, _: DataFrame) -> DataFrame:
+        return tables.latest_by_key(known(batch, before), [table_key], [*values, "ts", "off"], ["ts", "off"])
+
+    return start(both, root, output, state, work, renew, once), output

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from keytide.operators import dedup, joins, tables
+from keytide.operators import asof, dedup, joins, tables
 from keytide.plans import inputs
 from keytide.schemas import CUSTOMER, EVENTS
 from keytide.settings import Limits, new_folder
@@ -113,6 +113,21 @@ def test_fold_equals_batch(spark, parts, key, limits):
     assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.flag_repeats(whole))
 
 
+def test_join_to_a_changing_table(spark, parts):
+    """Batches hold the same stretch of both streams, so the versions known are the current ones."""
+    customers = inputs.as_customers(events(spark, parts, **ONE_FILE))
+    changes = inputs.as_region_changes(events(spark, parts, **ONE_FILE))
+    whole = inputs.as_region_changes(topics.read_log(spark, parts, EVENTS))
+    for how in ("inner", "left"):
+        root = new_folder(spark, "test")
+        query, schema = fold.join_changing_table(
+            customers, changes, root, "region", "identifier", ["regionName", "areaCode"], how
+        )
+        finish(query)
+        want = asof.join_as_of(batch_customers(spark, parts), whole, "region", "identifier", ["regionName", "areaCode"], how)
+        assert rows(fold.read_log(spark, root, schema)) == rows(want)
+
+
 def test_fold_replays_a_failed_batch(spark, parts, monkeypatch):
     stream, root = inputs.as_customers(events(spark, parts, **ONE_FILE)), new_folder(spark, "test")
     real, calls = fold.batches.commit, []
