@@ -14,9 +14,11 @@ FILE_REVISION = 1
 FILE_ACTION = "add"
 
 
-def counter_log(steps: DataFrame, offset: int, gap: int = COUNTER_GAP) -> DataFrame:
+def counter_log(steps: DataFrame, offset: int, gap: int | None = COUNTER_GAP) -> DataFrame:
     """Inserts of rising ids, and a delete of the oldest live id after each step beyond ``gap``.
 
+    Without a gap nothing is deleted.
+
     ``steps`` has ``n`` = 0, 1, 2, … and ``timestamp``. Step n inserts ``offset + n + 1``; the
     id that step deletes follows from n alone, so no state is needed. ``off`` is the place in
     the log; at most 1 delete follows each insert.
@@ -27,6 +29,8 @@ def counter_log(steps: DataFrame, offset: int, gap: int = COUNTER_GAP) -> DataFr
         F.lit(False).alias("is_deleted"),
         (F.col("n") * 2).alias("off"),
     )
+    if gap is None:
+        return steps.select(inserted.alias("_r")).select("_r.*")
     removed = F.struct(
         (F.lit(offset) + F.col("n") - gap).alias("key"),
         F.lit(None).cast("bigint").alias("timestamp"),

@@ -65,11 +65,13 @@ def start_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        tables = split(batch)
+        if len(tables) > 1:
+            batch.persist()
         try:
-            write_atomically(root, batch_id, split(kept))
+            write_atomically(root, batch_id, tables)
         finally:
-            kept.unpersist()
+            batch.unpersist()
 
     writer = (
         stream.writeStream.outputMode(output_mode)

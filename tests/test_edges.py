@@ -200,6 +200,12 @@ def test_counter_delete_counts(spark, most, gap, deletes):
     assert sorted(r.key for r in live) == list(range(100 + most - min(most, gap + 1) + 1, 100 + most + 1))
 
 
+def test_counter_without_gap_deletes_nothing(spark):
+    steps = spark.range(30).select(F.col("id").alias("n"), F.col("id").alias("timestamp"))
+    log = fanout.counter_log(steps, 7, None)
+    assert sorted(r.key for r in log.where("NOT is_deleted").collect()) == list(range(8, 38)) and log.count() == 30
+
+
 def test_counter_log_in_order_matches_a_queue(spark):
     steps = spark.range(30).select(F.col("id").alias("n"), F.col("id").alias("timestamp"))
     got = [(r.key, r.is_deleted) for r in fanout.counter_log(steps, 7, 4).orderBy("off").collect()]
