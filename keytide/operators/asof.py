@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from keytide.operators import ordered
+from keytide.operators.joins import fits_broadcast
 from keytide.settings import DEFAULT_LIMITS, Limits, written_table
 
 
@@ -29,14 +30,12 @@ def join_as_of(
     time order instead and the newest version is carried forward.
     """
     known = changes.where(F.col(table_key).isNotNull())
-    per_key = known.groupBy(table_key).count().agg(
-        F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))
-    )
-    most, total = per_key.first()
+    most = known.groupBy(table_key).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    few = most <= limits.versions_per_key and fits_broadcast(known.select(table_key, "ts", *values), limits)
     versions = known.groupBy(F.col(table_key).alias("_key"), F.col("ts").alias("_from")).agg(
         F.max_by(F.struct(*values), F.col("off")).alias("_version")
     )
-    if most <= limits.versions_per_key and total <= limits.broadcast_rows:
+    if few:
         joined = _by_interval(stream, versions, stream_key, how)
     else:
         joined = _by_merge(stream, written_table(versions, "versions"), stream_key, how, limits)

@@ -34,7 +34,8 @@ def lookup(
     A table within the bound is broadcast and the stream does not move. A larger one is
     joined by shuffle, with the stream rows of hot keys spread over ``salt_buckets`` and only
     those keys' table rows repeated. Null keys match nothing. A table that is costly to
-    compute should be passed written, since it is measured first.
+    compute should be passed written, since it is measured first. Keys of a stream cannot be
+    counted: with a table beyond the bound, look up per micro-batch (``start_batches``).
     """
     keyed = stream.withColumn("_key", stream_key)
     side = table.where(F.col(table_key).isNotNull())
