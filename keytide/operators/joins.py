@@ -32,8 +32,8 @@ def lookup(
     """Join each stream row to the table row of its key (the table has one row per key).
 
     A table within the bound is broadcast and the stream does not move. A larger one is
-    joined by shuffle, with the stream rows of hot keys spread over ``salt_buckets`` and only
-    those keys' table rows repeated. Null keys match nothing. A table that is costly to
+    joined by shuffle, with the stream rows of hot keys spread over pieces of ``salt_rows`` and
+    only those keys' table rows repeated. Null keys match nothing. A table that is costly to
     compute should be passed written, since it is measured first. Keys of a stream cannot be
     counted: with a table beyond the bound, look up per micro-batch (``start_batches``).
     """
@@ -49,22 +49,18 @@ def _shuffled(keyed: DataFrame, table: DataFrame, table_key: str, how: str, limi
     hot = None if keyed.isStreaming else hot_keys(keyed.select("_key"), ["_key"], limits)
     if hot is None:
         return keyed.join(table.hint("merge"), same, how)
-    # The salt comes from the row itself, so a retried task repeats it.
-    salt = F.pmod(F.xxhash64("off"), F.lit(limits.salt_buckets)).cast("int")
-    spread = flag_hot(keyed, ["_key"], hot, "_hot").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+    # The salt comes from the row itself, so a retried task repeats it. Every hot key has as many
+    # pieces as its rows need, so the repeated table rows stay few: rows / salt_rows + hot keys.
+    pieces = F.ceil(F.col("_rows") / limits.salt_rows).cast("int")
+    spread = flag_hot(keyed, ["_key"], hot, pieces.alias("_pieces")).withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64("off"), F.col("_pieces")).cast("int"), F.lit(0))
     )
     table_hot = hot.withColumnRenamed("_key", table_key)
-    copies = F.when(F.col("_hot_t"), F.sequence(F.lit(0), F.lit(limits.salt_buckets - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    repeated = (
-        flag_hot(table, [table_key], table_hot, "_hot_t")
-        .withColumn("_salt_t", F.explode(copies))
-        .drop("_hot_t")
+    repeated = flag_hot(table, [table_key], table_hot, pieces.alias("_pieces_t")).withColumn(
+        "_salt_t", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces_t"), F.lit(1)) - 1))
     )
     joined = spread.join(repeated.hint("merge"), same & (F.col("_salt") == F.col("_salt_t")), how)
-    return joined.drop("_salt", "_salt_t", "_hot")
+    return joined.drop("_salt", "_salt_t", "_pieces", "_pieces_t")
 
 
 def with_region(joined: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

@@ -71,8 +71,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT_LIMITS
     return None if hot.isEmpty() else hot
 
 
-def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, flag: str) -> DataFrame:
-    marks = hot.select(*[F.col(name).alias(f"_h_{name}") for name in keys], F.lit(True).alias(flag))
+def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, mark: Column) -> DataFrame:
+    """Add ``mark`` (an expression over ``_rows``) to the rows of hot keys, null to the others."""
+    marks = hot.select(*[F.col(name).alias(f"_h_{name}") for name in keys], mark)
     same = [F.col(name).eqNullSafe(F.col(f"_h_{name}")) for name in keys]
     return df.join(F.broadcast(marks), same, "left").drop(*[f"_h_{name}" for name in keys])
 
@@ -95,7 +96,7 @@ def apply_in_order(
     hot = hot_keys(df, keys, limits)
     if hot is None:
         return step.local(df, whole)
-    flagged = flag_hot(df, keys, hot, "_hot")
+    flagged = flag_hot(df, keys, hot, F.lit(True).alias("_hot"))
     cold = step.local(flagged.where(F.col("_hot").isNull()).drop("_hot"), whole)
     hot_total = hot.agg(F.sum("_rows")).first()[0]
     large = flagged.where(F.col("_hot")).drop("_hot")

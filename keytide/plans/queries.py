@@ -34,18 +34,6 @@ CHANGE_OFFSET = 100
 BATCH_BYTES = 1 << 40
 STATE_BATCH_BYTES = 64 << 20
 
-# Under these limits no table is replicated and large keys are split early, whatever the size
-# of the tables: the plans for tables and keys beyond the default bounds run.
-SHUFFLED = Limits(
-    broadcast_rows=0,
-    hot_rows=100,
-    hot_keys=200,
-    segment_rows=1000,
-    segments=64,
-    salt_buckets=8,
-    versions_per_key=0,
-)
-
 _FIELDS = CUSTOMER.fieldNames()
 
 
@@ -57,6 +45,19 @@ def _query(function: Query) -> Query:
     return run
 
 
+def _early(spark: SparkSession, folder: str) -> Limits:
+    """Replicate nothing and split large keys early: the plans for tables and keys beyond the
+    default bounds, on tables of any size. Never coarser than the defaults."""
+    events = inputs.table(spark, folder, "events").count()
+    return Limits(
+        broadcast_rows=0,
+        hot_rows=min(DEFAULT_LIMITS.hot_rows, max(100, events // 200)),
+        segment_rows=min(DEFAULT_LIMITS.segment_rows, max(500, events // 64)),
+        salt_rows=min(DEFAULT_LIMITS.salt_rows, max(100, events // 100)),
+        versions_per_key=0,
+    )
+
+
 # --- scans ---------------------------------------------------------------------------------
 
 
@@ -163,7 +164,9 @@ def rekey_by_region(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def repartition_by_region(spark: SparkSession, folder: str) -> DataFrame:
     """Re-keyed and redistributed; few keys, so each is spread over several tasks."""
-    return filters.repartition_by_key(rekey_by_region(spark, folder), spread=DEFAULT_LIMITS.salt_buckets)
+    customers = rekey_by_region(spark, folder)
+    spread = max(8, customers.count() // DEFAULT_LIMITS.salt_rows)
+    return filters.repartition_by_key(customers, spread=spread)
 
 
 @_query
@@ -234,7 +237,7 @@ def price_lookup_broadcast(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def price_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same lookup as it runs when the table is too large to replicate."""
-    return _price_lookup(spark, folder, SHUFFLED)
+    return _price_lookup(spark, folder, _early(spark, folder))
 
 
 @_query
@@ -294,7 +297,7 @@ def join_region_inner(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def join_region_inner_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The repartitioned form, as it runs when the table is too large to replicate."""
-    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark), SHUFFLED)
+    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark), _early(spark, folder))
 
 
 @_query
@@ -304,7 +307,7 @@ def join_region_left(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def join_region_left_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark), SHUFFLED)
+    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark), _early(spark, folder))
 
 
 @_query
@@ -344,7 +347,7 @@ def join_region_asof_left(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def join_region_asof_segmented(spark: SparkSession, folder: str) -> DataFrame:
     """The left form as it runs when single regions hold too many rows for one task."""
-    return _as_of(spark, folder, "left", SHUFFLED)
+    return _as_of(spark, folder, "left", _early(spark, folder))
 
 
 @_query
@@ -375,7 +378,7 @@ def dedup_epoch_flag(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def dedup_epoch_flag_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.flag_repeats(inputs.customers(spark, folder), limits=SHUFFLED)
+    return dedup.flag_repeats(inputs.customers(spark, folder), limits=_early(spark, folder))
 
 
 @_query
@@ -387,7 +390,7 @@ def dedup_epoch_join(spark: SparkSession, folder: str) -> DataFrame:
 def dedup_epoch_join_segmented(spark: SparkSession, folder: str) -> DataFrame:
     """The same, re-keyed by region so that every key is large and is cut into segments."""
     by_region = inputs.customers(spark, folder).withColumn("key", F.col("region"))
-    return dedup.count_repeats(by_region, _FIELDS, identity="region", limits=SHUFFLED)
+    return dedup.count_repeats(by_region, _FIELDS, identity="region", limits=_early(spark, folder))
 
 
 @_query

@@ -19,7 +19,7 @@ class Limits:
     hot_rows: a key with more rows than this is split over several tasks.
     hot_keys: the most keys to treat so; beyond, only the largest are.
     segment_rows / segments: rows per piece of a split key, and the most pieces.
-    salt_buckets: pieces a hot join key is spread over.
+    salt_rows: rows per piece a hot join key is spread over.
     versions_per_key: most table versions per key for the interval form of the as-of join.
     """
 
@@ -29,7 +29,7 @@ class Limits:
     hot_keys: int = 100_000
     segment_rows: int = 1_000_000
     segments: int = 100_000
-    salt_buckets: int = 64
+    salt_rows: int = 1_000_000
     versions_per_key: int = 32
 
 

@@ -15,7 +15,7 @@ from keytide.sources import generators, generic
 
 T0 = datetime(2024, 1, 1)
 FIELDS = ["customerId", "firstName", "epoch"]
-SHUFFLED = Limits(broadcast_rows=0, hot_rows=1, segment_rows=2, salt_buckets=3, versions_per_key=0)
+SHUFFLED = Limits(broadcast_rows=0, hot_rows=1, segment_rows=2, salt_rows=1, versions_per_key=0)
 
 
 def at(seconds: int) -> datetime:

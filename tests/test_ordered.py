@@ -98,8 +98,8 @@ def test_salted_lookup_equals_plain(spark, how):
         for limits in (
             Limits(),
             Limits(broadcast_rows=0),
-            Limits(broadcast_rows=0, hot_rows=30, salt_buckets=4),
-            Limits(broadcast_bytes=1, hot_rows=1, salt_buckets=3),
+            Limits(broadcast_rows=0, hot_rows=30, salt_rows=10),
+            Limits(broadcast_bytes=1, hot_rows=1, salt_rows=2),
         )
     ]
     first, *others = [sorted(map(tuple, run.collect()), key=repr) for run in runs]

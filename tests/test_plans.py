@@ -120,3 +120,28 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_latest_by_key_of_a_struct_order(spark):
     log = spark.createDataFrame([(1, 2, 3, 4)], "key int, value int, off bigint, ts bigint")
     assert tables.latest_by_key(log, ["key"], ["value"], ["ts", "off"]).first()[:] == (1, 2)
+
+
+def test_only_a_local_master_may_lack_the_folder():
+    from types import SimpleNamespace
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+
+
+def test_repeated_table_rows_follow_the_hot_rows(spark):
+    """A key of n rows has n / salt_rows pieces, the other keys one."""
+    from pyspark.sql import functions as F
+
+    log = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("key"), F.col("id").alias("off"))
+    table = spark.range(1000).select(F.col("id").alias("id"), F.col("id").alias("value"))
+    limits = Limits(broadcast_rows=0, hot_rows=100, salt_rows=40)
+    joined = joins.lookup(log, table, F.col("key"), "id", "inner", limits)
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "_salt" in text
+    assert joined.count() == 1000 and joined.where("key <> value").isEmpty()
