@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keytide.llm import passages, substrings
+from keytide.llm import ngram_join, passages, quality, substrings, token_counts
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,12 +16,27 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, folder))
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_documents(documents(spark, folder), words=3, per=90)
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rate(documents(spark, folder))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_passages(documents(spark, folder))
 
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_ngram_join": op2_ngram_join,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
 }
 ORACLES: dict[str, str] = {}
