@@ -158,17 +158,17 @@ def _products(per: int, of: int):
         """Overlaps of each member with its leader: entries of a bucket's two incidence matrices that match."""
         nodes = leaders["leader"].to_numpy()
         column = pd.Series(np.arange(len(nodes)), nodes)
-        own = column.reindex(members["leader"]).to_numpy()
+        own = column.reindex(members["with"]).to_numpy()
         sizes = np.array([len(x) // 8 for x in leaders["shingles"]], np.int64)
-        counts = np.array([len(x) // 8 for x in members["shingles"]], np.int64)
+        counts = np.array([len(x) // 8 for x in members["held"]], np.int64)
         salt = mixed(np.arange(len(nodes), dtype=np.uint64) + np.uint64(1))
         left = np.frombuffer(b"".join(leaders["shingles"]), np.uint64) ^ np.repeat(salt, sizes)
         row = np.repeat(np.arange(len(own)), counts)
-        right = np.frombuffer(b"".join(members["shingles"]), np.uint64) ^ salt[own[row]]
+        right = np.frombuffer(b"".join(members["held"]), np.uint64) ^ salt[own[row]]
         overlap = np.bincount(row[np.isin(right, left)], minlength=len(own))
         union = counts + sizes[own] - overlap
         linked = of * overlap >= per * union
-        return pd.DataFrame({"a": members["leader"].to_numpy()[linked], "b": members["node"].to_numpy()[linked]})
+        return pd.DataFrame({"a": members["with"].to_numpy()[linked], "b": members["member"].to_numpy()[linked]})
 
     return product
 
@@ -187,8 +187,10 @@ def _linked(pairs: DataFrame, hashes: DataFrame, per: int, of: int) -> DataFrame
     leaders = leaders.join(hashes.withColumnRenamed("node", "leader"), "leader")
     # A leader may have several chunks in one bucket; its hashes are needed there once.
     leaders = leaders.select(bucket, "leader", "shingles").dropDuplicates(["bucket", "leader"])
-    members = chunked.join(hashes, "node").select(bucket, "leader", "node", "shingles")
-    product = leaders.groupBy("bucket").cogroup(members.groupBy("bucket"))
+    members = chunked.join(hashes, "node").select(
+        bucket.alias("b"), F.col("leader").alias("with"), F.col("node").alias("member"), F.col("shingles").alias("held")
+    )
+    product = leaders.groupBy("bucket").cogroup(members.groupBy("b"))
     return written_table(product.applyInPandas(_products(per, of), "a long, b long"), "overlaps")
 
 

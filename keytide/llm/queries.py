@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keytide.llm import ngram_join, passages, quality, substrings, token_counts
+from keytide.llm import chat, fingerprints, ngram_join, packing, passages, quality, substrings, token_counts, warc
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +20,21 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_documents(documents(spark, folder), words=3, per=90)
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, folder))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.records(warc.archive(spark.read.parquet(f"{folder}/pages.parquet")))
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    return chat.read_back(chat.formatted(turns.unionByName(spark.createDataFrame(added, turns.schema))))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate(documents(spark, folder))
 
@@ -28,6 +43,10 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_passages(documents(spark, folder))
 
@@ -35,8 +54,12 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_warc": op5_warc,
+    "op6_chat": op6_chat,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_best_fit": op10_best_fit,
 }
 ORACLES: dict[str, str] = {}
