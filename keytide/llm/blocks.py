@@ -8,6 +8,8 @@ grows with the data. Blocks are a written table, so a lost executor costs the ta
 
 from __future__ import annotations
 
+import ctypes
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,10 +19,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from keytide.settings import written_table
 
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20
+LEAST_BYTES = 2 << 20  # of a block and of a bucket's share of the text
+MESSAGE_KEYS = 1800  # text bytes times text bytes over all text, for about 100 keys in a message
 NO_ID = np.iinfo(np.int64).max
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None
+
 MESSAGE = "bucket long, block long, message binary"
 REPLY = "block long, bucket long, reply binary"
 
@@ -62,8 +69,23 @@ def _payload(ids: list, texts: list) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Write documents as blocks (block, size, payload); also the total size of all texts."""
+def share_bytes(total: int) -> int:
+    """Text per block and per bucket: grows with the root of all text, so that messages keep their size."""
+    return max(LEAST_BYTES, math.isqrt(MESSAGE_KEYS * total))
+
+
+def released() -> None:
+    """Give freed memory back, so that a worker does not keep the peaks of earlier blocks."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def in_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """Write documents as blocks (block, payload); also the total size of all texts."""
+    chosen = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").alias("text"))
+    total = chosen.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    block_bytes = share_bytes(total)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -72,9 +94,8 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
         ids, texts, size = [], [], 0
 
         def full() -> pa.RecordBatch:
-            names = ["block", "size", "payload"]
             return pa.record_batch(
-                [pa.array([first + number]), pa.array([size]), pa.array([_payload(ids, texts)], pa.binary())], names=names
+                [pa.array([first + number]), pa.array([_payload(ids, texts)], pa.binary())], names=["block", "payload"]
             )
 
         for batch in batches:
@@ -85,16 +106,16 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
                 if size >= block_bytes or len(ids) >= 1 << 16:
                     yield full()
                     ids, texts, size, number = [], [], 0, number + 1
+                    released()
         if ids:
             yield full()
+        released()
 
-    chosen = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    blocks = written_table(chosen.mapInArrow(gather, "block long, size long, payload binary"), "blocks")
-    return blocks, blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return written_table(chosen.mapInArrow(gather, "block long, payload binary"), "blocks"), total
 
 
-def buckets_for(total: int, bucket_bytes: int = BUCKET_BYTES) -> int:
-    return max(1, -(-total // bucket_bytes))
+def buckets_for(total: int) -> int:
+    return max(1, -(-total // share_bytes(total)))
 
 
 def spread(df: DataFrame, total: int, key: str) -> DataFrame:
@@ -118,6 +139,7 @@ def answered(messages: DataFrame, answer: Callable[[list[bytes]], list[bytes]],
     def group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
         replies = answer(list(rows["message"]))
+        released()
         return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "reply": replies})
 
     return written_table(spread(messages, total, "bucket").groupBy("bucket").applyInPandas(group, REPLY), name)

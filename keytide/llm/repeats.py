@@ -20,6 +20,9 @@ from keytide.llm import blocks as B
 from keytide.llm.vectors import winnowed
 
 
+SHARE_BYTES = 2 << 20  # stretches compared at a time
+
+
 @dataclass
 class Symbols:
     """Texts as symbol values, with the bytes that each symbol stands for."""
@@ -128,6 +131,7 @@ def _seeds_sent(method: Method, n_buckets: int):
                     six = np.ascontiguousarray(runs.keys[low:high]).view(np.uint8).reshape(-1, 8)[:, :6]
                     rows.append((bucket, number, np.ascontiguousarray(six).tobytes()))
                 yield pd.DataFrame(rows, columns=["bucket", "block", "message"])
+                B.released()
 
     return send
 
@@ -165,26 +169,42 @@ def _stretches_sent(method: Method, n_buckets: int):
                         ids=block.ids[runs.owner[head]],
                         sizes=(end - begin).astype(np.uint32),
                         offsets=(runs.place - runs.first)[head].astype(np.uint16),
+                        shares=(runs.seed[head] >> np.uint64(56)).astype(np.uint8),
                         bytes=gathered(symbols.buffer, begin, end - begin),
                     )
                     rows.append((bucket, number, message))
                 yield pd.DataFrame(rows, columns=["bucket", "block", "message"])
+                B.released()
 
     return send
 
 
 def _stretches_answered(method: Method):
     def answer(messages: list[bytes]) -> list[bytes]:
-        parts = [unpacked for unpacked in map(B.unpacked, messages)]
-        ids, sizes, offsets, data = (np.concatenate([p[k] for p in parts]) for k in ("ids", "sizes", "offsets", "bytes"))
-        ends = np.cumsum(sizes.astype(np.int64))
-        raw = data.tobytes()
-        texts = [raw[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
-        symbols = method.read(texts)
-        flags = method.compare(symbols, ids, offsets.astype(np.int64), method.window, method.seed)
-        windows = np.diff(symbols.bounds) - method.window + 1
-        upto = np.concatenate([[0], np.cumsum(windows)])[np.cumsum([len(p["ids"]) for p in parts])]
-        return [np.packbits(part).tobytes() for part in np.split(flags, upto[:-1])]
+        parts = [B.unpacked(message) for message in messages]
+        ids, sizes, offsets, shares, data = (
+            np.concatenate([part[k] for part in parts]) for k in ("ids", "sizes", "offsets", "shares", "bytes")
+        )
+        sizes = sizes.astype(np.int64)
+        begin, raw = np.cumsum(sizes) - sizes, data.tobytes()
+        del data
+        # Stretches of one seed lie in one share; a few shares at a time bound the work's memory.
+        order = np.argsort(shares, kind="stable")
+        upto = np.cumsum(sizes[order])
+        cuts, low = [], 0
+        for _, _, high in B.pieces(shares[order]):
+            if upto[high - 1] - (upto[low - 1] if low else 0) >= SHARE_BYTES or high == len(order):
+                cuts.append(order[low:high])
+                low = high
+        found: list[np.ndarray] = [np.zeros(0, bool)] * len(sizes)
+        for rows in cuts:
+            symbols = method.read([raw[b : b + s] for b, s in zip(begin[rows].tolist(), sizes[rows].tolist())])
+            flags = method.compare(symbols, ids[rows], offsets[rows].astype(np.int64), method.window, method.seed)
+            windows = np.diff(symbols.bounds) - method.window + 1
+            for row, part in zip(rows.tolist(), np.split(flags, np.cumsum(windows)[:-1])):
+                found[row] = part
+        upto = np.cumsum([0, *(len(part["ids"]) for part in parts)]).tolist()
+        return [np.packbits(np.concatenate(found[a:b])).tobytes() for a, b in zip(upto[:-1], upto[1:])]
 
     return answer
 
@@ -225,5 +245,6 @@ def cut(docs: DataFrame, method: Method, finish, schema: str, id_col: str, text_
             for payload, reply0, reply1 in zip(frame["payload"], frame["reply0"], frame["reply1"]):
                 block = B.Block(payload)
                 yield finish(block, *flagged_windows(method, block, n_buckets, reply0, reply1))
+                B.released()
 
     return B.with_replies(blocks, [shared, earlier], total).mapInPandas(rows, schema)
