@@ -23,19 +23,17 @@ def flag_repeats(
 ) -> DataFrame:
     """Every record as it came, with ``epoch`` one higher if its key was seen before.
 
-    The order columns identify a row, so a row is the first of its key exactly when its position
-    is in the table of first positions. Few keys: that table is broadcast and the log does not
-    move. Many: the join is by position, which spreads a hot key evenly.
+    A row is the first of its key if it stands at the key's first position; of several rows of a key at
+    that position, all are. Nulls count as values, in the key as in the order. Few keys: the table of first positions
+    is broadcast and the log does not move. Many: the join is by key and position, which spreads a hot key
+    evenly.
     """
-    firsts = written_table(
-        first_by_key(log, [key], list(order), order).select(
-            *[F.col(name).alias(f"_first_{name}") for name in order]
-        ),
-        "first-positions",
-    )
-    same = [F.col(name) == F.col(f"_first_{name}") for name in order]
-    side = F.broadcast(firsts) if fits_broadcast(firsts, limits) else firsts.hint("merge")
-    repeat = F.when(F.col(f"_first_{order[0]}").isNull(), F.lit(1)).otherwise(F.lit(0))
+    found = first_by_key(log, [key], list(order), order)
+    firsts = written_table(found.withColumnsRenamed({name: f"_first_{name}" for name in [key, *order]}), "first-positions")
+    same = [F.col(name).eqNullSafe(F.col(f"_first_{name}")) for name in [key, *order]]
+    marks = firsts.withColumn("_is_first", F.lit(True))
+    side = F.broadcast(marks) if fits_broadcast(firsts, limits) else marks.hint("merge")
+    repeat = F.when(F.col("_is_first"), F.lit(0)).otherwise(F.lit(1))
     marked = log.join(side, same, "left").withColumn("epoch", F.col("epoch") + repeat)
     return marked.select(*log.columns)
 
@@ -72,7 +70,7 @@ def _runs(fields: Sequence[str], identity: str) -> ordered.Step:
     """Number the rows (``_n``) and give each the first record of its run (``_stored``)."""
 
     def local(rows: DataFrame, scope: ordered.Scope) -> DataFrame:
-        same = F.lag(identity).over(scope.ordered) == F.col(identity)
+        same = F.lag(identity).over(scope.ordered) == F.col(identity)  # a null identity equals none
         marked = rows.withColumn("_n", F.row_number().over(scope.ordered).cast("bigint")).withColumn(
             "_start", F.when(~F.coalesce(same, F.lit(False)), F.struct("_n", *fields))
         )

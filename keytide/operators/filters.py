@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from keytide.functions import binary
+from keytide.operators import ordered
+from keytide.settings import DEFAULT_LIMITS, Limits
 
 # The age bounds, all strict.
 YOUNG_BELOW = 30
@@ -53,11 +55,19 @@ def from_position(df: DataFrame, start: int) -> DataFrame:
     return df.where(F.col("off") >= start)
 
 
-def until_count(df: DataFrame, max_messages: int, poll_size: int) -> DataFrame:
+def until_count(
+    df: DataFrame, max_messages: int, poll_size: int, *, dense: bool = False, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """What a reader sees that stops after the first full poll beyond ``max_messages``.
 
-    ``max_messages`` <= 0 reads everything. Offsets count from 0 without gaps.
+    ``max_messages`` <= 0 reads everything. Records are counted in order of ``off``; ``dense`` says that offsets count
+    from 0 without gaps, so that they need not be numbered. Rows that share an offset go together.
     """
     if max_messages <= 0:
         return df
-    return df.where(F.col("off") < (max_messages // poll_size + 1) * poll_size)
+    most = (max_messages // poll_size + 1) * poll_size
+    if dense:
+        return df.where(F.col("off") < most)
+    last = ordered.positions(df.select(F.col("off").alias("at"), "off"), "off", limits)
+    bound = last.where(F.col("off") < most).agg(F.max("at")).first()[0]
+    return df.where(F.col("off") <= bound) if bound is not None else df.limit(0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keytide.operators.filters import rekey
 from keytide.operators.ordered import flag_hot, hot_keys
@@ -15,9 +15,13 @@ JOINED_FIELDS = ("customerId", "firstName", "lastName", "email", "age", "regionN
 
 
 def fits_broadcast(table: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
-    """Measure a table against the replication bound: its rows and their size as text."""
+    """Measure a table against the replication bound: its rows, and their size as text.
+
+    Only as many rows as the bound allows, and one more, are looked at, so a table far beyond it costs little.
+    """
+    within = table.limit(limits.broadcast_rows + 1)
     size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
-    rows, used = table.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    rows, used = within.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
     return rows <= limits.broadcast_rows and used <= limits.broadcast_bytes
 
 
@@ -44,16 +48,24 @@ def lookup(
     return _shuffled(keyed, side, table_key, how, limits).drop("_key", table_key)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
 def _shuffled(keyed: DataFrame, table: DataFrame, table_key: str, how: str, limits: Limits) -> DataFrame:
     same = F.col("_key") == F.col(table_key)
     hot = None if keyed.isStreaming else hot_keys(keyed.select("_key"), ["_key"], limits)
     if hot is None:
         return keyed.join(table.hint("merge"), same, how)
-    # The salt comes from the row itself, so a retried task repeats it. Every hot key has as many
+    # The salt comes from the whole row, so a retried task repeats it. Every hot key has as many
     # pieces as its rows need, so the repeated table rows stay few: rows / salt_rows + hot keys.
+    row = F.xxhash64(*[F.col(f"`{name}`") for name in keyed.columns if not _has_map(keyed.schema[name].dataType)])
     pieces = F.ceil(F.col("_rows") / limits.salt_rows).cast("int")
     spread = flag_hot(keyed, ["_key"], hot, pieces.alias("_pieces")).withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64("off"), F.col("_pieces")).cast("int"), F.lit(0))
+        "_salt", F.coalesce(F.pmod(row, F.col("_pieces")).cast("int"), F.lit(0))
     )
     table_hot = hot.withColumnRenamed("_key", table_key)
     repeated = flag_hot(table, [table_key], table_hot, pieces.alias("_pieces_t")).withColumn(

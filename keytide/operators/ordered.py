@@ -124,6 +124,12 @@ def numbered(out: str) -> Step:
     )
 
 
+def positions(df: DataFrame, by: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """``df`` with ``by`` replaced by the rows' numbers in its order, from 0."""
+    counted = apply_in_order(df, [], [by], numbered("_number"), limits)
+    return counted.withColumn(by, F.col("_number") - 1).drop("_number")
+
+
 def running_sum(value: str | Column, out: str) -> Step:
     """Sum of ``value`` over this and all earlier rows of the key."""
     return Step(

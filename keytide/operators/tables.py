@@ -52,7 +52,7 @@ def compact(
     deleted: Column,
     order: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
-    """Newest value per key; a key whose newest record is a delete marker vanishes."""
+    """Newest value per key; a key whose newest record is a delete marker vanishes. A null marker is no delete."""
     return latest_with_deletes(log, keys, values, deleted, order).where(~F.col("is_deleted")).drop("is_deleted")
 
 
@@ -65,10 +65,17 @@ def latest_with_deletes(
 ) -> DataFrame:
     """As ``compact``, but deleted keys stay and are marked: what an update stream must emit,
     since a filter cannot take back an earlier row."""
-    return latest_by_key(log.withColumn("is_deleted", deleted), keys, [*values, "is_deleted"], order)
+    return latest_by_key(log.withColumn("is_deleted", F.coalesce(deleted, F.lit(False))), keys, [*values, "is_deleted"], order)
 
 
-def batch_counts(log: DataFrame, poll_size: int, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Records per poll of ``poll_size``, and records read so far."""
+def batch_counts(
+    log: DataFrame, poll_size: int, limits: Limits = DEFAULT_LIMITS, *, dense: bool = False
+) -> DataFrame:
+    """Records per poll of ``poll_size``, and records read so far.
+
+    Records are numbered in order of ``off``. ``dense`` says that offsets already are such numbers, from 0 without gaps,
+    which saves the numbering.
+    """
+    log = log.select("off") if dense else ordered.positions(log.select("off"), "off", limits)
     counts = log.groupBy(F.expr(f"off div {poll_size}").alias("batch")).agg(F.count(F.lit(1)).alias("records"))
     return ordered.apply_in_order(counts, [], ["batch"], ordered.running_sum("records", "total"), limits)

@@ -143,7 +143,7 @@ QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, off DESC) =
     "compact_with_deletes": """WITH newest AS (
   SELECT user_id AS key, value AS price, ts, event_id AS off, event_type FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
-SELECT key, price, ts, off FROM newest WHERE event_type <> 'error'""",
+SELECT key, price, ts, off FROM newest WHERE event_type IS DISTINCT FROM 'error'""",
     "counter_log": f"""WITH {_COUNTER}
 SELECT key, CAST("timestamp" AS VARCHAR) AS "timestamp", is_deleted, off FROM counterlog""",
     "counter_survivors": f"""WITH {_COUNTER}, newest AS (

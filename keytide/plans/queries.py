@@ -140,7 +140,7 @@ def scan_from_latest(spark: SparkSession, folder: str) -> DataFrame:
 def scan_bounded(spark: SparkSession, folder: str) -> DataFrame:
     """A reader told to stop after half of the log."""
     customers = inputs.customers(spark, folder)
-    return filters.until_count(customers, customers.count() // 2, POLL_SIZE)
+    return filters.until_count(customers, customers.count() // 2, POLL_SIZE, dense=True)
 
 
 # --- filters and projections ---------------------------------------------------------------
@@ -278,7 +278,7 @@ def counter_survivors(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.batch_counts(inputs.customers(spark, folder), POLL_SIZE)
+    return tables.batch_counts(inputs.customers(spark, folder), POLL_SIZE, dense=True)
 
 
 # --- joins ---------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-COMMITS = "commits"
+COMMITS, STAGED = "commits", "staged"
 _BATCH = T.StructField("batch_id", T.LongType(), True)
 
 
@@ -61,17 +61,21 @@ def start_batches(
 ) -> StreamingQuery:
     """Write each micro-batch as the tables ``split`` makes of it.
 
-    ``once`` stops when everything present at the start is read; otherwise the query goes on.
+    ``once`` stops when everything present at the start is read; otherwise the query goes on. A batch that goes to
+    several tables is written to the shared folder first, so that its source is read once and a lost executor
+    loses nothing; the next batch but one takes its place.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if is_committed(spark, root, batch_id):
+            return
         tables = split(batch)
         if len(tables) > 1:
-            batch.persist()
-        try:
-            write_atomically(root, batch_id, tables)
-        finally:
-            batch.unpersist()
+            folder = f"{root}/{STAGED}/slot={batch_id % 2}"
+            batch.write.mode("overwrite").parquet(folder)
+            tables = split(spark.read.schema(batch.schema).parquet(folder))
+        write_atomically(root, batch_id, tables)
 
     writer = (
         stream.writeStream.outputMode(output_mode)

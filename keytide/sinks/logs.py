@@ -36,12 +36,13 @@ def counted(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("records"))
 
 
-def printed(stream: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQuery:
-    """Show each micro-batch on the console."""
-    return (
-        stream.writeStream.format("console")
-        .option("numRows", rows)
-        .option("truncate", "false")
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def printed(stream: DataFrame, checkpoint: str, rows: int | None = None) -> StreamingQuery:
+    """Show each micro-batch on the console: all its records, or the first ``rows``."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        shown = batch if rows is None else batch.limit(rows)
+        for row in shown.toLocalIterator():  # partition by partition, as a console is one
+            print(row)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(show).start()

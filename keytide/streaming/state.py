@@ -83,7 +83,8 @@ class CountRepeats(StatefulProcessor):
         stored = self._stored.get()
         current = None if stored is None else dict(zip(self._places, stored))
         for row in sorted(rows, key=self._position):
-            if current is not None and current[self._identity] == row[self._identity]:
+            identity = row[self._identity]  # a null identity equals none, as in the batch form
+            if current is not None and identity is not None and current[self._identity] == identity:
                 current[self._epoch] += 1
             else:
                 current = {place: row[place] for place in self._places}
