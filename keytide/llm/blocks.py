@@ -10,16 +10,18 @@ from __future__ import annotations
 
 import ctypes
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from keytide.settings import written_table
 
 LEAST_BYTES = 2 << 20  # of a block and of a bucket's share of the text
+BLOCK_ROWS = 1 << 16
 MESSAGE_KEYS = 1800  # text bytes times text bytes over all text, for about 100 keys in a message
 NO_ID = np.iinfo(np.int64).max
 
@@ -52,20 +54,21 @@ def unpacked(message: bytes) -> dict[str, np.ndarray]:
 
 
 class Block:
-    """The documents of one block: ids (NO_ID for null) and texts as UTF-8 (empty for null)."""
+    """The documents of one block: ids (NO_ID for null), texts as UTF-8 (empty for null), and what was carried."""
 
     def __init__(self, payload: bytes):
-        table = pa.ipc.open_stream(payload).read_all()
-        self.null = np.asarray(table["id"].is_null().combine_chunks())
-        self.ids = table["id"].fill_null(int(NO_ID)).to_numpy()
-        self.texts: list[bytes] = table["text"].to_pylist()
+        self.table = pa.ipc.open_stream(payload).read_all().combine_chunks()
+        self.null = self.table["id"].is_null().to_numpy()
+        self.ids = self.table["id"].fill_null(int(NO_ID)).to_numpy()
+        self.texts: list[bytes] = [text or b"" for text in self.table["text"].to_pylist()]
 
 
-def _payload(ids: list, texts: list) -> bytes:
-    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.large_binary())], names=["id", "text"])
+def _payload(slices: list[pa.RecordBatch]) -> bytes:
+    table = pa.Table.from_batches(slices)
+    table = table.set_column(1, "text", table["text"].cast(pa.large_binary()))
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
@@ -81,33 +84,40 @@ def released() -> None:
         _libc.malloc_trim(0)
 
 
-def in_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """Write documents as blocks (block, payload); also the total size of all texts."""
-    chosen = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").alias("text"))
+def in_blocks(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Write documents as blocks (block, payload); also the total size of all texts.
+
+    The columns named in ``carry`` travel along as c0, c1 and so on.
+    """
+    chosen = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+        *[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(carry)],
+    )
     total = chosen.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     block_bytes = share_bytes(total)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        first, number = TaskContext.get().partitionId() << 32, 0
-        ids, texts, size = [], [], 0
+        number, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
 
         def full() -> pa.RecordBatch:
-            return pa.record_batch(
-                [pa.array([first + number]), pa.array([_payload(ids, texts)], pa.binary())], names=["block", "payload"]
-            )
+            return pa.record_batch([pa.array([number]), pa.array([_payload(held)], pa.binary())], names=["block", "payload"])
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
-                ids.append(key)
-                texts.append(text.as_py() or b"")
-                size += len(texts[-1])
-                if size >= block_bytes or len(ids) >= 1 << 16:
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+            low, base = 0, 0
+            while low < batch.num_rows:
+                high = min(int(np.searchsorted(upto, base + block_bytes - size)) + 1, low + BLOCK_ROWS - rows, batch.num_rows)
+                held.append(batch.slice(low, high - low))
+                size, rows = size + int(upto[high - 1]) - base, rows + high - low
+                low, base = high, int(upto[high - 1])
+                if size >= block_bytes or rows >= BLOCK_ROWS:
                     yield full()
-                    ids, texts, size, number = [], [], 0, number + 1
+                    number, held, size, rows = number + 1, [], 0, 0
                     released()
-        if ids:
+        if held:
             yield full()
         released()
 
@@ -119,7 +129,7 @@ def buckets_for(total: int) -> int:
 
 
 def spread(df: DataFrame, total: int, key: str) -> DataFrame:
-    """Deal rows by key over enough partitions for ``total`` bytes of text."""
+    """Deal rows by key over partitions of a few blocks or buckets each."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(least, total // (64 << 20)), key)
 

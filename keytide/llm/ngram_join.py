@@ -26,23 +26,23 @@ PIECE_BYTES = 4 << 20
 LEADER_ROUNDS = 2
 CHUNK_ROWS = 4096  # sets multiplied with one leader in one go
 
-PROFILE = "doc_id long, n_shingles long, set_a long, set_b long, parts array<long>"
+PROFILE = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, parts array<long>"
 HASHES = "set_a long, set_b long, shingles binary"
 
 
-def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes]]]:
-    """Ids and lower-cased texts, some megabytes at a time."""
+def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+    """Rows and their lower-cased texts, some megabytes at a time."""
     for frame in frames:
         ids, texts, size = [], [], 0
-        for key, text in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
+        for key, text in zip(frame.index, frame["text"]):
             ids.append(key)
             texts.append(text.encode().translate(LOWER) if isinstance(text, str) else b"")
             size += len(texts[-1])
             if size >= PIECE_BYTES:
-                yield ids, texts
+                yield frame.loc[ids], texts
                 ids, texts, size = [], [], 0
         if ids:
-            yield ids, texts
+            yield frame.loc[ids], texts
 
 
 def _shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,12 +126,13 @@ def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np
 
 def _profiled(words: int, per: int, of: int):
     def profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, texts in _pieces(frames):
+        for rows, texts in _pieces(frames):
             hashes, bounds = _shingles(texts, words)
             a, b = _set_ids(hashes, bounds)
             yield pd.DataFrame(
                 {
-                    "doc_id": pd.Series(ids, dtype="Int64"),
+                    "doc_id": rows["doc_id"].astype("Int64").to_numpy(),
+                    "text_hash": rows["text_hash"].to_numpy(),
                     "n_shingles": np.diff(bounds),
                     "set_a": a,
                     "set_b": b,
@@ -203,18 +204,20 @@ def near_documents(
     per: int = 80,
     of: int = 100,
 ) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id.
+    """Per document: doc_id, n_shingles, component_id, text_hash, component.
 
     Two documents link if of * |intersection| >= per * |union| for their sets of ``words``-word shingles of
     lower-cased (A-Z) words. A text with fewer words is one shingle; one without words or a null text has
     none and links with nothing. ``component_id`` is the smallest id that links lead to. A null id stays null and
-    counts only if a component has no other. Rows that share an id are documents of their own.
+    counts only if a component has no other. Rows that share an id are documents of their own: ``component`` numbers
+    the components (null without shingles) and ``text_hash`` is Spark's xxhash64 of the text, to tell rows apart.
     Other columns of ``docs`` are not looked at. Empty tables give no rows.
     """
     if not 0 < per <= of:
         raise ValueError("the threshold must lie in (0, 1]")
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    profiles = written_table(chosen.mapInPandas(_profiled(words, per, of), PROFILE), "profiles")
+    hashed = chosen.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    profiles = written_table(hashed.mapInPandas(_profiled(words, per, of), PROFILE), "profiles")
     grouped = profiles.where("n_shingles > 0").groupBy("set_a", "set_b")
     sets = grouped.agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("first_id"), F.first("parts").alias("parts"))
     sets = written_table(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
@@ -261,7 +264,25 @@ def near_documents(
 
     named = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labelled = named.join(least, "root").select("set_a", "set_b", "component_id")
-    out = profiles.select("doc_id", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b"], "left")
+    labelled = named.join(least, "root").select("set_a", "set_b", "component_id", F.col("root").alias("component"))
+    out = profiles.join(labelled, ["set_a", "set_b"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), "text_hash", "component")
+
+
+def without_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The documents of ``docs``, of each component only the one with the smallest id, with all columns.
+
+    Rows that repeat an id and a text are one document, of which one row stays. Documents without shingles stay.
+    """
+    found = near_documents(docs, id_col=id_col, text_col=text_col, **how)
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = stays.where("component is null").select("doc_id", "text_hash")
+    grouped = stays.where("component is not null").groupBy("component", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    chosen = alone.unionByName(grouped.select("doc_id", "text_hash")).distinct()
+    chosen = chosen.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    own_id, own_hash = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+    keyed = docs.withColumn("_own_id", own_id).withColumn("_own_hash", own_hash)
+    same = F.col("_own_id").eqNullSafe(F.col("_kept_id")) & (F.col("_own_hash") == F.col("_kept_hash"))
+    joined = keyed.join(chosen, same, "left_semi")
+    return joined.dropDuplicates(["_own_id", "_own_hash"]).select(*docs.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keytide.llm import blocks as B
@@ -55,7 +55,7 @@ def _compare(symbols: Symbols, ids: np.ndarray, offsets: np.ndarray, window: int
 
 
 def _finish(window: int, keep_text: bool):
-    def rows(block: B.Block, symbols: Symbols, first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+    def rows(block: B.Block, symbols: Symbols, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
         gone = covered(len(symbols.starts), first, last + window - 1)
         removed = np.concatenate([[0], np.cumsum(gone)])[symbols.bounds]
         raw, texts = symbols.buffer.tobytes(), []
@@ -63,13 +63,13 @@ def _finish(window: int, keep_text: bool):
         upto = (symbols.bounds - removed).tolist()
         for low, high in zip(upto[:-1], upto[1:]):
             texts.append(b" ".join([raw[a:b] for a, b in zip(starts[low:high], ends[low:high])]))
-        frame = {
-            "doc_id": pd.Series(block.ids, dtype="Int64").mask(block.null),
+        columns = {
+            "doc_id": block.table["id"].combine_chunks(),
             "n_words": np.diff(symbols.bounds),
             "n_removed": np.diff(removed),
-            "kept_sha256": [hashlib.sha256(t).hexdigest() for t in texts],
+            "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
         }
-        return pd.DataFrame(frame | ({"kept": [t.decode() for t in texts]} if keep_text else {}))
+        return pa.RecordBatch.from_pydict(columns | ({"kept": pa.array([t.decode() for t in texts])} if keep_text else {}))
 
     return rows
 
@@ -89,3 +89,42 @@ def remove_passages(
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     schema += ", kept string" if keep_text else ""
     return cut(docs, Method(window, SEED, _read, _compare), _finish(window, keep_text), schema, id_col, text_col)
+
+
+def cleaned(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    length_col: str | None = None,
+) -> DataFrame:
+    """``docs`` with the repeated words cut out of their texts, all other columns as they are.
+
+    A text that loses nothing stays as it is, spaces and all; what is left of another is its stretches of kept words,
+    a line each, and ``length_col`` (if given) is its new length. Documents that lose all their words go.
+    """
+    names = docs.columns
+    text_at, length_at = names.index(text_col), names.index(length_col) if length_col else None
+
+    def rows(block: B.Block, symbols: Symbols, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        gone = covered(len(symbols.starts), first, last + window - 1)
+        upto, raw = symbols.bounds.tolist(), symbols.buffer.tobytes()
+        removed = np.concatenate([[0], np.cumsum(gone)])[symbols.bounds]
+        lost, words = np.diff(removed), np.diff(symbols.bounds)
+        columns = [block.table[f"c{i}"].combine_chunks() for i in range(len(names))]
+        texts = columns[text_at].to_pylist()
+        for i in np.flatnonzero(lost).tolist():
+            own = np.flatnonzero(~gone[upto[i] : upto[i + 1]]) + upto[i]
+            breaks = np.flatnonzero(np.diff(own) > 1) + 1
+            parts = [(run[0], run[-1]) for run in np.split(own, breaks) if len(run)]
+            texts[i] = "\n".join(raw[symbols.starts[a] : symbols.ends[b]].decode() for a, b in parts)
+        if length_at is not None:
+            sizes = columns[length_at].to_pylist()
+            for i in np.flatnonzero(lost).tolist():
+                sizes[i] = len(texts[i])
+            columns[length_at] = pa.array(sizes, columns[length_at].type)
+        columns[text_at] = pa.array(texts, columns[text_at].type)
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array((lost == 0) | (lost < words)))
+
+    return cut(docs, Method(window, SEED, _read, _compare), rows, docs.schema, id_col, text_col, carry=names)

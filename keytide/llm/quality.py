@@ -124,21 +124,21 @@ RULES = (
     Rule("capitals", lambda b: 2 * b.count(_UPPER[b.buffer]) > b.count(_LETTER[b.buffer])),
 )
 
-MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 MEASURES += ", base_failed boolean, kept boolean"
 
 
-def _pieces(frames: Iterator[pd.DataFrame], columns: slice) -> Iterator[tuple[pd.DataFrame, Batch]]:
-    for frame in frames:
-        texts, low, size = [], 0, 0
-        for at, text in enumerate(frame.iloc[:, 1]):
-            texts.append(text.encode() if isinstance(text, str) else b"")
-            size += len(texts[-1])
-            if size >= PIECE_BYTES:
-                yield frame.iloc[low : at + 1, columns], Batch(texts)
-                texts, low, size = [], at + 1, 0
-        if texts:
-            yield frame.iloc[low:, columns], Batch(texts)
+def _batches(texts: pd.Series) -> Iterator[Batch]:
+    """Some megabytes of texts at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.encode() if isinstance(text, str) else b"")
+        size += len(held[-1])
+        if size >= PIECE_BYTES:
+            yield Batch(held)
+            held, size = [], 0
+    if held:
+        yield Batch(held)
 
 
 def _base_failed(batch: Batch) -> np.ndarray:
@@ -155,7 +155,7 @@ def cascade_order(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[R
     every = F.pmod(F.xxhash64(id_col, text_col), F.lit(max(1, rows // SAMPLE_ROWS))) == 0
 
     def tried(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, batch in _pieces(frames, slice(None)):
+        for batch in (batch for frame in frames for batch in _batches(frame["text"])):
             batch = batch.rows(np.flatnonzero(~_base_failed(batch)))
             for rule in rules:
                 own = batch.rows(np.arange(batch.size))  # nothing worked out by another rule
@@ -163,7 +163,7 @@ def cascade_order(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[R
                 gone = int(np.count_nonzero(rule.rejects(own)))
                 yield pd.DataFrame({"rule": [rule.name], "gone": [gone], "seconds": [time.perf_counter() - began]})
 
-    sample = docs.select(id_col, F.col(text_col).cast("string").alias("text")).where(every)
+    sample = docs.where(every).select(F.col(text_col).cast("string").alias("text"))
     tried_rules = sample.mapInPandas(tried, "rule string, gone long, seconds double")
     figures = tried_rules.groupBy("rule").agg(F.sum("gone").alias("gone"), F.sum("seconds").alias("seconds")).collect()
     worth = {row["rule"]: row["gone"] / max(row["seconds"], 1e-9) for row in figures}
@@ -185,34 +185,45 @@ def _rejected(batch: Batch, open_: np.ndarray, rules: Sequence[Rule]) -> np.ndar
     return out
 
 
-def rate(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES, keep: Sequence[str] = ()
-) -> DataFrame:
-    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
-
-    ``keep`` names further columns of ``docs`` to carry along; they must not clash with these. The base
-    rules want 50 words and at most half of all words in 3-word windows found twice. A null text has no words.
-    A null id stays null; rows that share an id are rated each. Empty tables give no rows.
-    """
+def verdicts(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[Rule] = RULES):
+    """The measures of a text as one column expression, with the cascade ordered for these documents."""
     order = cascade_order(docs, id_col, text_col, rules)
     cascade = sorted(rules, key=lambda rule: order.index(rule.name))
 
-    def rated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, batch in _pieces(frames, slice(None)):
+    def measured(texts: pd.Series) -> pd.DataFrame:
+        parts = []
+        for batch in _batches(texts):
             failed = _base_failed(batch)
-            measures = {
-                "doc_id": frame.iloc[:, 0].astype("Int64").to_numpy(),
-                "n_words": batch.n_words,
-                "word_chars": batch.word_chars,
-                "n_symbols": batch.n_symbols,
-                "n_dup_lines": batch.n_dup_lines,
-                "n_repeat_words": batch.n_repeat_words,
-                "base_failed": failed,
-                "kept": ~failed & ~_rejected(batch, ~failed, cascade),
-            }
-            yield pd.DataFrame(measures | {name: frame[f"own_{name}"].to_numpy() for name in keep})
-
-    more = [F.col(name).alias(f"own_{name}") for name in keep]
-    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *more)
-    kinds = dict(docs.dtypes)
-    return chosen.mapInPandas(rated, ", ".join([MEASURES, *(f"`{name}` {kinds[name]}" for name in keep)]))
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "n_words": batch.n_words,
+                        "word_chars": batch.word_chars,
+                        "n_symbols": batch.n_symbols,
+                        "n_dup_lines": batch.n_dup_lines,
+                        "n_repeat_words": batch.n_repeat_words,
+                        "base_failed": failed,
+                        "kept": ~failed & ~_rejected(batch, ~failed, cascade),
+                    }
+                )
+            )
+        return pd.concat(parts) if parts else pd.DataFrame(columns=[field.split()[0] for field in MEASURES.split(", ")])
+
+    return F.pandas_udf(measured, MEASURES)(F.col(text_col).cast("string"))
+
+
+def rate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
+
+    The base rules want 50 words and at most half of all words in 3-word windows found twice. A null text has
+    no words. A null id stays null; rows that share an id are rated each. Other columns are not looked
+    at; empty tables give no rows.
+    """
+    measures = verdicts(docs, id_col, text_col, rules)
+    rated = docs.select(F.col(id_col).cast("long").alias("doc_id"), measures.alias("m"))
+    return rated.select("doc_id", "m.*")
+
+
+def kept(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The documents that no rule rejects, with all their columns."""
+    return docs.where(verdicts(docs, id_col, text_col, rules)["kept"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keytide.llm import chat, fingerprints, ngram_join, packing, passages, quality, substrings, token_counts, warc
+from keytide.llm import chat, fingerprints, ngram_join, packing, passages, pieces, quality, substrings, token_counts, warc
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_documents(documents(spark, folder), words=3, per=90)
 
 
+def op3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprinted(documents(spark, folder))
 
@@ -54,6 +58,7 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
+    "op3_pieces": op3_pieces,
     "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
     "op6_chat": op6_chat,

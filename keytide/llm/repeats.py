@@ -9,12 +9,14 @@ means, and how a bucket compares, is the caller's: ``substrings`` sorts suffixes
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from keytide.llm import blocks as B
 from keytide.llm.vectors import winnowed
@@ -231,20 +233,23 @@ def flagged_windows(method: Method, block: B.Block, n_buckets: int, reply0, repl
     return runs.symbols, np.concatenate([runs.first[whole], single]), np.concatenate([runs.last[whole], single])
 
 
-def cut(docs: DataFrame, method: Method, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: ``finish(block, symbols, first, last)`` makes a block's rows."""
-    blocks, total = B.in_blocks(docs, id_col, text_col)
+def cut(
+    docs: DataFrame, method: Method, finish, schema: str | StructType, id_col: str, text_col: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """What ``finish(block, symbols, first, last)`` makes of each block: a record batch of ``schema``."""
+    blocks, total = B.in_blocks(docs, id_col, text_col, carry)
     n_buckets = B.buckets_for(total)
     seeds = blocks.mapInPandas(_seeds_sent(method, n_buckets), B.MESSAGE)
     shared = B.answered(seeds, _seeds_answered, total, "seeds")
     sent = B.with_replies(blocks, [shared], total).mapInPandas(_stretches_sent(method, n_buckets), B.MESSAGE)
     earlier = B.answered(sent, _stretches_answered(method), total, "stretches")
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for payload, reply0, reply1 in zip(frame["payload"], frame["reply0"], frame["reply1"]):
-                block = B.Block(payload)
-                yield finish(block, *flagged_windows(method, block, n_buckets, reply0, reply1))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            payloads, *replies = (batch.column(name) for name in ("payload", "reply0", "reply1"))
+            for payload, reply0, reply1 in zip(payloads, *replies):
+                block = B.Block(payload.as_py())
+                yield finish(block, *flagged_windows(method, block, n_buckets, reply0.as_py(), reply1.as_py()))
                 B.released()
 
-    return B.with_replies(blocks, [shared, earlier], total).mapInPandas(rows, schema)
+    return B.with_replies(blocks, [shared, earlier], total).mapInArrow(rows, schema)

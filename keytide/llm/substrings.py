@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keytide.llm import blocks as B
@@ -138,7 +138,7 @@ def _read(texts: list[bytes]) -> Symbols:
 
 
 def _finish(window: int, keep_text: bool):
-    def rows(block: B.Block, symbols: Symbols, first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+    def rows(block: B.Block, symbols: Symbols, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
         gone = covered(len(symbols.buffer), first, last + window - 1)
         fresh = gone.copy()
         fresh[1:] &= ~gone[:-1]
@@ -149,14 +149,14 @@ def _finish(window: int, keep_text: bool):
         kept = symbols.buffer[~gone].tobytes()
         upto = (symbols.bounds - removed).tolist()
         texts = [kept[a:b] for a, b in zip(upto[:-1], upto[1:])]
-        frame = {
-            "doc_id": pd.Series(block.ids, dtype="Int64").mask(block.null),
+        columns = {
+            "doc_id": block.table["id"].combine_chunks(),
             "n_bytes": np.diff(symbols.bounds),
             "n_removed": np.diff(removed),
             "n_spans": np.diff(spans),
-            "kept_sha256": [hashlib.sha256(t).hexdigest() for t in texts],
+            "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
         }
-        return pd.DataFrame(frame | ({"kept": texts} if keep_text else {}))
+        return pa.RecordBatch.from_pydict(columns | ({"kept": pa.array(texts, pa.binary())} if keep_text else {}))
 
     return rows
 
