@@ -198,10 +198,11 @@ class _Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         units = [text.split() for text in texts]
         new = list({unit for line in units for unit in line if unit not in self.known})
-        ids = [
-            np.array(found.ids, "<u4").tobytes()
-            for found in self.library.encode_batch_fast([unit.decode() for unit in new], add_special_tokens=False)
-        ]
+        ids = []
+        for low in range(0, len(new), 8192):
+            part = [unit.decode() for unit in new[low : low + 8192]]
+            found = self.library.encode_batch_fast(part, add_special_tokens=False)
+            ids += [np.array(one.ids, "<u4").tobytes() for one in found]
         fresh = dict(zip(new, ids))
         both = {**self.known, **fresh} if len(self.known) < KEPT_UNITS else None
         if both is not None:

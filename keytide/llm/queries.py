@@ -6,6 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from keytide.llm import chat, fingerprints, ngram_join, packing, passages, pieces, quality, substrings, token_counts, warc
+from keytide.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,7 +20,8 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.near_documents(documents(spark, folder), words=3, per=90)
+    found = ngram_join.near_documents(documents(spark, folder), words=3, per=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op3_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,4 +71,3 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_best_fit": op10_best_fit,
 }
-ORACLES: dict[str, str] = {}
