@@ -41,6 +41,12 @@ def counter_log(steps: DataFrame, offset: int, gap: int | None = COUNTER_GAP) ->
     return steps.select(F.explode(written).alias("_r")).select("_r.*")
 
 
+def as_payload(log: DataFrame) -> DataFrame:
+    """The counter log as topics take it: key, and the record as JSON or null for a delete."""
+    record = F.to_json(F.struct(F.col("key").alias("counterId"), "timestamp"))
+    return log.select("key", F.when(~F.col("is_deleted"), record).alias("value"), "off")
+
+
 def revisions(changes: DataFrame, seed: int, max_files: int = MAX_FILES) -> DataFrame:
     """1 to ``max_files`` child records per change."""
     files = uniform.below(seed, "files", F.col("change"), max_files)

@@ -4,21 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keytide.functions.regions import REGIONS, region_field, region_table
+from keytide.functions.regions import REGIONS, region_field
+from keytide.operators import tables
 from keytide.schemas import TABLES
+from keytide.settings import new_folder, written_table
 from keytide.sources import generators, topics
 
-# Regions missing from the snapshot table, so that inner and left joins differ.
-GAPS = ("HK", "IS")
+# Parts in which a table arrives as a stream, and rows per file of a part.
+ARRIVALS = 3
+FILE_ROWS = 5_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, **bounds) -> DataFrame:
-    # As a pattern the path may name one file as well as a folder of files.
-    return topics.stream_log(spark, f"{folder}/{name}.parquet*", TABLES[name], **bounds)
+def arrive(part: DataFrame, root: str, number: int, position: str) -> None:
+    """Write one part of a table under ``root``, its files in order of ``position``."""
+    files = max(1, part.count() // FILE_ROWS)
+    part.repartitionByRange(files, position).write.parquet(f"{root}/{number}")
+
+
+def parts_of(whole: DataFrame, position: str) -> list[DataFrame]:
+    """A table as ARRIVALS parts by position; together they hold every row."""
+    low, high = whole.agg(F.min(position), F.max(position)).first()
+    if low is None:
+        return [whole]
+    cuts = [low + (high - low + 1) * i // ARRIVALS for i in range(1, ARRIVALS)]
+    at = F.col(position)
+    below = [whole.where(F.coalesce(at < cuts[0], F.lit(True)))]
+    between = [whole.where((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])]
+    return [*below, *between, whole.where(at >= cuts[-1])]
+
+
+def arrivals(spark: SparkSession, folder: str, name: str, position: str) -> str:
+    """The table again, as files that arrived one part after the other."""
+    root = new_folder(spark, f"arrivals-{name}")
+    for number, part in enumerate(parts_of(table(spark, folder, name), position)):
+        arrive(part, root, number, position)
+    return root
+
+
+def stream_of(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """What arrives under ``root``, a part per micro-batch."""
+    files = len(spark.read.schema(TABLES[name]).parquet(f"{root}/*").inputFiles())
+    return topics.stream_log(spark, f"{root}/*", TABLES[name], files_per_batch=max(1, files // ARRIVALS))
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, position: str) -> DataFrame:
+    return stream_of(spark, arrivals(spark, folder, name, position), name)
 
 
 def as_customers(events: DataFrame) -> DataFrame:
@@ -43,8 +77,23 @@ def as_price_points(events: DataFrame) -> DataFrame:
     )
 
 
-def regions(spark: SparkSession) -> DataFrame:
-    return region_table(spark).where(~F.col("identifier").isin(*GAPS))
+def as_region_log(events: DataFrame) -> DataFrame:
+    """A change log of regions: error events state a region, signup events delete one."""
+    index = F.col("event_id") % len(REGIONS)
+    return events.where(F.col("event_type").isin("error", "signup")).select(
+        region_field(index, 0).alias("identifier"),
+        region_field(index, 1).alias("longName"),
+        region_field(index, 2).alias("areaCode"),
+        (F.col("event_type") == "signup").alias("is_deleted"),
+        F.col("event_id").alias("off"),
+        "ts",
+    )
+
+
+def regions(spark: SparkSession, folder: str) -> DataFrame:
+    """The regions that their change log leaves, so that inner and left joins differ."""
+    log = as_region_log(table(spark, folder, "events"))
+    return written_table(tables.compact(log, ["identifier"], ["longName", "areaCode"], F.col("is_deleted")), "regions")
 
 
 def as_region_changes(events: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from keytide.functions.regions import REGIONS
-from keytide.plans.inputs import GAPS
 from keytide.plans.queries import CHANGE_OFFSET, COUNTER_OFFSET, POLL_SIZE, SEED
 
+# Code, name and dialling prefix of each region, by index, written out here again.
+REGIONS = (
+    ("UK", "United Kingdom", "+49"), ("DE", "Germany", "+49"), ("FR", "France", "+33"), ("IT", "Italy", "+39"),
+    ("UA", "Ukraine", "+380"), ("SE", "Sweden", "+46"), ("DK", "Denmark", "+45"), ("NO", "Norway", "+47"),
+    ("PL", "Poland", "+48"), ("IS", "Iceland", "+354"), ("US", "United States of America", "+1"),
+    ("IE", "Ireland", "+353"), ("IN", "India", "+91"), ("HK", "Hong Kong", "+852"),
+)
 _RC = "rc(idx, identifier, longName, areaCode) AS (VALUES {})".format(
     ", ".join(f"({i}, '{code}', '{name}', '{prefix}')" for i, (code, name, prefix) in enumerate(REGIONS))
 )
@@ -18,8 +23,11 @@ _CUST = f"""cust AS (
     CAST(18 + e.user_id % 50 AS INTEGER) AS age, rc.identifier AS region, CAST(1 AS INTEGER) AS epoch,
     e.event_id AS off, e.ts
   FROM events e JOIN rc ON rc.idx = e.user_id % {len(REGIONS)})"""
-_GAPS = ", ".join(f"'{code}'" for code in GAPS)
-_REGIONS = f"regions AS (SELECT identifier, longName, areaCode FROM rc WHERE identifier NOT IN ({_GAPS}))"
+_REGIONS = f"""regions AS (
+  SELECT identifier, longName, areaCode
+  FROM (SELECT event_id % {len(REGIONS)} AS idx, arg_max(event_type, event_id) AS newest FROM events
+    WHERE event_type IN ('error', 'signup') GROUP BY 1) JOIN rc USING (idx)
+  WHERE newest = 'error')"""
 _REGION_LOG = f"""regionlog AS (
   SELECT e.ts, e.event_id AS off, rc.identifier, rc.longName AS regionName, rc.areaCode || '#' || e.event_id AS areaCode
   FROM events e JOIN rc ON rc.idx = e.event_id % {len(REGIONS)} WHERE e.event_type = 'error')"""
@@ -160,8 +168,18 @@ SELECT batch, records, CAST(sum(records) OVER (ORDER BY batch) AS BIGINT) AS tot
     "dedup_epoch_join": f"{_BASE} {_counted('key')}",
     "dedup_epoch_join_segmented": f"{_BASE} {_counted('region')}",
     "dedup_epoch_latest": f"{_BASE} {_NEWEST}",
-    "stream_dedup_keys": f"""{_BASE} SELECT DISTINCT key, customerId, firstName, lastName, email, age, region, epoch
-FROM cust""",
+    "stream_dedup_keys": f"{_BASE} {_FIRST_OF}",
+    "stream_restart": f"{_BASE} SELECT key, {_FIELDS}, off, ts FROM cust",
+    "replay_batch": f"{_BASE} SELECT key, {_FIELDS}, off, ts FROM cust",
+    "observed_counts": "SELECT count(*) AS records FROM events",
+    "counter_log_payload": f"""WITH {_COUNTER}
+SELECT key, CASE WHEN NOT is_deleted THEN '{{"counterId":' || key || ',"timestamp":' || "timestamp" || '}}' END AS value, off
+FROM counterlog""",
+    "join_region_asof_deletes": f"""{_BASE}, regionlog AS (
+  SELECT e.ts, rc.identifier, rc.longName AS regionName, rc.areaCode, e.event_type = 'signup' AS gone
+  FROM events e JOIN rc ON rc.idx = e.event_id % {len(REGIONS)} WHERE e.event_type IN ('error', 'signup'))
+SELECT c.key, c.customerId, c.firstName, c.lastName, c.email, c.age, v.regionName, v.areaCode, c.off, c.ts
+FROM cust c ASOF JOIN regionlog v ON c.region = v.identifier AND c.ts >= v.ts WHERE NOT v.gone""",
     "fan_out_two": f"""{_BASE} SELECT key, {_FIELDS}, off, ts, 'topic1' AS topic FROM cust
 UNION ALL SELECT key, {_FIELDS}, off, ts, 'topic2' FROM cust""",
     "atomic_change_revision": f"""WITH {_REVISIONS}

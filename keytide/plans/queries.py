@@ -29,11 +29,6 @@ POLL_SIZE = 1000
 COUNTER_OFFSET = 7
 CHANGE_OFFSET = 100
 
-# Bytes of source files per micro-batch: for Spark's own operators, and for state kept by Python
-# tasks, which meet a key's whole share of the batch.
-BATCH_BYTES = 1 << 40
-STATE_BATCH_BYTES = 64 << 20
-
 _FIELDS = CUSTOMER.fieldNames()
 
 
@@ -244,10 +239,10 @@ def price_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 def price_table_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The table's update stream, folded to the last update of each key."""
     state.use_rocksdb(spark)
-    points = inputs.as_price_points(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
+    points = inputs.as_price_points(inputs.table_stream(spark, folder, "events", "event_id"))
     updates = tables.latest_by_key(points, ["key"], ["price", "ts", "off"])
     root = new_folder(spark, "price-changes")
-    batches.start_batches(updates, root, batches.fan_out("changes"), output_mode="update").awaitTermination()
+    batches.start_batches(updates, root, batches.fan_out("changes"), output_mode="update", staged=False).awaitTermination()
     written = batches.read_committed(spark, root, "changes", updates.schema)
     return tables.latest_by_key(written, ["key"], ["price", "ts", "off"], ["batch_id"])
 
@@ -271,6 +266,12 @@ def counter_log(spark: SparkSession, folder: str) -> DataFrame:
     return _counter_log(spark, folder).withColumn("timestamp", F.col("timestamp").cast("string"))
 
 
+@_query
+def counter_log_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """The counter log as keys and payloads; a delete marker has no payload."""
+    return fanout.as_payload(_counter_log(spark, folder))
+
+
 @_query
 def counter_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return tables.compact(_counter_log(spark, folder), ["key"], ["timestamp"], F.col("is_deleted"))
@@ -286,35 +287,35 @@ def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def join_region_broadcast(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.join_region_replicated(inputs.customers(spark, folder), inputs.regions(spark))
+    return joins.join_region_replicated(inputs.customers(spark, folder), inputs.regions(spark, folder))
 
 
 @_query
 def join_region_inner(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark))
+    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark, folder))
 
 
 @_query
 def join_region_inner_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The repartitioned form, as it runs when the table is too large to replicate."""
-    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark), _early(spark, folder))
+    return joins.join_region_inner(inputs.customers(spark, folder), inputs.regions(spark, folder), _early(spark, folder))
 
 
 @_query
 def join_region_left(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark))
+    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark, folder))
 
 
 @_query
 def join_region_left_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark), _early(spark, folder))
+    return joins.join_region_left(inputs.customers(spark, folder), inputs.regions(spark, folder), _early(spark, folder))
 
 
 @_query
 def join_region_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The replicated join on a stream, appended to a keyed log and read back."""
-    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
-    joined = joins.join_region_replicated(customers, inputs.regions(spark))
+    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", "event_id"))
+    joined = joins.join_region_replicated(customers, inputs.regions(spark, folder))
     root = new_folder(spark, "join-region")
     logs.append_log(joined, f"{root}/log", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(joined.schema).parquet(f"{root}/log")
@@ -350,17 +351,31 @@ def join_region_asof_segmented(spark: SparkSession, folder: str) -> DataFrame:
     return _as_of(spark, folder, "left", _early(spark, folder))
 
 
+@_query
+def join_region_asof_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """A log with deletes: customers of a region that is gone at their time drop."""
+    joined = asof.join_as_of(
+        inputs.customers(spark, folder),
+        inputs.as_region_log(inputs.table(spark, folder, "events")),
+        "region",
+        "identifier",
+        ["longName", "areaCode"],
+        deleted=F.col("is_deleted"),
+    )
+    return joins.with_region(joined, ["ts"])
+
+
 @_query
 def stream_region_changing(spark: SparkSession, folder: str) -> DataFrame:
     """Customers and region changes as two streams; the table changes while it is joined."""
-    events = lambda: inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES)
-    customers, changes = inputs.as_customers(events()), inputs.as_region_changes(events())
-    root = new_folder(spark, "region-changing")
-    running, schema = fold.join_changing_table(
-        customers, changes, root, "region", "identifier", ["regionName", "areaCode"], "left"
+    root = inputs.arrivals(spark, folder, "events", "event_id")
+    customers = inputs.as_customers(inputs.stream_of(spark, root, "events"))
+    changes = inputs.as_region_changes(inputs.stream_of(spark, root, "events"))
+    running = fold.join_changing_table(
+        customers, changes, new_folder(spark, "region-changing"), "region", "identifier", ["regionName", "areaCode"], "left"
     )
-    running.awaitTermination()
-    return joins.with_region(fold.read_log(spark, root, schema), ["ts"])
+    running.query.awaitTermination()
+    return joins.with_region(running.read(), ["ts"])
 
 
 # --- repeated keys -------------------------------------------------------------------------
@@ -398,9 +413,9 @@ def dedup_epoch_latest(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.latest_repeat(inputs.customers(spark, folder), _FIELDS)
 
 
-def _stream_customers(spark: SparkSession, folder: str, bytes_per_batch: int = BATCH_BYTES) -> DataFrame:
+def _stream_customers(spark: SparkSession, folder: str) -> DataFrame:
     state.use_rocksdb(spark)
-    return inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=bytes_per_batch))
+    return inputs.as_customers(inputs.table_stream(spark, folder, "events", "event_id"))
 
 
 def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -411,12 +426,12 @@ def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 @_query
 def stream_epoch_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return _appended(spark, state.flag_repeats(_stream_customers(spark, folder, STATE_BATCH_BYTES)), "epoch-flag")
+    return _appended(spark, state.flag_repeats(_stream_customers(spark, folder)), "epoch-flag")
 
 
 @_query
 def stream_epoch_join(spark: SparkSession, folder: str) -> DataFrame:
-    customers = _stream_customers(spark, folder, STATE_BATCH_BYTES)
+    customers = _stream_customers(spark, folder)
     return _appended(spark, state.count_repeats(customers, CUSTOMER), "epoch-join")
 
 
@@ -439,16 +454,17 @@ def fold_epoch_join(spark: SparkSession, folder: str) -> DataFrame:
 def stream_epoch_latest(spark: SparkSession, folder: str) -> DataFrame:
     newest = dedup.latest_repeat(_stream_customers(spark, folder), _FIELDS)
     root = new_folder(spark, "epoch-latest")
-    batches.start_batches(newest, root, batches.fan_out("newest"), output_mode="update").awaitTermination()
+    batches.start_batches(newest, root, batches.fan_out("newest"), output_mode="update", staged=False).awaitTermination()
     written = batches.read_committed(spark, root, "newest", newest.schema)
     return tables.latest_by_key(written, ["key"], _FIELDS, ["batch_id"])
 
 
 @_query
 def stream_dedup_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys a duplicate-dropping stream lets through, each once."""
-    kept = dedup.keep_first_unbounded(_stream_customers(spark, folder), "key")
-    return _appended(spark, kept, "dedup").select("key", *[name for name in _FIELDS if name != "update"])
+    """The first record of every key, as a stream that lets each key through once."""
+    customers, root = _stream_customers(spark, folder), new_folder(spark, "dedup")
+    fold.keep_first(customers, root).awaitTermination()
+    return fold.read_log(spark, root, customers.schema)
 
 
 # --- sinks ---------------------------------------------------------------------------------
@@ -456,7 +472,7 @@ def stream_dedup_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def fan_out_two(spark: SparkSession, folder: str) -> DataFrame:
-    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", bytes_per_batch=BATCH_BYTES))
+    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", "event_id"))
     root = new_folder(spark, "fan-out")
     batches.start_batches(customers, root, batches.fan_out("topic1", "topic2")).awaitTermination()
     first, second = (
@@ -468,10 +484,43 @@ def fan_out_two(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second)
 
 
+@_query
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A reader that stops and starts again as the log grows sees every record once."""
+    source, root = new_folder(spark, "arrivals-restart"), new_folder(spark, "restart")
+    for number, part in enumerate(inputs.parts_of(inputs.table(spark, folder, "events"), "event_id")):
+        inputs.arrive(part, source, number, "event_id")
+        customers = inputs.as_customers(inputs.stream_of(spark, source, "events"))
+        logs.append_log(customers, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(customers.schema).parquet(f"{root}/log")
+
+
+@_query
+def replay_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Every batch is written, and written again after its commit; records land once."""
+    root, whole = new_folder(spark, "replay"), inputs.customers(spark, folder)
+    for number, part in enumerate(inputs.parts_of(whole, "off")):
+        for _ in range(2):
+            batches.write_atomically(root, number, {"customer": part})
+    return batches.read_committed(spark, root, "customer", whole.schema).drop("batch_id")
+
+
+@_query
+def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that passed through a stream, as its progress tells them per batch."""
+    customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", "event_id"))
+    root = new_folder(spark, "observed")
+    query = logs.append_log(logs.counted(customers, "customers"), f"{root}/log", f"{root}/checkpoint")
+    query.awaitTermination()
+    seen = [(p["batchId"], p["observedMetrics"]["customers"]["records"]) for p in query.recentProgress if p["numInputRows"]]
+    counts = spark.createDataFrame(seen, "batch long, records long")
+    return counts.agg(F.sum("records").alias("records"))
+
+
 @_query
 def atomic_change_revision(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as changes with their revisions, written together and joined back."""
-    steps = inputs.as_order_steps(inputs.table_stream(spark, folder, "orders", bytes_per_batch=BATCH_BYTES))
+    steps = inputs.as_order_steps(inputs.table_stream(spark, folder, "orders", "o_orderkey"))
     parents = generators.changes(steps, CHANGE_OFFSET).select(*CHANGE.fieldNames())
     root = new_folder(spark, "changes")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 COMMITS, STAGED = "commits", "staged"
@@ -41,6 +41,15 @@ def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
         return False
 
 
+def last_committed(spark: SparkSession, root: str) -> int | None:
+    """The number of the newest batch with a commit."""
+    try:
+        commits = spark.read.schema(T.StructType([T.StructField("id", T.LongType()), _BATCH])).parquet(f"{root}/{COMMITS}")
+    except AnalysisException:
+        return None
+    return commits.agg(F.max("batch_id")).first()[0]
+
+
 def read_committed(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """Rows of committed batches, with their ``batch_id``."""
     rows = spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(f"{root}/{table}")
@@ -58,24 +67,24 @@ def start_batches(
     output_mode: str = "append",
     name: str | None = None,
     once: bool = True,
+    staged: bool = True,
 ) -> StreamingQuery:
     """Write each micro-batch as the tables ``split`` makes of it.
 
-    ``once`` stops when everything present at the start is read; otherwise the query goes on. A batch that goes to
-    several tables is written to the shared folder first, so that its source is read once and a lost executor
-    loses nothing; the next batch but one takes its place.
+    ``once`` stops when everything present at the start is read; otherwise the query goes on. The batch is
+    written to the shared folder first, so that its source is read once for all tables and a lost executor loses
+    nothing; the next batch but one takes its place. For a single table ``staged`` can be left out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if is_committed(spark, root, batch_id):
             return
-        tables = split(batch)
-        if len(tables) > 1:
+        if staged:
             folder = f"{root}/{STAGED}/slot={batch_id % 2}"
             batch.write.mode("overwrite").parquet(folder)
-            tables = split(spark.read.schema(batch.schema).parquet(folder))
-        write_atomically(root, batch_id, tables)
+            batch = spark.read.schema(batch.schema).parquet(folder)
+        write_atomically(root, batch_id, split(batch))
 
     writer = (
         stream.writeStream.outputMode(output_mode)

@@ -2,7 +2,7 @@
 
 Each micro-batch runs through the same operator that works on whole logs, hot keys split and
 all, together with what earlier batches left in the state table: the stored record of every key,
-put in front of its new rows, or the current version of every table key. The state table is
+put in front of its new rows, or the versions of the table and the records that wait for it. The state table is
 rewritten per batch, which pays when a batch touches many of the keys: backfills, and streams
 read at long intervals. It alternates between two folders, so the state a batch started from
 is still there if the batch has to be replayed.
@@ -11,8 +11,9 @@ is still there if the batch has to be replayed.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keytide.operators import asof, dedup, tables
@@ -122,6 +123,33 @@ def _repeats(
     return start(stream, root, stream.schema, state, work, renew, once)
 
 
+def keep_first(stream: DataFrame, root: str, key: str = "key", order: str = "off", once: bool = True) -> StreamingQuery:
+    """The first record of each key, whole. A batch is reduced to one record per key before it moves."""
+    state = T.StructType([stream.schema[key]])
+
+    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
+        firsts = dedup.keep_first(batch, key, [order])
+        seen = before.select(F.col(key).alias("_seen"))
+        return firsts.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+
+    def renew(_: DataFrame, before: DataFrame, written: DataFrame) -> DataFrame:
+        return before.unionByName(written.select(key))
+
+    return start(stream, root, stream.schema, state, work, renew, once)
+
+
+@dataclass(frozen=True)
+class ChangingJoin:
+    """A running join; ``read`` gives what it has put out, and the rows it holds back as they stand."""
+
+    query: StreamingQuery
+    schema: T.StructType
+    read: Callable[[], DataFrame]
+
+
+_CHANGE, _ROW, _STREAM_AT, _CHANGES_AT = 0, 1, 2, 3
+
+
 def join_changing_table(
     stream: DataFrame,
     changes: DataFrame,
@@ -132,28 +160,87 @@ def join_changing_table(
     how: str = "inner",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
-) -> tuple[StreamingQuery, T.StructType]:
-    """Join a stream to a table whose changes are a stream too; also gives the log's schema.
-
-    A stream record meets the table value of its own time as far as it is known when the record
-    is processed; a later change does not re-emit it. A change that arrives behind a newer one
-    of its key does not replace it.
+    late_changes: str = "0 seconds",
+    late_rows: str | None = None,
+) -> ChangingJoin:
+    """Join a stream to a table whose changes are a stream too.
+
+    The rule: a record meets the table value of its own time, whatever the batches. So it is held back until the
+    changes have gone beyond its time by ``late_changes`` (how far a change may arrive behind a newer one), and
+    versions are kept as long as ``late_rows`` after newer records of the stream (how far a record may arrive
+    behind; for ever if None). Records without a key or time pass at once, unmatched. What is still held back at the end of
+    the input, ``read`` joins as it stands.
     """
-    state = T.StructType([changes.schema[name] for name in (table_key, *values, "ts", "off")])
+    spark = stream.sparkSession
+    change = T.StructType([changes.schema[name] for name in (table_key, *values, "ts", "off")])
     output = T.StructType([*stream.schema.fields, *[changes.schema[name] for name in values]])
-    change = F.struct(*state.fieldNames()).alias("_change")
-    both = stream.select(F.lit(1).alias(_SIDE), F.struct("*").alias("_row")).unionByName(
-        changes.select(F.lit(0).alias(_SIDE), change), allowMissingColumns=True
+    state = T.StructType(
+        [
+            T.StructField(_SIDE, T.IntegerType()),
+            T.StructField("_change", change),
+            T.StructField("_row", stream.schema),
+            T.StructField("_at", T.LongType()),
+        ]
     )
+    both = stream.select(F.lit(_ROW).alias(_SIDE), F.struct("*").alias("_row")).unionByName(
+        changes.select(F.lit(_CHANGE).alias(_SIDE), F.struct(*change.fieldNames()).alias("_change")),
+        allowMissingColumns=True,
+    )
+
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    def span(text: str) -> int:
+        return spark.sql(f"SELECT unix_micros(timestamp '1970-01-01 00:00:00' + interval {text}) - unix_micros(timestamp '1970-01-01 00:00:00')").first()[0]
+
+    change_delay, row_delay = span(late_changes), None if late_rows is None else span(late_rows)
 
     def known(batch: DataFrame, before: DataFrame) -> DataFrame:
-        return before.unionByName(batch.where(F.col(_SIDE) == 0).select("_change.*"))
+        return before.unionByName(batch, allowMissingColumns=True)
+
+    def progress(rows: DataFrame) -> tuple[int | None, int | None]:
+        """How far the stream and the changes have come, in microseconds."""
+        at = F.coalesce("_at", micros("_row.ts"), micros("_change.ts"))
+        side = lambda *kinds: F.max(F.when(F.col(_SIDE).isin(*kinds), at))
+        return rows.agg(side(_ROW, _STREAM_AT), side(_CHANGE, _CHANGES_AT)).first()
+
+    def held(changes_at: int | None) -> Column:
+        """Whether a change may still come that a row has to meet."""
+        timed = F.col("_row.ts").isNotNull() & F.col(f"_row.{stream_key}").isNotNull()
+        return timed if changes_at is None else timed & (micros("_row.ts") >= changes_at - change_delay)
+
+    def joined(rows: DataFrame, final: Column) -> DataFrame:
+        own = rows.where((F.col(_SIDE) == _ROW) & final).select("_row.*")
+        versions = rows.where(F.col(_SIDE) == _CHANGE).select("_change.*")
+        return asof.join_as_of(own, versions, stream_key, table_key, values, how, limits)
 
     def work(batch: DataFrame, before: DataFrame) -> DataFrame:
-        rows = batch.where(F.col(_SIDE) == 1).select("_row.*")
-        return asof.join_as_of(rows, known(batch, before), stream_key, table_key, values, how, limits)
+        rows = known(batch, before)
+        return joined(rows, ~F.coalesce(held(progress(rows)[1]), F.lit(False)))
 
     def renew(batch: DataFrame, before: DataFrame, _: DataFrame) -> DataFrame:
-        return tables.latest_by_key(known(batch, before), [table_key], [*values, "ts", "off"], ["ts", "off"])
-
-    return start(both, root, output, state, work, renew, once), output
+        rows = known(batch, before)
+        stream_at, changes_at = progress(rows)
+        waiting = rows.where((F.col(_SIDE) == _ROW) & F.coalesce(held(changes_at), F.lit(False)))
+        versions = rows.where((F.col(_SIDE) == _CHANGE) & F.col("_change.ts").isNotNull())
+        if row_delay is not None and stream_at is not None and changes_at is not None:
+            floor = min(stream_at - row_delay, changes_at - change_delay)
+            old = micros("_change.ts") <= floor
+            newest = versions.where(old).groupBy(F.col(f"_change.{table_key}")).agg(
+                F.max_by("_change", F.struct("_change.ts", "_change.off")).alias("_change")
+            )
+            kept = newest.select(F.lit(_CHANGE).alias(_SIDE), "_change")
+            versions = versions.where(~old).unionByName(kept, allowMissingColumns=True)
+        marks = [(kind, at) for kind, at in ((_STREAM_AT, stream_at), (_CHANGES_AT, changes_at)) if at is not None]
+        told = spark.createDataFrame(marks, f"{_SIDE} int, _at long")
+        return waiting.unionByName(versions).unionByName(told, allowMissingColumns=True)
+
+    def read() -> DataFrame:
+        done = read_log(spark, root, output)
+        last = batches.last_committed(spark, root)
+        if last is None:
+            return done
+        rows = spark.read.schema(state).parquet(_state(root, last))
+        return done.unionByName(joined(rows, F.lit(True)).select(*output.fieldNames()))
+
+    return ChangingJoin(start(both, root, output, state, work, renew, once), output, read)

@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from keytide.functions.regions import region_table
 from keytide.operators import asof, dedup, joins, tables
 from keytide.plans import inputs
 from keytide.schemas import CUSTOMER, EVENTS
@@ -113,19 +114,26 @@ def test_fold_equals_batch(spark, parts, key, limits):
     assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.flag_repeats(whole))
 
 
-def test_join_to_a_changing_table(spark, parts):
-    """Batches hold the same stretch of both streams, so the versions known are the current ones."""
-    customers = inputs.as_customers(events(spark, parts, **ONE_FILE))
-    changes = inputs.as_region_changes(events(spark, parts, **ONE_FILE))
+@pytest.mark.parametrize("pace", [(1, 1), (1, 5), (5, 1), (2, 1)], ids=["even", "changes-ahead", "stream-ahead", "stream-faster"])
+def test_join_to_a_changing_table(spark, parts, pace):
+    """The same rows whatever the batches, also when one stream is read faster than the other."""
     whole = inputs.as_region_changes(topics.read_log(spark, parts, EVENTS))
-    for how in ("inner", "left"):
-        root = new_folder(spark, "test")
-        query, schema = fold.join_changing_table(
-            customers, changes, root, "region", "identifier", ["regionName", "areaCode"], how
-        )
-        finish(query)
+    for how, late in (("inner", None), ("left", "30 days")):
+        customers = inputs.as_customers(events(spark, parts, files_per_batch=pace[0]))
+        changes = inputs.as_region_changes(events(spark, parts, files_per_batch=pace[1]))
+        running = fold.join_changing_table(
+            customers, changes, new_folder(spark, "test"), "region", "identifier", ["regionName", "areaCode"], how,
+            late_rows=late,
+        )
+        finish(running.query)
         want = asof.join_as_of(batch_customers(spark, parts), whole, "region", "identifier", ["regionName", "areaCode"], how)
-        assert rows(fold.read_log(spark, root, schema)) == rows(want)
+        assert rows(running.read()) == rows(want)
+
+
+def test_first_of_key_is_the_first(spark, parts):
+    stream, root = inputs.as_customers(events(spark, parts, **ONE_FILE)), new_folder(spark, "test")
+    finish(fold.keep_first(stream, root))
+    assert rows(fold.read_log(spark, root, stream.schema)) == rows(dedup.keep_first(batch_customers(spark, parts)))
 
 
 def test_fold_replays_a_failed_batch(spark, parts, monkeypatch):
@@ -173,7 +181,7 @@ def test_table_changes_and_deletes_in_update_mode(spark, parts):
 
 
 def test_replicated_join_on_a_stream(spark, parts):
-    regions = inputs.regions(spark)
+    regions = region_table(spark).where("identifier <> 'UK'")
     stream = joins.join_region_left(inputs.as_customers(events(spark, parts, **ONE_FILE)), regions)
     assert rows(appended(spark, stream)) == rows(joins.join_region_left(batch_customers(spark, parts), regions))
 
