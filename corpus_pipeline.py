@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from keytide.llm import ngram_join, packing, passages, quality
-from keytide.settings import written_table
+from keytide.settings import new_folder, scratch
 
 PASSAGE_WORDS = 50
 SHINGLE_WORDS, NEAR_PERCENT = 5, 80
@@ -51,5 +51,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder; each stage's result is written and read as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written_table(stage(spark, docs, sf_dir), name)
+        folder = new_folder(spark, name)
+        with scratch(spark):  # what a stage writes on the way goes with it
+            stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
     return docs

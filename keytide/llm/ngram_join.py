@@ -249,7 +249,7 @@ def near_documents(
         pairs = written_table(pairs.where(fits & (F.col("root") != F.col("leader_root"))).select("leader", "node").distinct(), "pairs")
         if not pairs.isEmpty():
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = written_table(components(known.unionByName(_linked(pairs, hashes, per, of))), "roots")
+            roots = components(known.unionByName(_linked(pairs, hashes, per, of)))
         # A leader is done with its block; of the rest, blocks that hold more than one component go on.
         rest = left.where("node <> leader").select("part", "node", "n").join(roots, "node", "left")
         rest = rest.withColumn("root", F.coalesce("root", "node"))
