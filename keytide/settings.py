@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 _local_folders: dict[str, str] = {}
+_scratch: list[list[str]] = []
 
 
 @dataclass(frozen=True)
@@ -53,8 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/keytide/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; what is written there goes with the ``scratch`` block it was asked for in."""
+    folder = f"{shared_folder(spark)}/keytide/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside once the block ends.
+
+    Results are lazy, so they have to be written or read inside. Blocks nest; without one, tables stay under the
+    shared folder until that is cleaned.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:

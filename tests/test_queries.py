@@ -25,6 +25,9 @@ _SKEWED = [
     "join_region_left_shuffled",
     "join_region_asof_left",
     "join_region_asof_segmented",
+    "join_region_asof_deletes",
+    "stream_region_changing",
+    "stream_dedup_keys",
     "dedup_first",
     "dedup_epoch_flag",
     "dedup_epoch_flag_shuffled",
@@ -52,4 +55,5 @@ def test_entry_contract(spark):
     import __spark_entry__ as driver
 
     assert driver.entry(spark).count() > 0
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql()) <= set(driver.queries())
