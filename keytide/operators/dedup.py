@@ -24,7 +24,8 @@ def flag_repeats(
     """Every record as it came, with ``epoch`` one higher if its key was seen before.
 
     A row is the first of its key if it stands at the key's first position; of several rows of a key at
-    that position, all are. Nulls count as values, in the key as in the order. Few keys: the table of first positions
+    that position, all are. A null key is a key. A row whose only order column is null comes after all others of
+    its key; of several order columns a null sorts first. Few keys: the table of first positions
     is broadcast and the log does not move. Many: the join is by key and position, which spreads a hot key
     evenly.
     """
