@@ -334,7 +334,7 @@ def encoded(
         units = sorted({unit for message in rows["message"] for unit in _listed(message)})
         return pd.DataFrame({"bucket": rows["bucket"].iloc[0], "unit": units})
 
-    messages = written_table(B.spread(blocks.mapInPandas(send, B.MESSAGE), total, "bucket"), "unit-messages")
+    messages = written_table(blocks.mapInPandas(send, B.MESSAGE), "unit-messages")
     units = B.spread(messages.select("bucket", "message"), total, "bucket").groupBy("bucket")
     known = unit_ids(units.applyInPandas(distinct_units, "bucket long, unit string"), model)
     known = known.select(F.col("bucket").alias("b"), "unit", "ids")
