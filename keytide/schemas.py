@@ -98,17 +98,5 @@ ORDERS = record(
     ("o_orderdate", _NTZ),
     ("o_orderpriority", _TEXT),
 )
-LINEITEM = record(
-    ("l_orderkey", _LONG),
-    ("l_partkey", _LONG),
-    ("l_suppkey", _LONG),
-    ("l_linenumber", _INT),
-    ("l_quantity", _DOUBLE),
-    ("l_extendedprice", _DOUBLE),
-    ("l_discount", _DOUBLE),
-    ("l_tax", _DOUBLE),
-    ("l_returnflag", _TEXT),
-    ("l_linestatus", _TEXT),
-    ("l_shipdate", _NTZ),
-)
-TABLES = {"events": EVENTS, "part": PART, "orders": ORDERS, "lineitem": LINEITEM}
+
+TABLES = {"events": EVENTS, "part": PART, "orders": ORDERS}
