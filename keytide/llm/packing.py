@@ -1,16 +1,16 @@
 """Best-fit packing of token sequences by bin completion.
 
 What is packed is the histogram of lengths, which has at most ``capacity`` entries however many
-pieces there are. Best fit gives a first solution. Branch and bound then looks for one with fewer bins: it takes
-the largest length left, enumerates the undominated ways to fill up its bin, and leaves a branch as soon
-as the waste so far rules out a gain. Most often the first solution meets the bound on the number of bins, and
-nothing is left to search. Pieces then take the slots of their length by rank.
+pieces there are. Best fit gives a first solution, which most often meets the bound on the number of bins. If not,
+branch and bound looks for fewer bins: it takes the largest length left, enumerates the undominated ways
+to fill up its bin, and leaves a branch as soon as the waste so far rules out a gain. Pieces then take the slots of
+their length by rank.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from keytide.settings import written_table
 
 CAPACITY, END = 4096, 1
-NODES = 20_000  # nodes that the search visits; the best solution so far stands
-FILLINGS = 64  # fillings tried at a node, the fullest first
-EXACT_ITEMS = 200  # up to so many items bins are branched on one by one, beyond in batches of equal ones
+NODES = 1000  # nodes that a search visits; the best solution so far stands
+FILLINGS, FILLING_STEPS = 16, 1000  # fillings tried at a node, the fullest first, and steps to find them
+SEARCHED_ITEMS = 200  # pieces that are packed anew at a time
 RANK_ROWS = 20_000
-KEPT_UNITS = 200_000
-PIECE_BYTES = 4 << 20
+KEPT_UNITS = 500_000  # units whose ids a worker remembers
+PIECE_BYTES = 8 << 20
 
 Pattern = tuple[int, ...]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -84,54 +84,46 @@ def least_bins(counts: Mapping[int, int], capacity: int) -> int:
     return best
 
 
-def _dominated(filling: Pattern, gap: int, left: Mapping[int, int]) -> bool:
-    """Whether a length left over could take the place of one or two smaller ones and still fit."""
-    spare, held = gap - sum(filling), {x: filling.count(x) for x in filling}
-    parts = set(filling) | {a + b for i, a in enumerate(filling) for b in filling[i + 1 :]}
-    for length, number in left.items():
-        if number > held.get(length, 0):
-            if length <= spare:
-                return True
-            if any(part < length <= part + spare for part in parts):
+def _dominated(filling: Pattern, gap: int, left: Mapping[int, int], lengths: list[int]) -> bool:
+    """Whether a length left over (``lengths``: all, rising) could take the place of one or two smaller ones and fit."""
+    spare = gap - sum(filling)
+    parts = {0, *filling, *(a + b for i, a in enumerate(filling) for b in filling[i + 1 :])}
+    for part in parts:
+        for at in range(bisect_right(lengths, part), bisect_right(lengths, part + spare)):
+            if left[lengths[at]] > filling.count(lengths[at]):
                 return True
     return False
 
 
 def fillings(gap: int, left: Mapping[int, int]) -> list[Pattern]:
     """Undominated ways to fill a gap from the lengths left, the fullest first."""
-    lengths = [x for x in sorted(left, reverse=True) if x <= gap and left[x]]
+    lengths = sorted(x for x, n in left.items() if n and x <= gap)
     found: list[Pattern] = []
-    steps = [0]
+    steps = 0
 
-    def extend(at: int, room: int, chosen: Pattern) -> None:
-        steps[0] += 1
-        if steps[0] > 200 * FILLINGS or len(found) >= FILLINGS and room == 0:
-            return
+    def extend(room: int, longest: int, chosen: Pattern) -> None:
+        nonlocal steps
         went = False
-        for i in range(at, len(lengths)):
-            length = lengths[i]
-            if length <= room and chosen.count(length) < left[length]:
-                went = True
-                extend(i, room - length, (*chosen, length))
-                if len(found) >= 4 * FILLINGS:
+        for at in range(bisect_right(lengths, min(room, longest)) - 1, -1, -1):
+            length = lengths[at]
+            if chosen.count(length) < left[length]:
+                went, steps = True, steps + 1
+                extend(room - length, length, (*chosen, length))
+                if steps > FILLING_STEPS:
                     return
-        if not went and not _dominated(chosen, gap, left):
+        if not went and not _dominated(chosen, gap, left, lengths):
             found.append(chosen)
 
-    extend(0, gap, ())
+    extend(gap, gap, ())
     return sorted(set(found), key=sum, reverse=True)[:FILLINGS] or [()]
 
 
-def pack(counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
-    """Patterns of lengths and their bins, as few bins as the search finds; lengths lie in 1 .. capacity."""
-    counts = {int(x): int(n) for x, n in counts.items() if n > 0}
-    if any(not 0 < x <= capacity for x in counts):
-        raise ValueError("lengths must lie between 1 and the capacity")
-    best = best_fit(counts, capacity)
-    fewest, bound = sum(bins for _, bins in best), least_bins(counts, capacity)
-    total = sum(x * n for x, n in counts.items())
+def search(counts: Mapping[int, int], capacity: int, fewest: int, nodes: int) -> list[tuple[Pattern, int]] | None:
+    """A packing in less than ``fewest`` bins, by bin completion, as far as ``nodes`` nodes lead; None if none is found."""
+    bound, total = least_bins(counts, capacity), sum(x * n for x, n in counts.items())
+    best = None
     # Depth first, as a stack of (lengths left, bins so far, waste so far, what was chosen so far).
-    stack: list[tuple[dict[int, int], int, int, tuple | None]] = [(counts, 0, 0, None)]
+    stack: list[tuple[dict[int, int], int, int, tuple | None]] = [(dict(counts), 0, 0, None)]
     while stack and nodes and fewest > bound:
         nodes -= 1
         left, used, waste, chosen = stack.pop()
@@ -141,28 +133,52 @@ def pack(counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int = NODES
         if not left:
             fewest, best = used, []
             while chosen:
-                pattern, bins, chosen = chosen
-                best.append((pattern, bins))
+                pattern, chosen = chosen
+                best.append((pattern, 1))
             continue
         if used + least_bins(left, capacity) >= fewest:
             continue
         largest = max(left)
-        rest = {**left, largest: left[largest] - 1}
-        batch = sum(left.values()) > EXACT_ITEMS
         children = []
-        for filling in fillings(capacity - largest, rest):
+        for filling in fillings(capacity - largest, {**left, largest: left[largest] - 1}):
             pattern = (largest, *filling)
-            held = {x: pattern.count(x) for x in pattern}
-            times = min(left[x] // n for x, n in held.items()) if batch else 1
-            lost = waste + times * (capacity - sum(pattern))
+            lost = waste + capacity - sum(pattern)
             if lost <= allowed:
-                after = {x: n - times * held.get(x, 0) for x, n in left.items()}
-                after = {x: n for x, n in after.items() if n}
-                children.append((after, used + times, lost, (pattern, times, chosen)))
+                after = dict(left)
+                for x in pattern:
+                    after[x] -= 1
+                children.append(({x: n for x, n in after.items() if n}, used + 1, lost, (pattern, chosen)))
         stack.extend(reversed(children))  # the fullest filling is tried first
     return best
 
 
+def pack(counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+    """Patterns of lengths and their bins, as few bins as the search finds; lengths lie in 1 .. capacity.
+
+    Best fit is the first incumbent. While it has more bins than the bound, the bins with the most waste, up to
+    SEARCHED_ITEMS pieces in all, are emptied and packed anew by the search; a small input is searched whole.
+    """
+    counts = {int(x): int(n) for x, n in counts.items() if n > 0}
+    if any(not 0 < x <= capacity for x in counts):
+        raise ValueError("lengths must lie between 1 and the capacity")
+    best, bound = best_fit(counts, capacity), least_bins(counts, capacity)
+    while sum(bins for _, bins in best) > bound:
+        opened: dict[int, int] = {}
+        kept, items, emptied = [], 0, 0
+        for pattern, bins in sorted(best, key=lambda entry: sum(entry[0])):
+            take = min(bins, max(0, SEARCHED_ITEMS - items) // len(pattern))
+            for x in pattern:
+                opened[x] = opened.get(x, 0) + take
+            items, emptied = items + take * len(pattern), emptied + take
+            if bins > take:
+                kept.append((pattern, bins - take))
+        found = search({x: n for x, n in opened.items() if n}, capacity, emptied, nodes)
+        if found is None:
+            break
+        best = kept + found
+    return best
+
+
 class Slots:
     """Where the pieces of each length go, by rank: rows (length, first rank, bins, sequence, offset)."""
 
@@ -194,22 +210,44 @@ class _Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        # Texts on either side of a special token are encoded apart, so one can stand between units.
+        plain = [
+            (number, token.content)
+            for number, token in self.library.get_added_tokens_decoder().items()
+            if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
+        ]
+        self.between, self.mark = plain[-1] if plain else (None, "")
+
+    def _alone(self, units: list[bytes]) -> list[bytes]:
+        texts = [unit.decode() for unit in units]
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+    def _together(self, units: list[bytes]) -> list[bytes]:
+        whole = self.library.encode(self.mark.join(unit.decode() for unit in units), add_special_tokens=False)
+        ids = np.array(whole.ids, "<u4")
+        cuts = np.flatnonzero(ids == self.between)
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         units = [text.split() for text in texts]
         new = list({unit for line in units for unit in line if unit not in self.known})
-        ids = []
-        for low in range(0, len(new), 8192):
-            part = [unit.decode() for unit in new[low : low + 8192]]
-            found = self.library.encode_batch_fast(part, add_special_tokens=False)
-            ids += [np.array(one.ids, "<u4").tobytes() for one in found]
-        fresh = dict(zip(new, ids))
-        both = {**self.known, **fresh} if len(self.known) < KEPT_UNITS else None
-        if both is not None:
-            out = [b"".join([both[unit] for unit in line]) for line in units]
-            self.known = dict(list(both.items())[:KEPT_UNITS])
-            return out
-        return [b"".join([self.known.get(unit) or fresh.get(unit, b"") for unit in line]) for line in units]
+        # What could hold a special token itself goes by itself.
+        simple = [unit for unit in new if b"<" not in unit] if self.between is not None else []
+        fresh: dict[bytes, bytes] = {}
+        for low in range(0, len(simple), 512):
+            part = simple[low : low + 512]
+            fresh.update(zip(part, self._together(part), strict=True))
+        rest = [unit for unit in new if unit not in fresh]
+        for low in range(0, len(rest), 8192):
+            fresh.update(zip(rest[low : low + 8192], self._alone(rest[low : low + 8192])))
+        room = KEPT_UNITS - len(self.known)
+        if room > 0:
+            self.known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
+        full = len(self.known) >= KEPT_UNITS
+        get = (lambda unit: self.known[unit] if unit in self.known else fresh[unit]) if full else self.known.__getitem__
+        return [b"".join(map(get, line)) for line in units]
 
 
 _encoders: dict[str, _Encoder] = {}

@@ -326,7 +326,7 @@ def test_small_packings_are_the_best():
         capacity = draw.choice([10, 20, 30])
         items = [draw.randint(2, capacity * 2 // 3) for _ in range(draw.randint(0, 11))]
         counts = {x: items.count(x) for x in items}
-        found = packing.pack(counts, capacity)
+        found = packing.pack(counts, capacity, nodes=20_000)
         used = [x for pattern, bins in found for x in pattern * bins]
         assert sorted(used) == sorted(items) and all(sum(p) <= capacity for p, _ in found)
         bins = sum(n for _, n in found)
