@@ -26,6 +26,8 @@ from keytide.settings import written_table
 
 SPACE = "▁"
 BITS = 60  # units up to so many characters are folded with their cuts in one number
+BLOCK_SHARES = 4  # large blocks repeat fewer units
+LATTICE_UNITS = 40_000  # units per task, so that their edges stay in memory
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs beyond the worst piece
 
 
@@ -248,13 +250,19 @@ def _bucket_of(units: list[str], n_buckets: int) -> np.ndarray:
     return pd.util.hash_array(np.array(units, object)).astype(np.uint64) % np.uint64(n_buckets)
 
 
-def _own_units(block: B.Block, model: Model, n_buckets: int) -> tuple[list[list[str]], list[str], np.ndarray]:
-    """The units of every document, and the distinct ones by bucket."""
-    lines = [model.cut(text.decode()) for text in block.texts]
-    distinct = sorted({unit for line in lines for unit in line})
-    bucket = _bucket_of(distinct, n_buckets).astype(np.int64) if distinct else np.zeros(0, np.int64)
+def _own_units(block: B.Block, model: Model, n_buckets: int) -> tuple[list[np.ndarray], list[str], np.ndarray]:
+    """The documents as numbers of units, and the distinct units in that order, which is by bucket."""
+    number: dict[str, int] = {}
+    lines = []
+    for text in block.texts:
+        units = model.cut(text.decode())
+        lines.append(np.fromiter((number.setdefault(unit, len(number)) for unit in units), np.int32, len(units)))
+    distinct = np.array([*number], object)
+    bucket = _bucket_of(list(number), n_buckets).astype(np.int64) if number else np.zeros(0, np.int64)
     order = np.argsort(bucket, kind="stable")
-    return lines, [distinct[i] for i in order.tolist()], bucket[order]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return [place[line] for line in lines], distinct[order].tolist(), bucket[order]
 
 
 def _strings(units: list[str]) -> bytes:
@@ -274,7 +282,9 @@ def unit_ids(units: DataFrame, model: Model) -> DataFrame:
     spark = units.sparkSession
     numbered = written_table(units.withColumn("node", F.monotonically_increasing_id()), "units")
     table = piece_table(spark, model)
-    short = numbered.where(F.length("unit") <= BITS).repartition("node")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, numbered.count() // LATTICE_UNITS)
+    short = numbered.where(F.length("unit") <= BITS).repartition(tasks, "node")
     floor = min(s for s, ok in zip(model.scores, model.ordinary) if ok) - UNKNOWN_PENALTY
     edges = lattice(short, table, min(model.longest, BITS))
     joined = short.join(edges, "node", "left")
@@ -319,7 +329,7 @@ def encoded(
     tables give no rows.
     """
     model = read_model(path)
-    blocks, total = B.in_blocks(docs, id_col, text_col)
+    blocks, total = B.in_blocks(docs, id_col, text_col, shares=BLOCK_SHARES)
     n_buckets = B.buckets_for(total)
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -341,11 +351,11 @@ def encoded(
 
     def answer(asked: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         held = {u: np.asarray(i, "<u4").tobytes() for u, i in zip(told["unit"], told["ids"])}
-        replies = []
+        replies, narrow = [], "<u2" if len(model.pieces) <= 1 << 16 else "<u4"
         for message in asked["message"]:
             found = [held[unit] for unit in _listed(message)]
             sizes = np.fromiter((len(f) // 4 for f in found), np.uint32, len(found))
-            replies.append(B.packed(sizes=sizes, ids=np.frombuffer(b"".join(found), "<u4")))
+            replies.append(B.packed(sizes=sizes, ids=np.frombuffer(b"".join(found), "<u4").astype(narrow)))
         return pd.DataFrame({"block": asked["block"], "bucket": asked["bucket"], "reply": replies})
 
     both = B.spread(messages, total, "bucket").groupBy("bucket").cogroup(B.spread(known, total, "b").groupBy("b"))
@@ -357,14 +367,13 @@ def encoded(
             for payload, reply in zip(frame["payload"], frame["reply0"]):
                 block, got = B.Block(payload), B.by_bucket(reply)
                 lines, distinct, bucket = _own_units(block, model, n_buckets)
-                told: dict[str, bytes] = {}
-                for number, low, high in B.pieces(bucket):
-                    parts = B.unpacked(got[number])
+                told: list[bytes] = [b""] * len(distinct)
+                for bucket_number, low, high in B.pieces(bucket):
+                    parts = B.unpacked(got[bucket_number])
                     ends = (np.cumsum(parts["sizes"], dtype=np.int64) * 4).tolist()
-                    raw, start = parts["ids"].tobytes(), 0
-                    for unit, end in zip(distinct[low:high], ends):
-                        told[unit], start = raw[start:end], end
-                out = [b"".join([told[unit] for unit in line]) for line in lines]
+                    raw = parts["ids"].astype("<u4").tobytes()
+                    told[low:high] = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+                out = [b"".join([told[i] for i in line.tolist()]) for line in lines]
                 texts = [np.frombuffer(o, "<u4") for o in out]
                 held = {
                     "doc_id": pd.Series(block.ids, dtype="Int64").mask(block.null),

@@ -85,9 +85,11 @@ def test_registered_queries_equal_brute_force(spark, data):
     assert as_rows(queries.op9_substring_dedup(spark, data)) == want_words(rows)
 
 
-def test_small_blocks_and_slices_agree(spark, mixed_texts, monkeypatch):
+@pytest.mark.parametrize("broadcast", [48 << 20, -1], ids=["replies-broadcast", "replies-shuffled"])
+def test_small_blocks_and_slices_agree(spark, mixed_texts, monkeypatch, broadcast):
     from keytide.llm import blocks
 
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", broadcast)
     monkeypatch.setattr(blocks, "LEAST_BYTES", 2000)
     monkeypatch.setattr(blocks, "MESSAGE_KEYS", 0)
     docs = spark.createDataFrame(mixed_texts, "doc_id long, text string").repartition(3)
