@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from keytide.settings import written_table
 
-LEAST_BYTES = 2 << 20  # of a block and of a bucket's share of the text
+LEAST_BYTES = 2 << 20  # of text; a block holds half of a share and a bucket two
 BLOCK_ROWS = 1 << 16
+BROADCAST_BYTES, ROW_BYTES = 48 << 20, 100  # the most that replies may hold to be broadcast, counting this per reply
 MESSAGE_KEYS = 1800  # text bytes times text bytes over all text, for about 100 keys in a message
 NO_ID = np.iinfo(np.int64).max
 
@@ -73,7 +74,7 @@ def _payload(slices: list[pa.RecordBatch]) -> bytes:
 
 
 def share_bytes(total: int) -> int:
-    """Text per block and per bucket: grows with the root of all text, so that messages keep their size."""
+    """Grows with the root of all text, so that messages between blocks and buckets keep their size."""
     return max(LEAST_BYTES, math.isqrt(MESSAGE_KEYS * total))
 
 
@@ -84,8 +85,10 @@ def released() -> None:
         _libc.malloc_trim(0)
 
 
-def in_blocks(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> tuple[DataFrame, int]:
-    """Write documents as blocks (block, payload); also the total size of all texts.
+def in_blocks(
+    docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = (), shares: float = 0.5
+) -> tuple[DataFrame, int]:
+    """Write documents as blocks (block, payload) of some shares; also the total size of all texts.
 
     The columns named in ``carry`` travel along as c0, c1 and so on.
     """
@@ -95,7 +98,7 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]
         *[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(carry)],
     )
     total = chosen.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    block_bytes = share_bytes(total)
+    block_bytes = int(share_bytes(total) * shares)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -125,21 +128,29 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]
 
 
 def buckets_for(total: int) -> int:
-    return max(1, -(-total // share_bytes(total)))
+    return max(1, -(-total // (2 * share_bytes(total))))
 
 
 def spread(df: DataFrame, total: int, key: str) -> DataFrame:
     """Deal rows by key over partitions of a few blocks or buckets each."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(least, total // (64 << 20)), key)
+    return df.repartition(max(least, total // (4 * share_bytes(total))), key)
 
 
 def with_replies(blocks: DataFrame, replies: list[DataFrame], total: int) -> DataFrame:
-    """Blocks, each with a column reply0, reply1 ... of (bucket, reply) pairs."""
-    out = spread(blocks, total, "block")
+    """Blocks, each with a column reply0, reply1 ... of (bucket, reply) pairs.
+
+    Replies are written tables. Those that are measured to be small go to the blocks, which then do not
+    move; with larger ones the blocks meet by a shuffle.
+    """
+    out = blocks
     for i, reply in enumerate(replies):
-        gathered = spread(reply, total, "block").groupBy("block").agg(F.collect_list(F.struct("bucket", "reply")).alias(f"reply{i}"))
-        out = out.join(gathered, "block", "left")
+        held, rows = reply.agg(F.coalesce(F.sum(F.octet_length("reply").cast("long")), F.lit(0)), F.count(F.lit(1))).first()
+        gathered = reply.groupBy("block").agg(F.collect_list(F.struct("bucket", "reply")).alias(f"reply{i}"))
+        if held + ROW_BYTES * rows <= BROADCAST_BYTES:
+            out = out.join(F.broadcast(gathered), "block", "left")
+        else:
+            out = spread(out, total, "block").join(spread(gathered, total, "block"), "block", "left")
     return out
 
 

@@ -22,7 +22,7 @@ from keytide.llm import blocks as B
 from keytide.llm.vectors import winnowed
 
 
-SHARE_BYTES = 2 << 20  # stretches compared at a time
+SHARE_BYTES = 1 << 20  # stretches compared at a time
 
 
 @dataclass
