@@ -3,8 +3,9 @@
 The join is a sparse product of the document by n-gram matrix with its transpose, of which only the
 entries that can reach the threshold are wanted. Rows that are equal are one row (a set). Two sets of
 x <= y n-grams with Jaccard t or more differ in at most k = (x + y) (1 - t) / (1 + t) of them. Deal the n-grams into
-more than k parts by hash: some part is the same in both. Sets meet in blocks on such a part,
-sizes outside [t x, x / t] are discarded, and the product of a block with its first row counts the overlaps.
+more than k parts by hash: some part is the same in both. Sets meet in blocks on such a part. Pairs are discarded
+whose sizes or whose parities (how many n-grams fall into each of some buckets, modulo 2) show that they differ in more than k;
+the product of a block with its first row counts the overlaps of the others.
 
 Components need no more links than join them. So each block is first multiplied with one
 row; rows of one component are done with each other, and what is left is tested in full.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keytide.llm.components import components
 from keytide.llm.vectors import LOWER, Prefixes, mixed, words_of
@@ -26,8 +27,11 @@ PIECE_BYTES = 4 << 20
 LEADER_ROUNDS = 2
 CHUNK_ROWS = 4096  # sets multiplied with one leader in one go
 
-PROFILE = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, parts array<long>"
-HASHES = "set_a long, set_b long, shingles binary"
+SIEVE_BITS = 1 << 26  # of the fixed-size filter that spares shuffling rows without a partner
+
+PROFILE = "doc_id long, text_hash long, n_shingles long, node long, proof long, level int, odd array<long>, odder array<long>"
+PARTS = "part long, node long"
+HASHES = "node long, shingles binary"
 
 
 def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -124,36 +128,93 @@ def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np
     return [np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64) for keys in found]
 
 
+def _parities(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> tuple[np.ndarray, list, list]:
+    """For each set a level, and the parities of how many n-grams fall into 64 * 2^level buckets and twice as many.
+
+    An n-gram that only one of two sets has changes one parity, so sets differ in at least as many n-grams as
+    parities. Buckets are some times as many as two linked sets may differ in; the level follows the size, so
+    that sets that may link are at most one level apart.
+    """
+    size = np.diff(bounds)
+    differ = 2 * size * (of - per) // (of + per)
+    level = np.array([max(0, -(-int(d + 1) // 8) - 1).bit_length() for d in differ], np.int32)
+    spread = mixed(hashes ^ np.uint64(0x8CB92BA72F3D8DD7))
+    out: list[list[np.ndarray]] = []
+    for more in (0, 1):
+        words = np.int64(1) << (level.astype(np.int64) + more)
+        first = np.concatenate([[0], np.cumsum(words)])
+        owner = np.repeat(np.arange(len(size)), size)
+        bucket = (spread & (words[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)
+        bits = np.zeros(int(first[-1]), np.uint64)
+        np.bitwise_xor.at(bits, first[owner] + (bucket >> 6), np.uint64(1) << (bucket & 63).astype(np.uint64))
+        held = bits.view(np.int64)
+        out.append([held[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())])
+    return level, out[0], out[1]
+
+
 def _profiled(words: int, per: int, of: int):
     def profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, texts in _pieces(frames):
             hashes, bounds = _shingles(texts, words)
-            a, b = _set_ids(hashes, bounds)
+            node, proof = _set_ids(hashes, bounds)
+            level, odd, odder = _parities(hashes, bounds, per, of)
             yield pd.DataFrame(
                 {
                     "doc_id": rows["doc_id"].astype("Int64").to_numpy(),
                     "text_hash": rows["text_hash"].to_numpy(),
                     "n_shingles": np.diff(bounds),
-                    "set_a": a,
-                    "set_b": b,
-                    "parts": _parts(hashes, bounds, per, of),
+                    "node": node,
+                    "proof": proof,
+                    "level": level,
+                    "odd": odd,
+                    "odder": odder,
                 }
             )
 
     return profile
 
 
+def _parted(words: int, per: int, of: int):
+    def parted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, texts in _pieces(frames):
+            hashes, bounds = _shingles(texts, words)
+            parts = _parts(hashes, bounds, per, of)
+            node = np.repeat(_set_ids(hashes, bounds)[0], [len(own) for own in parts])
+            yield pd.DataFrame({"part": np.concatenate(parts), "node": node})
+
+    return parted
+
+
 def _hashed(words: int):
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts in _pieces(frames):
             hashes, bounds = _shingles(texts, words)
-            a, b = _set_ids(hashes, bounds)
             held = [hashes[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:])]
-            yield pd.DataFrame({"set_a": a, "set_b": b, "shingles": held})
+            yield pd.DataFrame({"node": _set_ids(hashes, bounds)[0], "shingles": held})
 
     return hashed
 
 
+def _place(name: str) -> tuple[Column, Column]:
+    """Slot and bit of a key in the filter."""
+    place = F.pmod(F.xxhash64(name), F.lit(SIEVE_BITS))
+    return F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+
+
+def _sieve(keys: DataFrame, name: str) -> DataFrame:
+    """Which bits the keys set: at most SIEVE_BITS / 64 rows of two numbers, however many keys."""
+    slot, bit = _place(name)
+    return written_table(keys.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("mask")), "sieve")
+
+
+def _sifted(rows: DataFrame, name: str, sieve: DataFrame) -> DataFrame:
+    """The rows whose key may be among those of the sieve; a full sieve lets all through."""
+    slot, bit = _place(name)
+    marked = rows.withColumn("_slot", slot).withColumn("_bit", bit)
+    passed = marked.join(F.broadcast(sieve), F.col("_slot") == F.col("slot")).where(F.col("mask").bitwiseAND(F.col("_bit")) != 0)
+    return passed.select(*rows.columns)
+
+
 def _products(per: int, of: int):
     def product(leaders: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         """Overlaps of each member with its leader: entries of a bucket's two incidence matrices that match."""
@@ -195,6 +256,22 @@ def _linked(pairs: DataFrame, hashes: DataFrame, per: int, of: int) -> DataFrame
     return written_table(product.applyInPandas(_products(per, of), "a long, b long"), "overlaps")
 
 
+def _may_link(per: int, of: int) -> Column:
+    """Sizes and parities of (n, level, odd, odder) and the same of the leader that allow the threshold."""
+    smaller, larger = F.least("n", "leader_n"), F.greatest("n", "leader_n")
+
+    def apart(a: str, b: str) -> Column:
+        flips = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+        return F.aggregate(flips, F.lit(0).cast("long"), lambda total, x: total + x)
+
+    least = (
+        F.when(F.col("level") == F.col("leader_level"), apart("odd", "leader_odd"))
+        .when(F.col("level") < F.col("leader_level"), apart("odder", "leader_odd"))
+        .otherwise(apart("odd", "leader_odder"))
+    )
+    return (smaller * of >= larger * per) & (least * (of + per) <= (smaller + larger) * (of - per))
+
+
 def near_documents(
     docs: DataFrame,
     *,
@@ -218,40 +295,48 @@ def near_documents(
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hashed = chosen.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     profiles = written_table(hashed.mapInPandas(_profiled(words, per, of), PROFILE), "profiles")
-    grouped = profiles.where("n_shingles > 0").groupBy("set_a", "set_b")
-    sets = grouped.agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("first_id"), F.first("parts").alias("parts"))
-    sets = written_table(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
-
-    keyed = sets.select(F.explode("parts").alias("part"), "node", "n")
-    blocks = keyed.groupBy("part").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    blocks = blocks.where("least <> most").select("part", F.col("least").alias("leader"))
-    sized = sets.select(F.col("node").alias("leader"), F.col("n").alias("leader_n"))
-    members = written_table(keyed.join(blocks, "part"), "members")
-
-    meeting = members.select("node").distinct()
-    wanted = sets.join(meeting, "node", "left_semi").select("node", "set_a", "set_b", "first_id")
-    same = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    texts = chosen.join(wanted.select("first_id").distinct(), same, "left_semi")
-    hashes = texts.mapInPandas(_hashed(words), HASHES).dropDuplicates(["set_a", "set_b"])
-    hashes = written_table(hashes.join(wanted, ["set_a", "set_b"]).select("node", "shingles"), "shingles")
+    grouped = profiles.where("n_shingles > 0").groupBy("node")
+    same_in_all = [F.max("n_shingles").alias("n"), F.min("proof").alias("low"), F.max("proof").alias("high")]
+    sets = written_table(grouped.agg(F.min("doc_id").alias("first_id"), *same_in_all), "sets")
+    if not sets.where("low <> high").isEmpty():
+        raise RuntimeError("two sets have the same 64-bit name")
+
+    # The parts are worked out twice: to see which two sets share, and to fetch the sets that share one.
+    keyed = chosen.select("text").mapInPandas(_parted(words, per, of), PARTS)
+    blocks = keyed.groupBy("part").agg(F.min("node").alias("leader"), F.max("node").alias("most")).where("leader <> most")
+    blocks = written_table(blocks.select("part", "leader"), "blocks")
+    members = _sifted(keyed, "part", _sieve(blocks, "part")).join(blocks, "part").distinct()
+    members = written_table(members, "members")
+    meeting = written_table(members.select("node").distinct(), "meeting")
+    traits = _sifted(profiles.where("n_shingles > 0"), "node", _sieve(meeting, "node")).join(meeting, "node", "left_semi")
+    traits = traits.select("node", F.col("n_shingles").alias("n"), "level", "odd", "odder").dropDuplicates(["node"])
+    traits = written_table(traits, "traits")
+    leader_traits = traits.withColumnsRenamed({name: f"leader_{name}" for name in traits.columns[1:]} | {"node": "leader"})
 
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     left = members.withColumn("root", F.col("node")).withColumn("leader_root", F.col("leader"))
     for turn in range(LEADER_ROUNDS + 1):
         if turn < LEADER_ROUNDS:
-            pairs = left.where("node <> leader").join(sized, "leader")
+            pairs = left.where("node <> leader and root <> leader_root").select("leader", "node").distinct()
+            pairs = pairs.join(traits, "node").join(leader_traits, "leader").where(_may_link(per, of))
         else:  # everything that is still apart, pair by pair
-            other = left.select(
-                "part", F.col("node").alias("leader"), F.col("n").alias("leader_n"), F.col("root").alias("leader_root")
-            )
-            pairs = left.drop("leader", "leader_root").join(other, "part").where("leader < node")
-        fits = F.least("n", "leader_n") * of >= F.greatest("n", "leader_n") * per
-        pairs = written_table(pairs.where(fits & (F.col("root") != F.col("leader_root"))).select("leader", "node").distinct(), "pairs")
+            own = written_table(left.select("part", "node", "root").join(traits, "node"), "apart")
+            renamed = {name: f"leader_{name}" for name in ("root", *traits.columns[1:])}
+            other = own.withColumnsRenamed({**renamed, "node": "leader", "part": "same"})
+            apart = (F.col("leader") < F.col("node")) & (F.col("root") != F.col("leader_root"))
+            pairs = own.join(other, (F.col("part") == F.col("same")) & apart & _may_link(per, of))
+            pairs = pairs.select("leader", "node").distinct()
+        pairs = written_table(pairs.select("leader", "node"), "pairs")
         if not pairs.isEmpty():
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
+            needed = written_table(needed, "needed")
+            every = chosen.select("text").mapInPandas(_hashed(words), HASHES)
+            hashes = _sifted(every, "node", _sieve(needed, "node")).join(needed, "node", "left_semi")
+            hashes = written_table(hashes.dropDuplicates(["node"]), "shingles")
             roots = components(known.unionByName(_linked(pairs, hashes, per, of)))
         # A leader is done with its block; of the rest, blocks that hold more than one component go on.
-        rest = left.where("node <> leader").select("part", "node", "n").join(roots, "node", "left")
+        rest = left.where("node <> leader").select("part", "node").join(roots, "node", "left")
         rest = rest.withColumn("root", F.coalesce("root", "node"))
         first = F.min(F.struct("node", "root"))
         apart = rest.groupBy("part").agg(F.min("root").alias("x"), F.max("root").alias("y"), first.alias("first"))
@@ -263,11 +348,17 @@ def near_documents(
             break
 
     named = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labelled = named.join(least, "root").select("set_a", "set_b", "component_id", F.col("root").alias("component"))
-    out = profiles.join(labelled, ["set_a", "set_b"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), "text_hash", "component")
+    least = named.groupBy("root").agg(F.min("first_id").alias("least_id"))
+    labelled = named.join(least, "root").select("node", "least_id", "root")
+    out = profiles.select("doc_id", "text_hash", "n_shingles", "node").join(labelled, "node", "left")
+    filled = F.col("n_shingles") > 0
+    return out.select(
+        "doc_id",
+        "n_shingles",
+        F.when(filled, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_hash",
+        F.when(filled, F.col("root")).alias("component"),
+    )
 
 
 def without_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
