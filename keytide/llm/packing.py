@@ -3,15 +3,19 @@
 What is packed is the histogram of lengths, which has at most ``capacity`` entries however many
 pieces there are. Best fit gives a first solution, which most often meets the bound on the number of bins. If not,
 branch and bound looks for fewer bins: it takes the largest length left, enumerates the undominated ways
-to fill up its bin, and leaves a branch as soon as the waste so far rules out a gain. Pieces then take the slots of
-their length by rank.
+to fill up its bin, each for as many bins at once as its lengths last or fewer, and leaves a branch as soon as the waste so
+far rules out a gain. Pieces then take the slots of their length by rank.
 """
 
 from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator, Mapping
+from hashlib import blake2b
+from heapq import heappop, heappush
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,9 +24,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from keytide.settings import written_table
 
 CAPACITY, END = 4096, 1
-NODES = 1000  # nodes that a search visits; the best solution so far stands
+NODES = 1000  # nodes that a search visits beside its first packing; the best solution so far stands
 FILLINGS, FILLING_STEPS = 16, 1000  # fillings tried at a node, the fullest first, and steps to find them
-SEARCHED_ITEMS = 200  # pieces that are packed anew at a time
+SEARCHED_ITEMS = 200  # pieces of the patterns that are packed anew at a time, however many bins have them
 RANK_ROWS = 20_000
 KEPT_UNITS = 500_000  # units whose ids a worker remembers
 PIECE_BYTES = 8 << 20
@@ -71,26 +75,31 @@ def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Pattern, in
 def least_bins(counts: Mapping[int, int], capacity: int) -> int:
     """A bound: total length, and for each t what lengths over capacity - t leave for those from t up."""
     lengths = np.array(sorted(counts), np.int64)
+    return _least(lengths, np.array([counts[int(x)] for x in lengths], np.int64), capacity)
+
+
+def _least(lengths: np.ndarray, number: np.ndarray, capacity: int) -> int:
     if not len(lengths):
         return 0
-    number = np.array([counts[int(x)] for x in lengths], np.int64)
-    best = -(-int((lengths * number).sum()) // capacity)
-    for t in [0, *(int(x) for x in lengths if x <= capacity // 2)]:
-        big, middle = lengths > capacity - t, (lengths > capacity // 2) & (lengths <= capacity - t)
-        small = (lengths >= t) & (lengths <= capacity // 2)
-        spare = int(number[middle].sum()) * capacity - int((lengths * number)[middle].sum())
-        over = max(0, int((lengths * number)[small].sum()) - spare)
-        best = max(best, int(number[big].sum() + number[middle].sum()) - (-over // capacity))
-    return best
+    pieces = np.concatenate([[0], np.cumsum(number)])
+    sums = np.concatenate([[0], np.cumsum(lengths * number)])
+    half = int(np.searchsorted(lengths, capacity // 2, "right"))  # the lengths before it are small
+    at = np.arange(half)  # t is one of the small lengths; t = 0 is the case at = 0 without lengths over the capacity
+    big = np.searchsorted(lengths, capacity - lengths[:half], "right")
+    spare = (pieces[big] - pieces[half]) * capacity - (sums[big] - sums[half])
+    over = np.maximum(0, sums[half] - sums[at] - spare)
+    whole = -(-int(sums[-1]) // capacity)
+    found = pieces[-1] - pieces[half] - (-over // capacity)
+    return max(whole, int(pieces[-1] - pieces[half]), int(found.max(initial=0)))
 
 
 def _dominated(filling: Pattern, gap: int, left: Mapping[int, int], lengths: list[int]) -> bool:
     """Whether a length left over (``lengths``: all, rising) could take the place of one or two smaller ones and fit."""
-    spare = gap - sum(filling)
-    parts = {0, *filling, *(a + b for i, a in enumerate(filling) for b in filling[i + 1 :])}
+    spare, held = gap - sum(filling), Counter(filling)
+    parts = {0, *held, *(2 * x for x, n in held.items() if n > 1), *map(sum, combinations(held, 2))}
     for part in parts:
         for at in range(bisect_right(lengths, part), bisect_right(lengths, part + spare)):
-            if left[lengths[at]] > filling.count(lengths[at]):
+            if left[lengths[at]] > held[lengths[at]]:
                 return True
     return False
 
@@ -98,84 +107,137 @@ def _dominated(filling: Pattern, gap: int, left: Mapping[int, int], lengths: lis
 def fillings(gap: int, left: Mapping[int, int]) -> list[Pattern]:
     """Undominated ways to fill a gap from the lengths left, the fullest first."""
     lengths = sorted(x for x, n in left.items() if n and x <= gap)
-    found: list[Pattern] = []
+    found: set[Pattern] = set()
     steps = 0
 
-    def extend(room: int, longest: int, chosen: Pattern) -> None:
+    def extend(room: int, below: int, chosen: Pattern) -> None:
         nonlocal steps
         went = False
-        for at in range(bisect_right(lengths, min(room, longest)) - 1, -1, -1):
+        for at in range(bisect_right(lengths, room, 0, below) - 1, -1, -1):
             length = lengths[at]
-            if chosen.count(length) < left[length]:
+            most = min(left[length], room // length)
+            for times in range(most, 0 if at else most - 1, -1):  # nothing follows the smallest length
                 went, steps = True, steps + 1
-                extend(room - length, length, (*chosen, length))
+                extend(room - times * length, at, chosen + (length,) * times)
                 if steps > FILLING_STEPS:
                     return
         if not went and not _dominated(chosen, gap, left, lengths):
-            found.append(chosen)
+            found.add(chosen)
 
-    extend(gap, gap, ())
-    return sorted(set(found), key=sum, reverse=True)[:FILLINGS] or [()]
+    extend(gap, len(lengths), ())
+    return sorted(found, key=lambda filling: (-sum(filling), len(filling), filling))[:FILLINGS] or [()]
 
 
 def search(counts: Mapping[int, int], capacity: int, fewest: int, nodes: int) -> list[tuple[Pattern, int]] | None:
-    """A packing in less than ``fewest`` bins, by bin completion, as far as ``nodes`` nodes lead; None if none is found."""
-    bound, total = least_bins(counts, capacity), sum(x * n for x, n in counts.items())
-    best = None
-    # Depth first, as a stack of (lengths left, bins so far, waste so far, what was chosen so far).
-    stack: list[tuple[dict[int, int], int, int, tuple | None]] = [(dict(counts), 0, 0, None)]
-    while stack and nodes and fewest > bound:
-        nodes -= 1
-        left, used, waste, chosen = stack.pop()
-        allowed = (fewest - 1) * capacity - total  # more waste than this is no gain
-        if waste > allowed:
-            continue
-        if not left:
-            fewest, best = used, []
-            while chosen:
-                pattern, chosen = chosen
-                best.append((pattern, 1))
+    """A packing in less than ``fewest`` bins, by bin completion, as far as ``nodes`` nodes lead; None if none is found.
+
+    A branch repeats a filling as often as its lengths last, half as often, and so on down to once, so that any numbers
+    of bins are reached. Nodes are visited by how far they deviate from the fullest filling repeated the most; the
+    packing without a deviation is always completed and does not count.
+    """
+    lengths = np.array(sorted(x for x, n in counts.items() if n), np.int64)
+    number = np.array([counts[int(x)] for x in lengths], np.int64)
+    place = {int(x): i for i, x in enumerate(lengths)}
+    bound, total = _least(lengths, number, capacity), int((lengths * number).sum())
+    best, serial, seen = None, 0, {}
+    # Deviations, minus the depth, a serial number; lengths left and bins before this entry; what was chosen.
+    queue: list[tuple] = [(0, 0, 0, number, 0, None)]
+    while queue and fewest > bound:
+        far, depth, _, left, used, chosen = heappop(queue)
+        if far:
+            if not nodes:
+                break
+            nodes -= 1
+        if chosen:
+            (pattern, times), _ = chosen
+            left, used = left.copy(), used + times
+            for x, n in Counter(pattern).items():
+                left[place[x]] -= n * times
+        at = np.flatnonzero(left)
+        if not len(at):
+            if used < fewest:
+                fewest, best = used, []
+                while chosen:
+                    entry, chosen = chosen
+                    best.append(entry)
             continue
-        if used + least_bins(left, capacity) >= fewest:
+        state = blake2b(left.tobytes(), digest_size=16).digest()
+        if seen.get(state, fewest) <= used or used + _least(lengths[at], left[at], capacity) >= fewest:
             continue
-        largest = max(left)
-        children = []
-        for filling in fillings(capacity - largest, {**left, largest: left[largest] - 1}):
+        seen[state] = used
+        allowed = (fewest - 1) * capacity - total  # more waste than this is no gain
+        waste = used * capacity - total + int((lengths * left).sum())
+        rest = dict(zip(lengths[at].tolist(), left[at].tolist()))
+        largest = int(lengths[at[-1]])
+        for turn, filling in enumerate(fillings(capacity - largest, {**rest, largest: rest[largest] - 1})):
             pattern = (largest, *filling)
-            lost = waste + capacity - sum(pattern)
-            if lost <= allowed:
-                after = dict(left)
-                for x in pattern:
-                    after[x] -= 1
-                children.append(({x: n for x, n in after.items() if n}, used + 1, lost, (pattern, chosen)))
-        stack.extend(reversed(children))  # the fullest filling is tried first
+            times = min(rest[x] // n for x, n in Counter(pattern).items())
+            halved = 0
+            while times:
+                if waste + times * (capacity - sum(pattern)) <= allowed:
+                    serial += 1
+                    entry = (far + turn + halved, depth - 1, serial, left, used, ((pattern, times), chosen))
+                    heappush(queue, entry)
+                times, halved = times // 2, halved + 1
     return best
 
 
+def _windows(packing: list[tuple[Pattern, int]]) -> Iterator[list[int]]:
+    """Entries of a packing some at a time, those with the most waste first; a window overlaps half of the one before."""
+    order = sorted(range(len(packing)), key=lambda i: sum(packing[i][0]))
+    ends = np.cumsum([len(packing[i][0]) for i in order])
+    low = 0
+    while low < len(order):
+        begin = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, begin + SEARCHED_ITEMS, "right")))
+        yield order[low:high]
+        if high == len(order):
+            break
+        low = max(low + 1, int(np.searchsorted(ends, begin + SEARCHED_ITEMS // 2, "right")))
+
+
+def _total(packing: list[tuple[Pattern, int]]) -> tuple[dict[int, int], int]:
+    counts: dict[int, int] = {}
+    for pattern, bins in packing:
+        for x in pattern:
+            counts[x] = counts.get(x, 0) + bins
+    return counts, sum(bins for _, bins in packing)
+
+
 def pack(counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
     """Patterns of lengths and their bins, as few bins as the search finds; lengths lie in 1 .. capacity.
 
-    Best fit is the first incumbent. While it has more bins than the bound, the bins with the most waste, up to
-    SEARCHED_ITEMS pieces in all, are emptied and packed anew by the search; a small input is searched whole.
+    Best fit is the first incumbent. If it has more bins than the bound, the whole histogram is searched. While the bound
+    is not met, patterns with all their bins are then emptied and packed anew, patterns of SEARCHED_ITEMS pieces at a
+    time, the most waste first, until no such lot of patterns gains.
     """
     counts = {int(x): int(n) for x, n in counts.items() if n > 0}
     if any(not 0 < x <= capacity for x in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
     best, bound = best_fit(counts, capacity), least_bins(counts, capacity)
-    while sum(bins for _, bins in best) > bound:
-        opened: dict[int, int] = {}
-        kept, items, emptied = [], 0, 0
-        for pattern, bins in sorted(best, key=lambda entry: sum(entry[0])):
-            take = min(bins, max(0, SEARCHED_ITEMS - items) // len(pattern))
-            for x in pattern:
-                opened[x] = opened.get(x, 0) + take
-            items, emptied = items + take * len(pattern), emptied + take
-            if bins > take:
-                kept.append((pattern, bins - take))
-        found = search({x: n for x, n in opened.items() if n}, capacity, emptied, nodes)
-        if found is None:
+    bins = sum(n for _, n in best)
+    if bins > bound:
+        best = search(counts, capacity, bins, nodes) or best
+    failed: set[tuple] = set()  # lots without a gain are not tried again
+    gained = True
+    while gained:
+        gained = False
+        for window in _windows(best):
+            if sum(n for _, n in best) == bound:
+                return best
+            lot = [best[i] for i in window]
+            name = tuple(sorted(lot))
+            if name in failed:
+                continue
+            opened, emptied = _total(lot)
+            found = search(opened, capacity, emptied, nodes)
+            if found is None:
+                failed.add(name)
+                continue
+            inside = set(window)
+            best = [entry for i, entry in enumerate(best) if i not in inside] + found
+            gained = True
             break
-        best = kept + found
     return best
 
 

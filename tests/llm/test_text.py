@@ -356,6 +356,55 @@ def test_large_histograms_keep_every_piece():
         packing.pack({5000: 1})
 
 
+def bins_of(packing_):
+    return sum(bins for _, bins in packing_)
+
+
+def test_hot_lengths_are_searched_whole():
+    """Production limits; the waste-free packing needs patterns that best fit never opens."""
+    hot = {2058: 6, 1044: 6, 1034: 6, 1004: 12}
+    for n in (1, 40, 1000, 1_000_000):
+        counts = {x: m * n for x, m in hot.items()}
+        found = packing.pack(counts)
+        used: dict = {}
+        for pattern, bins in found:
+            assert sum(pattern) <= 4096
+            for x in pattern:
+                used[x] = used.get(x, 0) + bins
+        assert used == counts and bins_of(found) == 9 * n == packing.least_bins(counts, 4096)
+    assert bins_of(packing.best_fit({x: m * 1000 for x, m in hot.items()}, 4096)) == 11_000
+
+
+def test_search_goes_on_after_bins_that_cannot_gain():
+    """The bins with the most waste are one pattern that cannot be packed tighter; the gain lies in others."""
+    counts = {2058: 6000, 1044: 6000, 1034: 6000, 1004: 12_000, 3100: 5000}
+    assert bins_of(packing.best_fit(counts, 4096)) > 14_000 == bins_of(packing.pack(counts))
+    noise = random.Random(7)
+    for _ in range(60):
+        length = noise.randint(1500, 2000)
+        counts[length] = counts.get(length, 0) + noise.randint(1, 20)
+    first, found = packing.best_fit(counts, 4096), packing.pack(counts)
+    assert bins_of(first) - bins_of(found) > 1000
+
+
+def test_lots_of_patterns_are_tried_until_none_gains(monkeypatch):
+    """Where the search of the whole histogram finds nothing, lots of patterns are tried, past those that fail."""
+    counts = {2058: 600, 1044: 600, 1034: 600, 1004: 1200, **{x: 50 for x in range(3093, 3102)}}
+    search, lots = packing.search, []
+
+    def tried(held, capacity, fewest, nodes):
+        lots.append(len(held))
+        return None if len(lots) <= 2 else search(held, capacity, fewest, nodes)
+
+    monkeypatch.setattr(packing, "search", tried)
+    monkeypatch.setattr(packing, "SEARCHED_ITEMS", 12)  # so that this histogram makes more than one lot
+    assert bins_of(packing.pack(counts)) < bins_of(packing.best_fit(counts, 4096)) and len(lots) > 2
+
+
+def test_tiny_pieces_fill_a_bin_without_deep_recursion():
+    assert sum(packing.fillings(4000, {1: 5000, 3: 2000})[0]) == 4000
+
+
 def test_sequences_hold_all_ids(spark, odd, empty):
     held = packing.packed(odd, WORDS, capacity=64, ids=True)
     rows = held.collect()
