@@ -79,11 +79,16 @@ def _set_ids(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def size_classes(most: int, per: int, of: int) -> np.ndarray:
-    """Upper ends of classes of set sizes; a set pairs within its class or the next."""
+    """Upper ends of classes of set sizes, one class more than ``most`` needs; a set pairs within its class or the next.
+
+    Ends follow from each other alone, so that rows worked on apart, with another ``most``, have the same classes.
+    """
     ends = [1]
-    while ends[-1] < most:
+    more = True
+    while more:
+        more = ends[-1] < most
         ends.append(max(ends[-1] + 1, ends[-1] * of // per, ends[-1] * 5 // 4))
-    return np.array([*ends, max(ends[-1] + 1, ends[-1] * of // per)])
+    return np.array(ends)
 
 
 def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np.ndarray]:

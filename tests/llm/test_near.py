@@ -101,3 +101,24 @@ def test_sizes_pair_within_a_class_or_the_next():
         ends = ngram_join.size_classes(5000, per, of)
         own = lambda n: next(i for i, e in enumerate(ends) if n <= e)
         assert all(own(min(n * of // per, 5000)) - own(n) <= 1 for n in range(1, 5001))
+
+
+def test_classes_do_not_depend_on_the_largest_set():
+    for per, of in ((90, 100), (95, 100), (80, 100), (50, 100)):
+        ends = ngram_join.size_classes(30_000, per, of)
+        for most in (1, 5, 50, 95, 97, 98, 457, 5000, 20_218):
+            held = ngram_join.size_classes(most, per, of)
+            assert held.tolist() == ends[: len(held)].tolist() and held[-2] >= most
+
+
+def test_pairs_across_a_class_end_link_from_separate_partitions(spark):
+    rows = []
+    for key, (size, more) in enumerate([(95, 5), (450, 20), (20_000, 500)]):
+        text = [f"w{key}x{i}" for i in range(size)]
+        rows.append((2 * key, " ".join(text)))
+        rows.append((2 * key + 1, " ".join(text + [f"y{key}x{i}" for i in range(more)])))
+    # A partition for each row, so that the classes worked out there end with that row's set.
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    found = got(ngram_join.near_documents(docs, words=1, per=90))
+    assert found == brute(rows, 1, 90)
+    assert all(component == key - key % 2 for key, _, component in found)
