@@ -23,6 +23,7 @@ from keytide.settings import written_table
 SAMPLES = 128  # the most steps that a fingerprint holds
 PERIOD = 4096  # the walk's bits repeat after so many steps
 BANDS, BAND_SAMPLES, BAND_FROM = 32, 4, 40
+LEADER_ROUNDS = 2
 PIECE_CHARS = 8 << 20
 RANGE_BYTES = 32 << 20
 
@@ -203,23 +204,42 @@ def _band_keys(fingerprint: pd.Series) -> pd.Series:
 def near_documents(prints: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Near duplicates among fingerprints (doc_id, fingerprint): verified links and membership.
 
-    Equal fingerprints are one class, named by its smallest id. Classes that agree on a band of sampled steps meet;
-    each is verified against the smallest class there, over BANDS bands. Returns links (a, b, likeness) between
-    classes and, per document, (doc_id, class_id, component_id). The search is approximate: two classes with likeness p
-    share a band with probability 1 - (1 - p^BAND_SAMPLES)^BANDS.
+    Equal fingerprints are one class, named by its smallest id. Classes that agree on a band of sampled steps, of BANDS
+    bands, are candidates. They are verified against the smallest class of the band first; classes that this leaves in
+    different components are verified against the next one and then pair by pair, so that every candidate pair is
+    verified or lies in one component. Returns links (a, b, likeness) between classes, as many as join
+    the components, and, per document, (doc_id, class_id, component_id). The search is approximate: two classes with
+    likeness p share a band with probability 1 - (1 - p^BAND_SAMPLES)^BANDS.
     """
     known = prints.select("doc_id", "fingerprint").where("doc_id is not null")
     classes = written_table(known.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id")), "classes")
     keys = F.pandas_udf(_band_keys, "array<string>")
-    banded = classes.select("class_id", F.explode(keys("fingerprint")).alias("band"))
-    heads = banded.groupBy("band").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z")).where("a <> z")
-    pairs = banded.join(heads, "band").where("class_id <> a").select("a", F.col("class_id").alias("b")).distinct()
     held = classes.select(F.col("class_id").alias("a"), F.col("fingerprint").alias("fa"))
     other = classes.select(F.col("class_id").alias("b"), F.col("fingerprint").alias("fb"))
     alike = F.pandas_udf(lambda x, y: pd.Series([likeness(p, q) for p, q in zip(x, y)], dtype=float), "double")
-    scored = pairs.join(held, "a").join(other, "b").select("a", "b", alike("fa", "fb").alias("likeness"))
-    links = written_table(scored.where(F.col("likeness") >= threshold), "links")
-    roots = components(links.select("a", "b"))
+    links = prints.sparkSession.createDataFrame([], "a long, b long, likeness double")
+    roots = prints.sparkSession.createDataFrame([], "node long, root long")
+    left = classes.select("class_id", F.explode(keys("fingerprint")).alias("band")).withColumn("root", F.col("class_id"))
+    for turn in range(LEADER_ROUNDS + 1):
+        first = F.min(F.struct("class_id", "root")).alias("first")
+        heads = left.groupBy("band").agg(first, F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+        heads = heads.select("band", F.col("first.class_id").alias("a"), F.col("first.root").alias("a_root"))
+        met = written_table(left.join(heads, "band"), "met")
+        if met.isEmpty():
+            break
+        if turn < LEADER_ROUNDS:
+            pairs = met.where("class_id <> a and root <> a_root").select("a", F.col("class_id").alias("b"))
+        else:  # everything that is still apart, pair by pair
+            own = met.select("band", F.col("class_id").alias("a"), F.col("root").alias("a_root"))
+            pairs = own.join(met.select("band", F.col("class_id").alias("b"), "root"), "band")
+            pairs = pairs.where("a < b and root <> a_root").select("a", "b")
+        scored = pairs.distinct().join(held, "a").join(other, "b").select("a", "b", alike("fa", "fb").alias("likeness"))
+        links = links.unionByName(written_table(scored.where(F.col("likeness") >= threshold), "links"))
+        roots = components(links.select("a", "b"))
+        # A leader is done with its band; of the rest, bands that hold more than one component go on.
+        rest = met.where("class_id <> a").select("class_id", "band")
+        named = rest.join(roots, F.col("class_id") == F.col("node"), "left")
+        left = named.select("class_id", "band", F.coalesce("root", "class_id").alias("root"))
     members = known.join(classes, "fingerprint").select("doc_id", "class_id")
     named = members.join(roots, F.col("class_id") == F.col("node"), "left")
     return links, named.select("doc_id", "class_id", F.coalesce("root", "class_id").alias("component_id"))

@@ -294,6 +294,22 @@ def test_odd_documents_are_rated(spark, odd, empty):
     assert quality.kept(odd).columns == odd.columns
 
 
+def test_classes_meet_behind_unlike_smaller_ones(spark):
+    """Every band of b and c has smaller, unlike classes: the first 80 of 128 steps are the same in all."""
+    draw = random.Random(4)
+    head = bytes(draw.randrange(1, 256) for _ in range(80))
+    tails = [bytes(draw.randrange(1, 256) for _ in range(48)) for _ in range(7)]
+    prints = [(key, f"00{(head + tail).hex()}") for key, tail in enumerate(tails)]
+    for key in (4, 6):
+        near = bytearray(tails[key])
+        near[3] ^= 1
+        prints.append((100 + key, f"00{(head + bytes(near)).hex()}"))
+    links, members = fingerprints.near_documents(spark.createDataFrame(prints, "doc_id long, fingerprint string"))
+    want = [(a, b) for a, x in prints for b, y in prints if a < b and fingerprints.likeness(x, y) >= 0.8]
+    assert want == [(4, 104), (6, 106)] == sorted((r.a, r.b) for r in links.collect())
+    assert {r.doc_id: r.component_id for r in members.collect()} == {k: k % 100 for k, _ in prints}
+
+
 # --- packing -------------------------------------------------------------------------------
 
 
