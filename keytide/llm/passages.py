@@ -1,8 +1,8 @@
-"""Substring dedup by seed and extend: words of passages that also start in an earlier document.
+"""Substring dedup by winnowed seeds: words of passages that also start in an earlier document.
 
-Documents meet on winnowed anchors of a few words (``repeats``). From a shared anchor every match is
-extended both ways, word by word, as far as a window reaches; windows found in an earlier document
-join up to maximal repeats of at least the window's length.
+Documents meet on winnowed anchors of a few words (``repeats``). Matches are not extended word by word: for every place
+that a shared anchor can have in a window, the windows are hashed and grouped, and equal hashes compared word by word.
+Windows found in an earlier document join up to maximal repeats of at least the window's length.
 """
 
 from __future__ import annotations
