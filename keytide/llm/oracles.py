@@ -86,7 +86,29 @@ kept AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (r)"""
 
+_HARD = """WITH one AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, embedding) = 1),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM one a JOIN one b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS n
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, n::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE n <= 3"""
+
 ORACLES = {
+    "op12_hard_negatives": _HARD,
     "op2_ngram_join": _NEAR,
     "op5_warc": _WARC,
     "op6_chat": _CHAT,

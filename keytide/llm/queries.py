@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keytide.llm import chat, fingerprints, ngram_join, packing, passages, pieces, quality, substrings, token_counts, warc
+from keytide.llm import chat, fingerprints, hard_negatives, ngram_join, packing, passages, pieces, quality, substrings, token_counts, warc
 from keytide.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -59,6 +59,12 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_passages(documents(spark, folder))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -70,4 +76,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_best_fit": op10_best_fit,
+    "op12_hard_negatives": op12_hard_negatives,
 }
