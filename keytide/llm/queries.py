@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keytide.llm import chat, fingerprints, hard_negatives, ngram_join, packing, passages, pieces, quality, substrings, token_counts, warc
+from keytide.llm import chat, fingerprints, hard_negatives, ngram_join, packing, passages, pieces, quality, substrings, token_counts, toxicity, warc
 from keytide.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -59,6 +59,11 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_passages(documents(spark, folder))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.scored(docs, toxicity.learned(docs, labels.select("doc_id", "toxic")))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/embeddings.parquet")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -76,5 +81,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_best_fit": op10_best_fit,
+    "op11_toxicity": op11_toxicity,
     "op12_hard_negatives": op12_hard_negatives,
 }
