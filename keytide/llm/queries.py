@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keytide.llm import chat, fingerprints, hard_negatives, ngram_join, packing, passages, pieces, quality, substrings, token_counts, toxicity, warc
+from keytide.llm import alignment, chat, fingerprints, hard_negatives, ngram_join, packing, passages, pieces, quality, substrings, token_counts, toxicity, warc
 from keytide.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -70,6 +70,11 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mined(rows.withColumn("label", moved), F.col("id") % 50 == 0)
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.aligned(documents(spark, folder), *files)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -83,4 +88,5 @@ QUERIES = {
     "op10_best_fit": op10_best_fit,
     "op11_toxicity": op11_toxicity,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }

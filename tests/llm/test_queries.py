@@ -15,7 +15,7 @@ from tests.compare import database, differences
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, data, name):
-    base = database(data, ("documents", "pages", "conversations"))
+    base = database(data, ("documents", "pages", "conversations", "embeddings"))
     assert differences(queries.QUERIES[name](spark, data), base, queries.ORACLES[name]) == []
 
 
