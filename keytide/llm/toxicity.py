@@ -160,7 +160,7 @@ def fit(row: np.ndarray, place: np.ndarray, toxic: np.ndarray, terms: np.ndarray
     if not n:
         return m
     order = np.lexsort((row, place))
-    holders = np.split(row[order], np.cumsum(np.bincount(place, minlength=size))[:-1])
+    holders = np.split(row[order], np.cumsum(np.bincount(place, minlength=size))[:-1])[:size]
     margin, total = _margin(m, row, place, n)
 
     def slopes(at) -> tuple[np.ndarray, np.ndarray]:
