@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from keytide.operators import ordered
-from keytide.operators.joins import fits_broadcast
+from keytide.operators.sizes import fits_broadcast
 from keytide.settings import DEFAULT_LIMITS, Limits, written_table
 
 _MICROS = "_micros"
@@ -22,6 +22,7 @@ def join_as_of(
     how: str = "inner",
     limits: Limits = DEFAULT_LIMITS,
     deleted: Column | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Each stream row with the newest ``values`` of its key at or before its ``ts``.
 
@@ -32,14 +33,16 @@ def join_as_of(
 
     Versions become validity intervals, cut at the bounds of equal spans of time and broadcast; a stream
     row meets only those of its key and span, and does not move. Version tables beyond the broadcast bound, or with
-    too many versions in one span, are merged with the stream in time order instead.
+    too many versions in one span, are merged with the stream in time order instead; so are all with ``merge``, which measures
+    nothing first and suits the short inputs of micro-batches.
     """
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     known = changes.where(F.col(table_key).isNotNull() & F.col("ts").isNotNull())
     newest = F.max_by(F.struct(*values, gone.alias("_gone")), F.col("off"))
     versions = known.groupBy(F.col(table_key).alias("_key"), F.col("ts").alias("_from")).agg(newest.alias("_version"))
-    versions = written_table(versions, "versions")
-    intervals = _intervals(versions, limits)
+    if not merge:
+        versions = written_table(versions, "versions")
+    intervals = None if merge else _intervals(versions, limits)
     if intervals is not None:
         joined = _by_interval(stream, *intervals, stream_key, how)
     else:

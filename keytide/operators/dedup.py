@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from keytide.functions.logs import ARRIVAL
 from keytide.operators import ordered
-from keytide.operators.joins import fits_broadcast
+from keytide.operators.sizes import fits_broadcast
 from keytide.operators.tables import first_by_key
 from keytide.settings import DEFAULT_LIMITS, Limits, written_table
 

@@ -8,23 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keytide.operators.filters import rekey
 from keytide.operators.ordered import flag_hot, hot_keys
+from keytide.operators.sizes import fits_broadcast
 from keytide.settings import DEFAULT_LIMITS, Limits
 
 # What a customer joined to its region carries.
 JOINED_FIELDS = ("customerId", "firstName", "lastName", "email", "age", "regionName", "areaCode")
 
 
-def fits_broadcast(table: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
-    """Measure a table against the replication bound: its rows, and their size as text.
-
-    Only as many rows as the bound allows, and one more, are looked at, so a table far beyond it costs little.
-    """
-    within = table.limit(limits.broadcast_rows + 1)
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
-    rows, used = within.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
-    return rows <= limits.broadcast_rows and used <= limits.broadcast_bytes
-
-
 def lookup(
     stream: DataFrame,
     table: DataFrame,
@@ -32,6 +22,7 @@ def lookup(
     table_key: str,
     how: str = "inner",
     limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join each stream row to the table row of its key (the table has one row per key).
 
@@ -39,11 +30,12 @@ def lookup(
     joined by shuffle, with the stream rows of hot keys spread over pieces of ``salt_rows`` and
     only those keys' table rows repeated. Null keys match nothing. A table that is costly to
     compute should be passed written, since it is measured first. Keys of a stream cannot be
-    counted: with a table beyond the bound, look up per micro-batch (``start_batches``).
+    counted: with a table beyond the bound, look up per micro-batch (``start_batches``). ``small`` says whether the table is
+    within the bound where that has been measured already.
     """
     keyed = stream.withColumn("_key", stream_key)
     side = table.where(F.col(table_key).isNotNull())
-    if fits_broadcast(side, limits):
+    if fits_broadcast(side, limits) if small is None else small:
         return keyed.join(F.broadcast(side), F.col("_key") == F.col(table_key), how).drop("_key", table_key)
     return _shuffled(keyed, side, table_key, how, limits).drop("_key", table_key)
 
@@ -64,11 +56,11 @@ def _shuffled(keyed: DataFrame, table: DataFrame, table_key: str, how: str, limi
     # pieces as its rows need, so the repeated table rows stay few: rows / salt_rows + hot keys.
     row = F.xxhash64(*[F.col(f"`{name}`") for name in keyed.columns if not _has_map(keyed.schema[name].dataType)])
     pieces = F.ceil(F.col("_rows") / limits.salt_rows).cast("int")
-    spread = flag_hot(keyed, ["_key"], hot, pieces.alias("_pieces")).withColumn(
+    spread = flag_hot(keyed, ["_key"], hot, pieces.alias("_pieces"), limits).withColumn(
         "_salt", F.coalesce(F.pmod(row, F.col("_pieces")).cast("int"), F.lit(0))
     )
     table_hot = hot.withColumnRenamed("_key", table_key)
-    repeated = flag_hot(table, [table_key], table_hot, pieces.alias("_pieces_t")).withColumn(
+    repeated = flag_hot(table, [table_key], table_hot, pieces.alias("_pieces_t"), limits).withColumn(
         "_salt_t", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces_t"), F.lit(1)) - 1))
     )
     joined = spread.join(repeated.hint("merge"), same & (F.col("_salt") == F.col("_salt_t")), how)

@@ -1,35 +1,37 @@
 """Row numbering, carrying forward and running totals within a key, at any key size.
 
 A window per key sends all rows of the key to one task. That is fine up to
-``Limits.hot_rows``. Rows of larger keys are cut by ``repartitionByRange(key, order)`` into
-segments of about ``Limits.segment_rows`` rows. Windows then run per (key, segment), their
+``Limits.hot_rows``. Larger keys are cut into segments of about ``Limits.segment_rows`` rows: a sample of each key's
+positions, sorted, gives its cut points, a small table that is broadcast; every row finds its segment by binary search. So the
+rows of hot keys move once, by (key, segment). Windows run per segment, their
 result is written once, and what the earlier segments of the key contribute is read off the
 last row of each segment.
 
-Range segments of a key are contiguous, so at most ``segments - 1`` (key, segment) pairs have
-an earlier segment of the same key. That bounds every carried table, which is why those are
-broadcast.
+Segments of a key are contiguous, so at most ``Limits.segments`` (key, segment) pairs have
+an earlier segment of the same key. That bounds the rows of every carried table; these are broadcast if their bytes allow it,
+and joined by shuffle otherwise. Beyond ``segments`` times ``segment_rows`` hot rows (10^11) segments grow with the log.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from keytide.operators.sizes import light
 from keytide.settings import DEFAULT_LIMITS, Limits, written_table
 
 SEGMENT = "_segment"
-_LAST = "_last"
+SAMPLES = 16  # positions sampled per segment
+_LAST, _CUTS, _ALL = "_last", "_cuts", "_all"
 
 
 class Scope:
     """The keys and order a step works in, and whether keys are cut into segments."""
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], segmented: bool):
-        self.keys, self.order, self.segmented = list(keys), list(order), segmented
+    def __init__(self, keys: Sequence[str], order: Sequence[str], segmented: bool, limits: Limits = DEFAULT_LIMITS):
+        self.keys, self.order, self.segmented, self.limits = list(keys), list(order), segmented, limits
         self.group = [*self.keys, SEGMENT] if segmented else self.keys
         self.ordered = Window.partitionBy(*self.group).orderBy(*self.order)
         self.so_far = self.ordered.rowsBetween(Window.unboundedPreceding, 0)
@@ -38,10 +40,15 @@ class Scope:
 
     def attach(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
         """Add the carried columns (at most one row per segment) to the rows they apply to."""
-        renamed = carry.withColumnsRenamed({name: f"_c_{name}" for name in self.group})
-        same = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in self.group]
-        joined = rows.join(F.broadcast(renamed), same, "left")
-        return joined.drop(*[f"_c_{name}" for name in self.group])
+        return _attached(rows, written_table(carry, "carried"), self.group, "left", self.limits)
+
+
+def _attached(rows: DataFrame, few: DataFrame, keys: Sequence[str], how: str, limits: Limits) -> DataFrame:
+    """``few`` joined by ``keys``, nulls equal: broadcast if its bytes allow it, else by shuffle."""
+    renamed = few.withColumnsRenamed({name: f"_c_{name}" for name in keys})
+    same = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in keys]
+    joined = rows.join(F.broadcast(renamed) if light(few, limits) else renamed.hint("merge"), same, how)
+    return joined.drop(*[f"_c_{name}" for name in keys])
 
 
 @dataclass(frozen=True)
@@ -60,7 +67,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT_LIMITS
     """Keys with more than ``hot_rows`` rows, and their ``_rows``; None if there are none.
 
     A key counts as hot from 1 / ``limits.hot_keys`` of the log at the least, so there are fewer
-    than that many and they can be broadcast. A log that is small as a whole is not grouped.
+    than that many. A log that is small as a whole is not grouped.
     """
     total = df.count()
     threshold = max(limits.hot_rows, total // limits.hot_keys)
@@ -71,11 +78,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT_LIMITS
     return None if hot.isEmpty() else hot
 
 
-def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, mark: Column) -> DataFrame:
+def flag_hot(
+    df: DataFrame, keys: Sequence[str], hot: DataFrame, mark: Column, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Add ``mark`` (an expression over ``_rows``) to the rows of hot keys, null to the others."""
-    marks = hot.select(*[F.col(name).alias(f"_h_{name}") for name in keys], mark)
-    same = [F.col(name).eqNullSafe(F.col(f"_h_{name}")) for name in keys]
-    return df.join(F.broadcast(marks), same, "left").drop(*[f"_h_{name}" for name in keys])
+    return _attached(df, hot.select(*keys, mark), keys, "left", limits)
 
 
 def apply_in_order(
@@ -92,23 +99,57 @@ def apply_in_order(
     whole = Scope(keys, order, segmented=False)
     if not keys:
         total = df.count()
-        return step.local(df, whole) if total <= limits.hot_rows else _in_segments(df, keys, order, step, total, limits)
+        if total <= limits.hot_rows:
+            return step.local(df, whole)
+        one = df.sparkSession.range(1).select(F.lit(0).alias(_ALL), F.lit(total).alias("_rows"))
+        return _in_segments(df.withColumn(_ALL, F.lit(0)), [_ALL], order, step, one, limits).drop(_ALL)
     hot = hot_keys(df, keys, limits)
     if hot is None:
         return step.local(df, whole)
-    flagged = flag_hot(df, keys, hot, F.lit(True).alias("_hot"))
+    flagged = flag_hot(df, keys, hot, F.lit(True).alias("_hot"), limits)
     cold = step.local(flagged.where(F.col("_hot").isNull()).drop("_hot"), whole)
-    hot_total = hot.agg(F.sum("_rows")).first()[0]
-    large = flagged.where(F.col("_hot")).drop("_hot")
-    return cold.unionByName(_in_segments(large, keys, order, step, hot_total, limits))
+    return cold.unionByName(_in_segments(df, keys, order, step, hot, limits))
+
+
+def cut_points(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """For each of the keys ``hot``, the positions (structs of ``order``) at which its segments after the first begin."""
+    total = hot.agg(F.sum("_rows")).first()[0]
+    size = max(limits.segment_rows, -(-total // limits.segments))
+    share = min(1.0, SAMPLES / size)
+    rows = _attached(df.select(*keys, F.struct(*order).alias("_at")), hot, keys, "inner", limits)
+    sampled = rows if share == 1.0 else rows.sample(share, 7)
+    sorted_ = sampled.groupBy(*keys, "_rows").agg(F.sort_array(F.collect_list("_at")).alias("_held"))
+    pieces = F.greatest(F.lit(2), F.ceil(F.col("_rows") / size)).cast("int")
+    places = F.sequence(F.lit(1), pieces - 1)
+    cuts = F.transform(places, lambda i: F.element_at("_held", (F.floor(i * F.size("_held") / pieces) + 1).cast("int")))
+    return sorted_.select(*keys, F.array_distinct(cuts).alias(_CUTS))
+
+
+def in_segments(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """The rows of the keys ``hot`` with the number of their segment; they do not move."""
+    found = written_table(cut_points(df, keys, order, hot, limits), "cut-points")
+    cuts = _attached(hot.select(*keys), found, keys, "left", limits)  # a key that no sample met is one segment
+    longest = cuts.agg(F.coalesce(F.max(F.size(_CUTS)), F.lit(0))).first()[0]
+    at = F.struct(*order)
+
+    def further(place: Column, jump: Column) -> Column:
+        on = (place + jump <= F.size(_CUTS)) & (F.try_element_at(_CUTS, place + jump) <= at)  # null without cuts
+        return F.when(on, place + jump).otherwise(place)
+
+    jumps = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(1, longest.bit_length())))])
+    held = _attached(df, cuts, keys, "inner", limits)
+    return held.withColumn(SEGMENT, F.aggregate(jumps, F.lit(0), further)).drop(_CUTS)
 
 
 def _in_segments(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, total: int, limits: Limits
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, hot: DataFrame, limits: Limits
 ) -> DataFrame:
-    scope = Scope(keys, order, segmented=True)
-    pieces = min(max(2, math.ceil(total / limits.segment_rows)), limits.segments)
-    cut = df.repartitionByRange(pieces, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+    scope = Scope(keys, order, segmented=True, limits=limits)
+    cut = in_segments(df, keys, order, hot, limits)
     local = step.local(cut, scope).withColumn(_LAST, F.lead(F.lit(True)).over(scope.ordered).isNull())
     # Written, so that rows and segment ends agree, and the windows run once.
     written = written_table(local, "segments")
