@@ -55,10 +55,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; what is written there goes with the ``scratch`` block it was asked for in."""
+def new_folder(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A fresh path under the shared folder; what is written there goes with the ``scratch`` block it was asked for in,
+    unless it is ``lasting``."""
     folder = f"{shared_folder(spark)}/keytide/{name}-{uuid.uuid4().hex}"
-    if _scratch:
+    if _scratch and not lasting:
         _scratch[-1].append(folder)
     return folder
 

@@ -1,11 +1,10 @@
 """Streams processed in large batches by the batch operators, with a state table in between.
 
 Each micro-batch runs through the same operator that works on whole logs, hot keys split and
-all, together with what earlier batches left in the state table: the stored record of every key,
-put in front of its new rows, or the versions of the table and the records that wait for it. The state table is
-rewritten per batch, which pays when a batch touches many of the keys: backfills, and streams
-read at long intervals. It alternates between two folders, so the state a batch started from
-is still there if the batch has to be replayed.
+all, together with what earlier batches left in the state: the stored record of every key of the batch,
+put in front of its new rows, or the versions of the table and the records that wait for it. State lies in hash buckets
+(``store``): a batch reads the buckets of its keys and adds a piece to each. What a batch appends and the manifest of its
+state are one commit, so a batch that failed is replayed from the state it began with.
 """
 
 from __future__ import annotations
@@ -18,50 +17,39 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keytide.operators import asof, dedup, tables
 from keytide.settings import DEFAULT_LIMITS, Limits
-from keytide.sinks import batches
+from keytide.sinks import batches, commits
+from keytide.streaming.store import AT, BUCKETS, Store
 
 LOG = "log"
 _NEW = "_new"
 _SIDE = "_side"
 
+# (batch, its number, note of the last commit) -> (rows to append, what to do once they are written)
+Step = Callable[[DataFrame, int, dict], tuple[DataFrame, Callable[[DataFrame], dict]]]
 
-def start(
-    stream: DataFrame,
-    root: str,
-    output: T.StructType,
-    state: T.StructType,
-    work: Callable[[DataFrame, DataFrame], DataFrame],
-    renew: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
-    once: bool = True,
-) -> StreamingQuery:
-    """Per batch: append ``work(batch, state)`` to the log, then replace the state by
-    ``renew(batch, state, what was appended)``, then commit. The first state is empty."""
+
+def start(stream: DataFrame, root: str, output: T.StructType, step: Step, once: bool = True) -> StreamingQuery:
+    """Per batch: append the rows ``step`` gives to the log, let it renew the state from what was appended, then commit both.
+
+    The state is what the note of the commit says, an empty one at first.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batches.is_committed(spark, root, batch_id):
+        before = commits.read(spark, root)
+        if batch_id in before:
             return
-        if batch_id > 0:
-            before = spark.read.schema(state).parquet(_state(root, batch_id - 1))
-        else:
-            before = spark.createDataFrame([], state)
-        folder = f"{root}/{LOG}/batch_id={batch_id}"
-        work(batch, before).select(*output.fieldNames()).write.mode("overwrite").parquet(folder)
-        written = spark.read.schema(output).parquet(folder)
-        after = renew(batch, before, written).select(*state.fieldNames())
-        after.write.mode("overwrite").parquet(_state(root, batch_id))
-        batches.commit(spark, root, batch_id)
+        rows, renew = step(batch, batch_id, before.note)
+        folder = batches.write_batch(rows.select(*output.fieldNames()), root, LOG, batch_id)
+        note = renew(spark.read.schema(output).parquet(f"{root}/{LOG}/{folder}"))
+        batches.commit(spark, root, batch_id, {LOG: folder}, note)
 
     writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def _state(root: str, batch_id: int) -> str:
-    return f"{root}/state/slot={batch_id % 2}"
-
-
 def read_log(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return batches.read_committed(spark, root, LOG, schema).drop("batch_id")
+    return batches.read_committed(spark, root, LOG, schema).drop(batches.BATCH)
 
 
 def count_repeats(
@@ -73,6 +61,7 @@ def count_repeats(
     identity: str = "customerId",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Each record replaced by its key's stored record, ``epoch`` counting up."""
     names = fields.fieldNames()
@@ -80,7 +69,7 @@ def count_repeats(
     def number(rows: DataFrame) -> DataFrame:
         return dedup.count_repeats(rows, names, key, [_NEW, order], identity, limits)
 
-    return _repeats(stream, root, number, key, names, order, once)
+    return _repeats(stream, root, number, key, names, order, once, buckets)
 
 
 def flag_repeats(
@@ -90,13 +79,14 @@ def flag_repeats(
     order: str = "off",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """First record of a key unchanged, later ones with ``epoch`` one higher."""
 
     def flag(rows: DataFrame) -> DataFrame:
         return dedup.flag_repeats(rows, key, [_NEW, order], limits)
 
-    return _repeats(stream, root, flag, key, ["epoch"], order, once)
+    return _repeats(stream, root, flag, key, ["epoch"], order, once, buckets)
 
 
 def _repeats(
@@ -107,35 +97,123 @@ def _repeats(
     stored: Sequence[str],
     order: str,
     once: bool,
+    buckets: int,
 ) -> StreamingQuery:
-    state = T.StructType([stream.schema[name] for name in (key, *stored, order)])
+    schema = T.StructType([stream.schema[name] for name in (key, *stored, order)])
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return tables.latest_by_key(rows, [key], [*stored, order, AT], [AT])
 
-    def put_first(before: DataFrame, rows: DataFrame) -> DataFrame:
-        return before.withColumn(_NEW, F.lit(0)).unionByName(rows.withColumn(_NEW, F.lit(1)), allowMissingColumns=True)
+    def step(batch: DataFrame, number: int, note: dict) -> tuple[DataFrame, Callable[[DataFrame], dict]]:
+        store = Store(batch.sparkSession, f"{root}/state", schema, key, note.get("state"), buckets)
+        store.clean()
+        touched = store.touched(batch)
+        before = newest(store.read(touched)).drop(AT)
+        rows = before.withColumn(_NEW, F.lit(0)).unionByName(batch.withColumn(_NEW, F.lit(1)), allowMissingColumns=True)
 
-    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
-        return operator(put_first(before, batch)).where(F.col(_NEW) == 1)
+        def renew(written: DataFrame) -> dict:
+            last = tables.latest_by_key(written, [key], [*stored, order], [order])
+            return {"state": store.add(last, number, touched, newest)}
 
-    def renew(_: DataFrame, before: DataFrame, written: DataFrame) -> DataFrame:
-        rows = put_first(before, written.select(*state.fieldNames()))
-        return tables.latest_by_key(rows, [key], [*stored, order], [_NEW, order])
+        return operator(rows).where(F.col(_NEW) == 1), renew
 
-    return start(stream, root, stream.schema, state, work, renew, once)
+    return start(stream, root, stream.schema, step, once)
 
 
-def keep_first(stream: DataFrame, root: str, key: str = "key", order: str = "off", once: bool = True) -> StreamingQuery:
+def keep_first(
+    stream: DataFrame, root: str, key: str = "key", order: str = "off", once: bool = True, buckets: int = BUCKETS
+) -> StreamingQuery:
     """The first record of each key, whole. A batch is reduced to one record per key before it moves."""
-    state = T.StructType([stream.schema[key]])
+    schema = T.StructType([stream.schema[key]])
 
-    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
+    def step(batch: DataFrame, number: int, note: dict) -> tuple[DataFrame, Callable[[DataFrame], dict]]:
+        store = Store(batch.sparkSession, f"{root}/state", schema, key, note.get("state"), buckets)
+        store.clean()
+        touched = store.touched(batch)
+        seen = store.read(touched).select(F.col(key).alias("_seen"))
         firsts = dedup.keep_first(batch, key, [order])
-        seen = before.select(F.col(key).alias("_seen"))
-        return firsts.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
 
-    def renew(_: DataFrame, before: DataFrame, written: DataFrame) -> DataFrame:
-        return before.unionByName(written.select(key))
+        def renew(written: DataFrame) -> dict:
+            # Only keys that were new are added, so the pieces of a bucket share no key.
+            return {"state": store.add(written.select(key), number, touched, lambda rows: rows)}
+
+        return firsts.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti"), renew
+
+    return start(stream, root, stream.schema, step, once)
+
+
+def keep_first_per_span(
+    stream: DataFrame,
+    root: str,
+    span: str,
+    late: str,
+    key: str = "key",
+    order: str = "off",
+    event_time: str = "ts",
+    once: bool = True,
+    buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """The first record of each key in every span of event time; a key passes again in the next span.
+
+    Spans have the length ``span`` and begin at 1970. The keys seen lie in a store per span, which is dropped as a whole once
+    the newest record is ``late`` beyond the span's end. Records of a dropped span do not pass; neither do
+    those without a time. So state holds the keys of the spans that the last ``late`` reaches into, however long
+    the stream runs.
+    """
+    schema = T.StructType([stream.schema[key]])
+    length, delay = _micros_of(stream.sparkSession, span), _micros_of(stream.sparkSession, late)
+
+    def step(batch: DataFrame, number: int, note: dict) -> tuple[DataFrame, Callable[[DataFrame], dict]]:
+        spark = batch.sparkSession
+        for path in note.get("gone", []):
+            commits.delete(spark, path)
+        at = _micros(event_time)
+        floor = note.get("floor")
+        timed = batch.withColumn("_span", F.floor(at / length).cast("bigint")).where(F.col("_span").isNotNull())
+        open_ = timed if floor is None else timed.where(F.col("_span") >= floor)
+        told = open_.groupBy("_span").agg(F.max(at).alias("at")).collect()  # a row per span of the batch
+        progress = max([r.at for r in told] + ([note["progress"]] if "progress" in note else []), default=None)
+        held = note.get("spans", {})
+        stores = {
+            r["_span"]: Store(spark, f"{root}/state/{r['_span']}", schema, key, held.get(str(r["_span"])), buckets) for r in told
+        }
+        everything = list(range(buckets))
+        seen = [
+            store.read(everything).select(F.col(key).alias("_seen"), F.lit(span_of).cast("bigint").alias("_seen_span"))
+            for span_of, store in stores.items()
+            if store.pieces
+        ]
+        firsts = tables.first_by_key(open_, [key, "_span"], [n for n in stream.columns if n != key], [order])
+        for one in seen:  # an anti-join for each span that goes on from an earlier batch: few
+            firsts = firsts.join(one, F.col(key).eqNullSafe(F.col("_seen")) & (F.col("_span") == F.col("_seen_span")), "left_anti")
+
+        def renew(written: DataFrame) -> dict:
+            spans = dict(held)
+            rows = written.select(key, F.floor(_micros(event_time) / length).cast("bigint").alias("_span"))
+            for span_of, store in stores.items():
+                spans[str(span_of)] = store.add(rows.where(F.col("_span") == span_of), number, everything, lambda all_: all_)
+            if progress is None:
+                return note
+            lowest = (progress - delay) // length
+            if floor is not None:
+                lowest = max(lowest, floor)
+            gone = [f"{root}/state/{name}" for name in spans if int(name) < lowest]
+            kept = {name: told_of for name, told_of in spans.items() if int(name) >= lowest}
+            gone += [path for told_of in kept.values() for path in told_of["gone"]]
+            return {"spans": kept, "gone": gone, "floor": lowest, "progress": progress}
+
+        return firsts.select(*stream.columns), renew
+
+    return start(stream, root, stream.schema, step, once)
 
-    return start(stream, root, stream.schema, state, work, renew, once)
+
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def _micros_of(spark: SparkSession, interval: str) -> int:
+    begin = "timestamp '1970-01-01 00:00:00'"
+    return spark.sql(f"SELECT unix_micros({begin} + interval {interval}) - unix_micros({begin})").first()[0]
 
 
 @dataclass(frozen=True)
@@ -147,9 +225,6 @@ class ChangingJoin:
     read: Callable[[], DataFrame]
 
 
-_CHANGE, _ROW, _STREAM_AT, _CHANGES_AT = 0, 1, 2, 3
-
-
 def join_changing_table(
     stream: DataFrame,
     changes: DataFrame,
@@ -160,87 +235,85 @@ def join_changing_table(
     how: str = "inner",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
+    *,
+    late_rows: str,
     late_changes: str = "0 seconds",
-    late_rows: str | None = None,
+    buckets: int = BUCKETS,
 ) -> ChangingJoin:
     """Join a stream to a table whose changes are a stream too.
 
     The rule: a record meets the table value of its own time, whatever the batches. So it is held back until the
-    changes have gone beyond its time by ``late_changes`` (how far a change may arrive behind a newer one), and
-    versions are kept as long as ``late_rows`` after newer records of the stream (how far a record may arrive
-    behind; for ever if None). Records without a key or time pass at once, unmatched. What is still held back at the end of
-    the input, ``read`` joins as it stands.
+    changes have gone beyond its time by ``late_changes`` (how far a change may arrive behind a newer one). Of every key the
+    store keeps the version current ``late_rows`` before the newest record (how far a record may arrive behind) and all
+    newer ones; older ones go when a bucket is written anew, so state does not grow with the time a stream runs. A record that
+    is later than that may meet no version. Records without a key or time pass at once, unmatched. What is still held back
+    at the end of the input, ``read`` joins as it stands.
     """
     spark = stream.sparkSession
-    change = T.StructType([changes.schema[name] for name in (table_key, *values, "ts", "off")])
+    version = T.StructType([changes.schema[name] for name in (table_key, *values, "ts", "off")])
     output = T.StructType([*stream.schema.fields, *[changes.schema[name] for name in values]])
-    state = T.StructType(
-        [
-            T.StructField(_SIDE, T.IntegerType()),
-            T.StructField("_change", change),
-            T.StructField("_row", stream.schema),
-            T.StructField("_at", T.LongType()),
-        ]
-    )
-    both = stream.select(F.lit(_ROW).alias(_SIDE), F.struct("*").alias("_row")).unionByName(
-        changes.select(F.lit(_CHANGE).alias(_SIDE), F.struct(*change.fieldNames()).alias("_change")),
+    both = stream.select(F.lit(0).alias(_SIDE), F.struct("*").alias("_row")).unionByName(
+        changes.select(F.lit(1).alias(_SIDE), F.struct(*version.fieldNames()).alias("_change")),
         allowMissingColumns=True,
     )
-
-    def micros(column: str) -> Column:
-        return F.unix_micros(F.col(column).cast("timestamp"))
-
-    def span(text: str) -> int:
-        return spark.sql(f"SELECT unix_micros(timestamp '1970-01-01 00:00:00' + interval {text}) - unix_micros(timestamp '1970-01-01 00:00:00')").first()[0]
-
-    change_delay, row_delay = span(late_changes), None if late_rows is None else span(late_rows)
-
-    def known(batch: DataFrame, before: DataFrame) -> DataFrame:
-        return before.unionByName(batch, allowMissingColumns=True)
-
-    def progress(rows: DataFrame) -> tuple[int | None, int | None]:
-        """How far the stream and the changes have come, in microseconds."""
-        at = F.coalesce("_at", micros("_row.ts"), micros("_change.ts"))
-        side = lambda *kinds: F.max(F.when(F.col(_SIDE).isin(*kinds), at))
-        return rows.agg(side(_ROW, _STREAM_AT), side(_CHANGE, _CHANGES_AT)).first()
-
-    def held(changes_at: int | None) -> Column:
-        """Whether a change may still come that a row has to meet."""
-        timed = F.col("_row.ts").isNotNull() & F.col(f"_row.{stream_key}").isNotNull()
-        return timed if changes_at is None else timed & (micros("_row.ts") >= changes_at - change_delay)
-
-    def joined(rows: DataFrame, final: Column) -> DataFrame:
-        own = rows.where((F.col(_SIDE) == _ROW) & final).select("_row.*")
-        versions = rows.where(F.col(_SIDE) == _CHANGE).select("_change.*")
-        return asof.join_as_of(own, versions, stream_key, table_key, values, how, limits)
-
-    def work(batch: DataFrame, before: DataFrame) -> DataFrame:
-        rows = known(batch, before)
-        return joined(rows, ~F.coalesce(held(progress(rows)[1]), F.lit(False)))
-
-    def renew(batch: DataFrame, before: DataFrame, _: DataFrame) -> DataFrame:
-        rows = known(batch, before)
-        stream_at, changes_at = progress(rows)
-        waiting = rows.where((F.col(_SIDE) == _ROW) & F.coalesce(held(changes_at), F.lit(False)))
-        versions = rows.where((F.col(_SIDE) == _CHANGE) & F.col("_change.ts").isNotNull())
-        if row_delay is not None and stream_at is not None and changes_at is not None:
-            floor = min(stream_at - row_delay, changes_at - change_delay)
-            old = micros("_change.ts") <= floor
-            newest = versions.where(old).groupBy(F.col(f"_change.{table_key}")).agg(
-                F.max_by("_change", F.struct("_change.ts", "_change.off")).alias("_change")
-            )
-            kept = newest.select(F.lit(_CHANGE).alias(_SIDE), "_change")
-            versions = versions.where(~old).unionByName(kept, allowMissingColumns=True)
-        marks = [(kind, at) for kind, at in ((_STREAM_AT, stream_at), (_CHANGES_AT, changes_at)) if at is not None]
-        told = spark.createDataFrame(marks, f"{_SIDE} int, _at long")
-        return waiting.unionByName(versions).unionByName(told, allowMissingColumns=True)
+    change_delay, row_delay = _micros_of(spark, late_changes), _micros_of(spark, late_rows)
+
+    def store_of(note: dict) -> Store:
+        return Store(spark, f"{root}/state", version, table_key, note.get("state"), buckets)
+
+    def waiting_of(note: dict) -> DataFrame:
+        if "waiting" not in note:
+            return spark.createDataFrame([], stream.schema)
+        return spark.read.schema(stream.schema).parquet(f"{root}/waiting/{note['waiting']}")
+
+    def joined(rows: DataFrame, versions: DataFrame) -> DataFrame:
+        return asof.join_as_of(rows, versions, stream_key, table_key, values, how, limits, merge=True)
+
+    def current(progress: dict) -> Callable[[DataFrame], DataFrame]:
+        """The versions that a record may still meet."""
+        known = [progress[name] - delay for name, delay in (("rows", row_delay), ("changes", change_delay)) if progress[name] is not None]
+        if len(known) < 2:
+            return lambda rows: rows
+        old = _micros("ts") <= min(known)
+
+        def reduce(rows: DataFrame) -> DataFrame:
+            last = tables.latest_by_key(rows.where(old), [table_key], [*values, "ts", "off", AT], ["ts", "off"])
+            return rows.where(~old).unionByName(last.select(*rows.columns))
+
+        return reduce
+
+    def step(batch: DataFrame, number: int, note: dict) -> tuple[DataFrame, Callable[[DataFrame], dict]]:
+        store, came = store_of(note), note.get("progress", {"rows": None, "changes": None})
+        store.clean()
+        if "passed" in note:
+            commits.delete(spark, f"{root}/waiting/{note['passed']}")
+        rows = waiting_of(note).unionByName(batch.where(F.col(_SIDE) == 0).select("_row.*"))
+        fresh = batch.where(F.col(_SIDE) == 1).select("_change.*").where(F.col("ts").isNotNull() & F.col(table_key).isNotNull())
+        at = F.coalesce(_micros("_row.ts"), _micros("_change.ts"))
+        newest = batch.agg(
+            F.max(F.when(F.col(_SIDE) == 0, at)).alias("rows"),
+            F.max(F.when(F.col(_SIDE) == 1, at)).alias("changes"),
+            F.collect_set(F.when(F.col(_SIDE) == 1, store.bucket(F.col(f"_change.{table_key}")))).alias("touched"),
+        ).first()
+        progress = {name: max((x for x in (came[name], newest[name]) if x is not None), default=None) for name in came}
+        # Whether a change may still come that a row has to meet.
+        held = F.col("ts").isNotNull() & F.col(stream_key).isNotNull()
+        if progress["changes"] is not None:
+            held = held & (_micros("ts") >= progress["changes"] - change_delay)
+        versions = store.read([int(b) for b in store.pieces]).drop(AT).unionByName(fresh)
+
+        def renew(_: DataFrame) -> dict:
+            rows.where(held).write.mode("overwrite").parquet(f"{root}/waiting/{number}")
+            told = {"waiting": number, "progress": progress}
+            told["state"] = store.add(fresh, number, sorted(newest["touched"]), current(progress))
+            return told | ({"passed": note["waiting"]} if "waiting" in note else {})
+
+        return joined(rows.where(~F.coalesce(held, F.lit(False))), versions), renew
 
     def read() -> DataFrame:
-        done = read_log(spark, root, output)
-        last = batches.last_committed(spark, root)
-        if last is None:
-            return done
-        rows = spark.read.schema(state).parquet(_state(root, last))
-        return done.unionByName(joined(rows, F.lit(True)).select(*output.fieldNames()))
-
-    return ChangingJoin(start(both, root, output, state, work, renew, once), output, read)
+        note = commits.read(spark, root).note
+        store = store_of(note)
+        rest = joined(waiting_of(note), store.read([int(b) for b in store.pieces]).drop(AT))
+        return read_log(spark, root, output).unionByName(rest.select(*output.fieldNames()))
+
+    return ChangingJoin(start(both, root, output, step, once), output, read)
