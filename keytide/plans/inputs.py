@@ -37,12 +37,25 @@ def parts_of(whole: DataFrame, position: str) -> list[DataFrame]:
     return [*below, *between, whole.where(at >= cuts[-1])]
 
 
+_staged: dict[tuple, str] = {}
+
+
+def _state_of(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(where)))
+
+
 def arrivals(spark: SparkSession, folder: str, name: str, position: str) -> str:
-    """The table again, as files that arrived one part after the other."""
-    root = new_folder(spark, f"arrivals-{name}")
-    for number, part in enumerate(parts_of(table(spark, folder, name), position)):
-        arrive(part, root, number, position)
-    return root
+    """The table again, as files that arrived one part after the other. Written once per session and state of the table."""
+    known = (spark.sparkContext.applicationId, folder, name, _state_of(spark, f"{folder}/{name}.parquet"))
+    if known not in _staged:
+        root = new_folder(spark, f"arrivals-{name}", lasting=True)
+        for number, part in enumerate(parts_of(table(spark, folder, name), position)):
+            arrive(part, root, number, position)
+        _staged[known] = root
+    return _staged[known]
 
 
 def stream_of(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -43,6 +43,10 @@ _COUNTER = f"""counterlog AS (
 _PRICES = "prices AS (SELECT user_id AS key, value AS price, ts, event_id AS off FROM events)"
 _EVENT_STEPS = "steps AS (SELECT event_id AS n, ts FROM events)"
 
+_PARTS = """parts AS (
+  SELECT i, low + (high - low + 1) * i // 3 AS a, low + (high - low + 1) * (i + 1) // 3 AS b
+  FROM (SELECT min(event_id) AS low, max(event_id) AS high FROM events), range(3) AS numbers(i))"""
+
 _BASE = f"WITH {_RC}, {_CUST}"
 _FIELDS = 'customerId, firstName, lastName, email, "update", age, region, epoch'
 
@@ -171,7 +175,18 @@ SELECT batch, records, CAST(sum(records) OVER (ORDER BY batch) AS BIGINT) AS tot
     "stream_dedup_keys": f"{_BASE} {_FIRST_OF}",
     "stream_restart": f"{_BASE} SELECT key, {_FIELDS}, off, ts FROM cust",
     "replay_batch": f"{_BASE} SELECT key, {_FIELDS}, off, ts FROM cust",
-    "observed_counts": "SELECT count(*) AS records FROM events",
+    "observed_counts": """SELECT 'customer' AS "table", count(*) AS records FROM events HAVING count(*) > 0""",
+    "stream_bounded": f"""{_BASE}, {_PARTS} SELECT key, {_FIELDS}, off, ts FROM cust
+WHERE off < (SELECT b FROM parts WHERE i = 1)""",
+    "join_region_live": f"""{_BASE}, {_PARTS}, regions AS (
+  SELECT i, identifier, longName, areaCode
+  FROM (SELECT i, event_id % {len(REGIONS)} AS idx, arg_max(event_type, event_id) AS newest FROM events JOIN parts ON event_id < b
+    WHERE event_type IN ('error', 'signup') GROUP BY ALL) JOIN rc USING (idx)
+  WHERE newest = 'error')
+SELECT key, {_JOINED}, i AS table_version
+FROM cust JOIN parts ON off >= a AND off < b JOIN regions USING (i) WHERE region = identifier""",
+    "stream_dedup_weekly": f"""{_BASE} SELECT key, {_FIELDS}, off, ts FROM cust
+QUALIFY row_number() OVER (PARTITION BY key, epoch_us(ts) // (7 * 86400000000) ORDER BY off) = 1""",
     "counter_log_payload": f"""WITH {_COUNTER}
 SELECT key, CASE WHEN NOT is_deleted THEN '{{"counterId":' || key || ',"timestamp":' || "timestamp" || '}}' END AS value, off
 FROM counterlog""",

@@ -8,16 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from keytide.functions import binary, records, times
 from keytide.operators import asof, dedup, fanout, filters, joins, tables
 from keytide.plans import inputs
-from keytide.schemas import CHANGE, CUSTOMER, REVISION
+from keytide.schemas import CHANGE, CUSTOMER, CUSTOMER_WITH_REGION, REVISION
 from keytide.settings import DEFAULT_LIMITS, Limits, new_folder, use_utc, written_table
 from keytide.sinks import batches, logs
 from keytide.sources import generators, generic
-from keytide.streaming import fold, state
+from keytide.streaming import fold, replica, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -321,6 +321,25 @@ def join_region_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(joined.schema).parquet(f"{root}/log")
 
 
+@_query
+def join_region_live(spark: SparkSession, folder: str) -> DataFrame:
+    """The replicated join while the table changes: each part of the stream meets the regions as its own part of the
+    change log leaves them."""
+    source, root, regions = (new_folder(spark, f"live-{name}") for name in ("source", "log", "regions"))
+    events, fields = inputs.table(spark, folder, "events"), ["identifier", "longName", "areaCode"]
+    known = None
+    for number, part in enumerate(inputs.parts_of(events, "event_id")):
+        inputs.arrive(part, source, number, "event_id")
+        known = part if known is None else known.unionByName(part)
+        table = tables.compact(inputs.as_region_log(known), ["identifier"], fields[1:], F.col("is_deleted"))
+        replica.publish(table, regions)
+        customers = inputs.as_customers(inputs.stream_of(spark, source, "events"))
+        replica.start_lookup(
+            customers, root, regions, table.schema, F.col("region"), "identifier", shape=joins.with_region
+        ).awaitTermination()
+    return replica.read(spark, root, T.StructType([T.StructField("key", T.LongType()), *CUSTOMER_WITH_REGION.fields, T.StructField("off", T.LongType())]))
+
+
 def _as_of(spark: SparkSession, folder: str, how: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     joined = asof.join_as_of(
         inputs.customers(spark, folder),
@@ -372,8 +391,9 @@ def stream_region_changing(spark: SparkSession, folder: str) -> DataFrame:
     customers = inputs.as_customers(inputs.stream_of(spark, root, "events"))
     changes = inputs.as_region_changes(inputs.stream_of(spark, root, "events"))
     running = fold.join_changing_table(
-        customers, changes, new_folder(spark, "region-changing"), "region", "identifier", ["regionName", "areaCode"], "left"
-    )
+        customers, changes, new_folder(spark, "region-changing"), "region", "identifier", ["regionName", "areaCode"], "left",
+        late_rows="1 hour",
+    )
     running.query.awaitTermination()
     return joins.with_region(running.read(), ["ts"])
 
@@ -467,6 +487,14 @@ def stream_dedup_keys(spark: SparkSession, folder: str) -> DataFrame:
     return fold.read_log(spark, root, customers.schema)
 
 
+@_query
+def stream_dedup_weekly(spark: SparkSession, folder: str) -> DataFrame:
+    """The first record of every key in each week; a key passes again in the next, and old weeks' keys are forgotten."""
+    customers, root = _stream_customers(spark, folder), new_folder(spark, "dedup-weekly")
+    fold.keep_first_per_span(customers, root, "7 days", late="1 day").awaitTermination()
+    return fold.read_log(spark, root, customers.schema)
+
+
 # --- sinks ---------------------------------------------------------------------------------
 
 
@@ -507,14 +535,23 @@ def replay_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Records that passed through a stream, as its progress tells them per batch."""
+    """Records per batch that passed through a stream, as its commits tell them."""
     customers = inputs.as_customers(inputs.table_stream(spark, folder, "events", "event_id"))
     root = new_folder(spark, "observed")
-    query = logs.append_log(logs.counted(customers, "customers"), f"{root}/log", f"{root}/checkpoint")
-    query.awaitTermination()
-    seen = [(p["batchId"], p["observedMetrics"]["customers"]["records"]) for p in query.recentProgress if p["numInputRows"]]
-    counts = spark.createDataFrame(seen, "batch long, records long")
-    return counts.agg(F.sum("records").alias("records"))
+    batches.start_batches(customers, root, batches.fan_out("customer"), staged=False, counted=True).awaitTermination()
+    return batches.read_counts(spark, root).groupBy("table").agg(F.sum("records").alias("records"))
+
+
+@_query
+def stream_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """A running reader told to stop after a sixth of the log, and started again to stop after half of it. It stops at
+    the end of the batch in which it has more than that."""
+    events = inputs.table_stream(spark, folder, "events", "event_id")
+    root, total = new_folder(spark, "bounded"), inputs.table(spark, folder, "events").count()
+    customers = inputs.as_customers(events)
+    for most in (total // 6, total // 2):
+        batches.end(batches.start_batches(customers, root, batches.fan_out("customer"), staged=False, stop_after=most))
+    return batches.read_committed(spark, root, "customer", customers.schema).drop("batch_id")
 
 
 @_query
