@@ -72,21 +72,29 @@ class Units:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.fresh: list[str] = []
         self.groups: list[bytes] = []
         self.counts = np.zeros((0, 4), np.int64)  # tokens of a, tokens of b, links, whether both give the bytes
         self.pairs, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
-    def of(self, units: list[str]) -> np.ndarray:
-        """Numbers of units, new ones added."""
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """Numbers of units; what new ones hold is there once ``settle`` has run."""
         number = self.number
-        fresh = list(dict.fromkeys(u for u in units if u not in number))
-        for low in range(0, len(fresh), BATCH_UNITS):
-            self._add(fresh[low : low + BATCH_UNITS])
+        for unit in units:
+            if unit not in number:
+                number[unit] = len(number)
+                self.fresh.append(unit)
         return np.fromiter(map(number.__getitem__, units), np.int32, len(units))
 
+    def settle(self) -> None:
+        """Encode and align the units that are new, together."""
+        for low in range(0, len(self.fresh), BATCH_UNITS):
+            self._add(self.fresh[low : low + BATCH_UNITS])
+        self.fresh = []
+
     def _add(self, fresh: list[str]) -> None:
         given = [b" " + unit.encode() for unit in fresh]
-        ids_a = [e.ids for e in self.a.encode_batch([" " + unit for unit in fresh], add_special_tokens=False)]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + unit for unit in fresh], add_special_tokens=False)]
         ids_b = self.b.encode(fresh, num_threads=1)
         n_a, n_b, same = [], [], []
         for text, one, two in zip(given, ids_a, ids_b):
@@ -110,17 +118,16 @@ class Units:
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(links)])
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, links, good], 1).astype(np.int64)])
         text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        low_a = low_b = link = 0
-        x, y = x.tolist(), y.tolist()
-        for unit, number in zip(fresh, range(len(self.number), len(self.number) + len(fresh))):
-            self.number[unit] = number
-            parts = []
-            for _ in range(int(self.counts[number, 2])):
-                high_a, high_b = x[link] + 1, y[link] + 1
-                parts.append(",".join(text_a[low_a:high_a]) + "|" + ",".join(text_b[low_b:high_b]))
-                low_a, low_b, link = high_a, high_b, link + 1
-            self.groups.append(";".join(parts).encode())
-            low_a, low_b = low_a if parts else low_a + int(self.counts[number, 0]), low_b if parts else low_b + int(self.counts[number, 1])
+        ends = list(zip((x + 1).tolist(), (y + 1).tolist()))
+        begin_a, begin_b = (np.concatenate([[0], np.cumsum(n)]).tolist() for n in (n_a, n_b))
+        done = 0
+        for unit, more in enumerate(links.tolist()):
+            low_a, low_b, said = begin_a[unit], begin_b[unit], []
+            for high_a, high_b in ends[done : done + more]:
+                said.append(",".join(text_a[low_a:high_a]) + "|" + ",".join(text_b[low_b:high_b]))
+                low_a, low_b = high_a, high_b
+            done += more
+            self.groups.append(";".join(said).encode())
 
 
 def _from_begin(ends: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
@@ -215,52 +222,57 @@ class _Container:
         self.units, self.ids, self.size = units, [], 0
         self.key: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []  # tokens of a, of b, links
-        self.hashes: list[str] = []
+        self.totals: list[np.ndarray] = []  # tokens of a, of b, links
+        self.digests: list = []  # None for a text without tokens
         self.waiting: list[tuple[int, np.ndarray]] = []
         self.waiting_size = 0
 
     def take(self, doc_id: int | None, text: str | None) -> None:
         number, units = len(self.ids), self.units
         self.ids.append(doc_id)
-        digest, total, good = hashlib.sha256(), np.zeros(3, np.int64), bool(text)
+        self.totals.append(np.zeros(3, np.int64))
+        self.digests.append(hashlib.sha256() if text else None)
         for part in slices(text or ""):
-            if len(units.number) >= MOST_UNITS:
+            self.waiting.append((number, units.numbers(_CUT.split(part))))
+            self.waiting_size += len(part)
+            if self.waiting_size >= SLICE:
                 self._count()
-                units.forget()
-            at = units.of(_CUT.split(part))
-            told = units.counts[at]
-            good = good and bool(told[:, 3].all())
-            if not good:
-                break
-            if total[2]:
-                digest.update(b";")
-            digest.update(b";".join([units.groups[i] for i in at.tolist()]))
-            total += told[:, :3].sum(0)
-            self.waiting.append((number, at))
-            self.waiting_size += len(at)
-            self.size += len(part)
-        if not good and len(text or "") > SLICE:  # what earlier slices of the text brought goes, too
-            self.waiting = [w for w in self.waiting if w[0] != number]
-            for i, key in enumerate(self.key):
-                self.times[i] = self.times[i] * ((key & 0xFFFF) != number)
-        self.counts.append(total if good else np.zeros(3, np.int64))
-        self.hashes.append(digest.hexdigest() if good and total[2] else "")
-        if self.waiting_size >= SLICE:
-            self._count()
+        self.size += len(text or "")
 
     def _count(self) -> None:
-        """Distinct units of every waiting document to links, so that they can be forgotten."""
-        if not self.waiting:
-            return
-        doc = np.repeat([number for number, _ in self.waiting], [len(at) for _, at in self.waiting])
-        unit, times = np.unique(doc.astype(np.int64) << 32 | np.concatenate([at for _, at in self.waiting]), return_counts=True)
-        doc, unit = unit >> 32, unit & 0xFFFFFFFF
-        begin, held = self.units.first[unit], self.units.counts[unit, 2]
-        place = np.arange(held.sum()) + np.repeat(begin - (np.cumsum(held) - held), held)
-        self.key.append(self.units.pairs[place] << 16 | np.repeat(doc, held))
-        self.times.append(np.repeat(times, held))
+        """Settle what waits: counts and groups by document, distinct units of a document to links."""
+        units, held = self.units, []
+        units.settle()
+        for number, at in self.waiting:
+            digest, told = self.digests[number], units.counts[at]
+            if digest is None:
+                continue
+            if not told[:, 3].all():
+                self._lose(number)
+                held = [one for one in held if one[0] != number]
+                continue
+            if self.totals[number][2]:
+                digest.update(b";")
+            digest.update(b";".join([units.groups[i] for i in at.tolist()]))
+            self.totals[number] += told[:, :3].sum(0)
+            held.append((number, at))
+        if held:
+            doc = np.repeat(np.array([number for number, _ in held], np.int64), [len(at) for _, at in held])
+            unit, times = np.unique(doc << 32 | np.concatenate([at for _, at in held]), return_counts=True)
+            doc, unit = unit >> 32, unit & 0xFFFFFFFF
+            begin, links = units.first[unit], units.counts[unit, 2]
+            place = np.arange(links.sum()) + np.repeat(begin - (np.cumsum(links) - links), links)
+            self.key.append(units.pairs[place] << 16 | np.repeat(doc, links))
+            self.times.append(np.repeat(times, links))
         self.waiting, self.waiting_size = [], 0
+        if len(units.number) >= MOST_UNITS:
+            units.forget()
+
+    def _lose(self, number: int) -> None:
+        """A text that turns out to have no tokens leaves nothing behind, whatever its earlier slices brought."""
+        if self.totals[number].any():
+            self.times = [times * ((key & 0xFFFF) != number) for key, times in zip(self.key, self.times)]
+        self.digests[number], self.totals[number] = None, np.zeros(3, np.int64)
 
     def full(self) -> bool:
         return len(self.ids) >= MOST_DOCS or self.size >= CONTAINER_BYTES
@@ -269,14 +281,15 @@ class _Container:
         self._count()
         none = np.zeros(0, np.int64)
         key, times = np.concatenate([none, *self.key]), np.concatenate([none, *self.times])
-        counts = np.stack(self.counts)
+        counts = np.stack(self.totals)
+        hashes = [digest.hexdigest() if digest else "" for digest in self.digests]
         documents = packed(
             null=np.array([i is None for i in self.ids]),
             ids=np.array([i or 0 for i in self.ids], np.int64),
             n_a=counts[:, 0].copy(),
             n_b=counts[:, 1].copy(),
             n_links=counts[:, 2].copy(),
-            hashes=np.frombuffer("".join(h.ljust(64) for h in self.hashes).encode(), np.uint8),
+            hashes=np.frombuffer("".join(h.ljust(64) for h in hashes).encode(), np.uint8),
         )
         return documents, packed_postings(key[times > 0], times[times > 0], len(self.ids))
 
@@ -398,7 +411,8 @@ def groups(text: str, path_a: str, path_b: str) -> list[tuple[Sequence[int], Seq
     """The ids of both tokenizers by group, for one text."""
     units, found = Units(path_a, path_b), []
     for unit in _CUT.split(text) if text else []:
-        number = int(units.of([unit])[0])
+        number = int(units.numbers([unit])[0])
+        units.settle()
         if not units.counts[number, 3]:
             return []
         for group in units.groups[number].decode().split(";"):
