@@ -38,11 +38,16 @@ def join_as_of(
     """
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     known = changes.where(F.col(table_key).isNotNull() & F.col("ts").isNotNull())
-    newest = F.max_by(F.struct(*values, gone.alias("_gone")), F.col("off"))
-    versions = known.groupBy(F.col(table_key).alias("_key"), F.col("ts").alias("_from")).agg(newest.alias("_version"))
-    if not merge:
-        versions = written_table(versions, "versions")
-    intervals = None if merge else _intervals(versions, limits)
+    version = F.struct(*values, gone.alias("_gone"))
+    at = [F.col(table_key).alias("_key"), F.col("ts").alias("_from")]
+    if merge:
+        versions = known.select(*at, F.col("off").cast("bigint").alias("_off"), version.alias("_version"))
+        intervals = None
+    else:
+        newest = known.groupBy(*at).agg(F.max_by(version, F.col("off")).alias("_version"))
+        versions = written_table(newest, "versions")
+        intervals = _intervals(versions, limits)
+        versions = versions.withColumn("_off", F.lit(0).cast("bigint"))
     if intervals is not None:
         joined = _by_interval(stream, *intervals, stream_key, how)
     else:
@@ -109,11 +114,11 @@ def _by_merge(
         F.col(stream_key).alias("_key"),
         F.col("ts").alias("_at"),
         F.lit(1).alias("_side"),
-        F.col("off").alias("_off"),
+        F.col("off").cast("bigint").alias("_off"),
         F.struct(*stream.columns).alias("_row"),
     )
     marks = versions.select(
-        "_key", F.col("_from").alias("_at"), F.lit(0).alias("_side"), F.lit(0).cast("bigint").alias("_off"), "_version"
+        "_key", F.col("_from").alias("_at"), F.lit(0).alias("_side"), "_off", "_version"
     )
     merged = rows.unionByName(marks, allowMissingColumns=True)
     carry_forward = ordered.last_value("_version", "_current")

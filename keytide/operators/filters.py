@@ -31,9 +31,9 @@ def rekey(df: DataFrame, key: Column) -> DataFrame:
 
 
 def repartition_by_key(
-    df: DataFrame, partitions: int | None = None, *, spread: int = 1, by: str = "off"
+    df: DataFrame, partitions: int | None = None, *, spread: int, by: str = "off"
 ) -> DataFrame:
-    """Redistribute by key.
+    """Redistribute by key. With a ``spread`` of 1 all rows of a key are one task's.
 
     ``spread`` > 1 divides each key over that many hash buckets, chosen by the row's own
     position, so that a key with a third of all rows is not one task.

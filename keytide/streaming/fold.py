@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from keytide.operators import asof, dedup, tables
 from keytide.settings import DEFAULT_LIMITS, Limits
 from keytide.sinks import batches, commits
-from keytide.streaming.store import AT, BUCKETS, Store
+from keytide.streaming.store import AT, Store
 
 LOG = "log"
 _NEW = "_new"
@@ -61,7 +61,7 @@ def count_repeats(
     identity: str = "customerId",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Each record replaced by its key's stored record, ``epoch`` counting up."""
     names = fields.fieldNames()
@@ -79,7 +79,7 @@ def flag_repeats(
     order: str = "off",
     limits: Limits = DEFAULT_LIMITS,
     once: bool = True,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """First record of a key unchanged, later ones with ``epoch`` one higher."""
 
@@ -97,7 +97,7 @@ def _repeats(
     stored: Sequence[str],
     order: str,
     once: bool,
-    buckets: int,
+    buckets: int | None,
 ) -> StreamingQuery:
     schema = T.StructType([stream.schema[name] for name in (key, *stored, order)])
 
@@ -121,7 +121,7 @@ def _repeats(
 
 
 def keep_first(
-    stream: DataFrame, root: str, key: str = "key", order: str = "off", once: bool = True, buckets: int = BUCKETS
+    stream: DataFrame, root: str, key: str = "key", order: str = "off", once: bool = True, buckets: int | None = None
 ) -> StreamingQuery:
     """The first record of each key, whole. A batch is reduced to one record per key before it moves."""
     schema = T.StructType([stream.schema[key]])
@@ -151,7 +151,7 @@ def keep_first_per_span(
     order: str = "off",
     event_time: str = "ts",
     once: bool = True,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """The first record of each key in every span of event time; a key passes again in the next span.
 
@@ -177,7 +177,7 @@ def keep_first_per_span(
         stores = {
             r["_span"]: Store(spark, f"{root}/state/{r['_span']}", schema, key, held.get(str(r["_span"])), buckets) for r in told
         }
-        everything = list(range(buckets))
+        everything = list(range(max([store.buckets for store in stores.values()], default=0)))
         seen = [
             store.read(everything).select(F.col(key).alias("_seen"), F.lit(span_of).cast("bigint").alias("_seen_span"))
             for span_of, store in stores.items()
@@ -238,7 +238,7 @@ def join_changing_table(
     *,
     late_rows: str,
     late_changes: str = "0 seconds",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> ChangingJoin:
     """Join a stream to a table whose changes are a stream too.
 

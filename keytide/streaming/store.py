@@ -15,13 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from keytide.sinks import commits
 
 PIECES = 8
-BUCKETS = 16  # of a store, unless its query says otherwise: as many as keep a bucket a task's work
 AT = "_at_batch"
 _BUCKET = "_bucket"
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Store:
-    """A store under ``folder`` as a manifest describes it."""
+    """A store under ``folder`` as a manifest describes it. A new one has as many buckets as a shuffle has partitions, unless
+    its query says otherwise; a bucket should be a task's work."""
 
     def __init__(
         self,
@@ -30,10 +34,10 @@ class Store:
         schema: T.StructType,
         key: str,
         manifest: dict | None,
-        buckets: int = BUCKETS,
+        buckets: int | None = None,
     ):
         self.spark, self.folder, self.schema, self.key = spark, folder, schema, key
-        told = manifest or {"buckets": buckets, "pieces": {}, "gone": []}
+        told = manifest or {"buckets": buckets or shuffle_partitions(spark), "pieces": {}, "gone": []}
         self.buckets, self.pieces, self.gone = told["buckets"], told["pieces"], told["gone"]
 
     def bucket(self, key: Column) -> Column:
