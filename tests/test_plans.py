@@ -92,6 +92,37 @@ def test_one_exchange_numbers_all_repeats(spark, data):
     assert plan(QUERIES["dedup_epoch_join"](spark, data)).count("Exchange hashpartitioning") == 1
 
 
+def test_rows_of_hot_keys_move_once(spark, skewed):
+    """They find their segment where they are, by broadcast cut points, and are hashed by (key, segment)."""
+    from pyspark.sql import functions as F
+
+    from keytide.operators import ordered
+
+    log = inputs.customers(spark, skewed)
+    hot = ordered.hot_keys(log, ["region"], Limits(hot_rows=20))
+    cut = ordered.in_segments(log, ["region"], ["off"], hot, Limits(hot_rows=20, segment_rows=30))
+    scope = ordered.Scope(["region"], ["off"], segmented=True)
+    text = plan(ordered.numbered("n").local(cut, scope))
+    assert "rangepartitioning" not in text and text.count("Exchange hashpartitioning") == 1
+    assert re.search(r"Exchange hashpartitioning\(region#\d+, _segment#\d+", text)
+    sizes = [r["count"] for r in cut.groupBy("region", "_segment").count().collect()]
+    assert max(sizes) <= 45 and len(sizes) > 20
+    bounds = cut.groupBy("region", "_segment").agg(F.min("off").alias("low"), F.max("off").alias("high")).orderBy("region", "_segment").collect()
+    for one, other in zip(bounds, bounds[1:]):
+        assert one.region != other.region or one.high < other.low
+
+
+def test_carried_rows_beyond_the_bytes_are_not_broadcast(spark, skewed):
+    from keytide.operators import ordered
+
+    log = inputs.customers(spark, skewed)
+    limits = Limits(broadcast_bytes=10, hot_rows=20, segment_rows=30)
+    done = ordered.apply_in_order(log, ["region"], ["off"], ordered.numbered("n"), limits)
+    text = plan(done)
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+    assert done.groupBy("region").agg({"n": "max", "*": "count"}).where("`max(n)` <> `count(1)`").isEmpty()
+
+
 def test_as_of_with_few_versions_does_not_move_the_stream(spark, data):
     from keytide.operators import asof
 
