@@ -39,6 +39,11 @@ _SKEWED = [
     "stream_epoch_latest",
     "fan_out_two",
     "scan_generic",
+    "fold_epoch_flag",
+    "fold_epoch_join",
+    "stream_bounded",
+    "stream_dedup_weekly",
+    "join_region_live",
 ]
 
 
