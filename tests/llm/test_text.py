@@ -254,6 +254,9 @@ def test_odd_conversations(spark):
     assert len(spelt) == 2 and spelt[1].text.startswith(spelt[0].text) and spelt[0].text.endswith(chat.END)
     spans = {(r.conv_id, r.example): r for r in chat.examples(whole).collect()}
     assert all(spans[1, r.example].prefix_chars == len(r.text) for r in spelt)
+    assert all(spans[1, r.example].loss == r.text[r.loss_start : r.loss_start + r.loss_chars] for r in spelt)
+    outer = {(r.conv_id, r.example) for r in chat.examples(whole, "text", outer=True).collect()}
+    assert outer == {*spans, (2, None)}, "a conversation without replies has a row of nulls"
     assert chat.read_back(chat.formatted(turns.limit(0))).count() == 0
 
 
