@@ -9,13 +9,15 @@ far rules out a gain. Pieces then take the slots of their length by rank.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from hashlib import blake2b
 from heapq import heappop, heappush
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -25,6 +27,7 @@ from keytide.settings import written_table
 
 CAPACITY, END = 4096, 1
 NODES = 1000  # nodes that a search visits beside its first packing; the best solution so far stands
+STEPS = 2_000_000  # steps of all searches of one packing together, some seconds
 FILLINGS, FILLING_STEPS = 16, 1000  # fillings tried at a node, the fullest first, and steps to find them
 SEARCHED_ITEMS = 200  # pieces of the patterns that are packed anew at a time, however many bins have them
 RANK_ROWS = 20_000
@@ -93,6 +96,22 @@ def _least(lengths: np.ndarray, number: np.ndarray, capacity: int) -> int:
     return max(whole, int(pieces[-1] - pieces[half]), int(found.max(initial=0)))
 
 
+@dataclass
+class Effort:
+    """What searches may spend: ``nodes`` for each beside its first packing, ``steps`` for all together.
+
+    Without a number of nodes nothing is bounded: every filling and every node counts, and the search ends with the
+    least number of bins.
+    """
+
+    nodes: int | None = NODES
+    steps: int = STEPS
+
+    def spent(self, steps: int) -> bool:
+        self.steps -= steps
+        return self.nodes is not None and self.steps <= 0
+
+
 def _dominated(filling: Pattern, gap: int, left: Mapping[int, int], lengths: list[int]) -> bool:
     """Whether a length left over (``lengths``: all, rising) could take the place of one or two smaller ones and fit."""
     spare, held = gap - sum(filling), Counter(filling)
@@ -104,9 +123,13 @@ def _dominated(filling: Pattern, gap: int, left: Mapping[int, int], lengths: lis
     return False
 
 
-def fillings(gap: int, left: Mapping[int, int]) -> list[Pattern]:
-    """Undominated ways to fill a gap from the lengths left, the fullest first."""
+def fillings(gap: int, left: Mapping[int, int], effort: Effort | None = None) -> list[Pattern]:
+    """Undominated ways to fill a gap from the lengths left, the fullest first: FILLINGS of those that FILLING_STEPS steps
+    lead to, or all if the effort is not bounded."""
+    effort = effort or Effort()
     lengths = sorted(x for x, n in left.items() if n and x <= gap)
+    most_steps = math.inf if effort.nodes is None else FILLING_STEPS
+    wanted = None if effort.nodes is None else FILLINGS
     found: set[Pattern] = set()
     steps = 0
 
@@ -119,32 +142,35 @@ def fillings(gap: int, left: Mapping[int, int]) -> list[Pattern]:
             for times in range(most, 0 if at else most - 1, -1):  # nothing follows the smallest length
                 went, steps = True, steps + 1
                 extend(room - times * length, at, chosen + (length,) * times)
-                if steps > FILLING_STEPS:
+                if steps > most_steps:
                     return
-        if not went and not _dominated(chosen, gap, left, lengths):
+        if not went:
             found.add(chosen)
 
     extend(gap, len(lengths), ())
-    return sorted(found, key=lambda filling: (-sum(filling), len(filling), filling))[:FILLINGS] or [()]
+    ranked = sorted(found, key=lambda filling: (-sum(filling), len(filling), filling))
+    undominated = (filling for filling in ranked if not _dominated(filling, gap, left, lengths))
+    effort.spent(steps + len(lengths) // 8 + 1)
+    return list(islice(undominated, wanted)) or [()]
 
 
-def search(counts: Mapping[int, int], capacity: int, fewest: int, nodes: int) -> list[tuple[Pattern, int]] | None:
-    """A packing in less than ``fewest`` bins, by bin completion, as far as ``nodes`` nodes lead; None if none is found.
+def search(counts: Mapping[int, int], capacity: int, fewest: int, effort: Effort) -> list[tuple[Pattern, int]] | None:
+    """A packing in less than ``fewest`` bins, by bin completion, as far as the effort leads; None if none is found.
 
     A branch repeats a filling as often as its lengths last, half as often, and so on down to once, so that any numbers
-    of bins are reached. Nodes are visited by how far they deviate from the fullest filling repeated the most; the
-    packing without a deviation is always completed and does not count.
+    of bins are reached. Nodes are visited by how far they deviate from the fullest filling repeated the most; nodes of
+    the packing without a deviation count among the steps only.
     """
     lengths = np.array(sorted(x for x, n in counts.items() if n), np.int64)
     number = np.array([counts[int(x)] for x in lengths], np.int64)
     place = {int(x): i for i, x in enumerate(lengths)}
     bound, total = _least(lengths, number, capacity), int((lengths * number).sum())
-    best, serial, seen = None, 0, {}
+    best, serial, seen, nodes = None, 0, {}, effort.nodes
     # Deviations, minus the depth, a serial number; lengths left and bins before this entry; what was chosen.
     queue: list[tuple] = [(0, 0, 0, number, 0, None)]
-    while queue and fewest > bound:
+    while queue and fewest > bound and not effort.spent(0):
         far, depth, _, left, used, chosen = heappop(queue)
-        if far:
+        if far and nodes is not None:
             if not nodes:
                 break
             nodes -= 1
@@ -169,7 +195,7 @@ def search(counts: Mapping[int, int], capacity: int, fewest: int, nodes: int) ->
         waste = used * capacity - total + int((lengths * left).sum())
         rest = dict(zip(lengths[at].tolist(), left[at].tolist()))
         largest = int(lengths[at[-1]])
-        for turn, filling in enumerate(fillings(capacity - largest, {**rest, largest: rest[largest] - 1})):
+        for turn, filling in enumerate(fillings(capacity - largest, {**rest, largest: rest[largest] - 1}, effort)):
             pattern = (largest, *filling)
             times = min(rest[x] // n for x, n in Counter(pattern).items())
             halved = 0
@@ -204,40 +230,51 @@ def _total(packing: list[tuple[Pattern, int]]) -> tuple[dict[int, int], int]:
     return counts, sum(bins for _, bins in packing)
 
 
-def pack(counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+def pack(
+    counts: Mapping[int, int], capacity: int = CAPACITY, nodes: int | None = NODES, steps: int = STEPS
+) -> list[tuple[Pattern, int]]:
     """Patterns of lengths and their bins, as few bins as the search finds; lengths lie in 1 .. capacity.
 
     Best fit is the first incumbent. If it has more bins than the bound, the whole histogram is searched. While the bound
     is not met, patterns with all their bins are then emptied and packed anew, patterns of SEARCHED_ITEMS pieces at a
-    time, the most waste first, until no such lot of patterns gains.
+    time, the most waste first, until no such lot of patterns gains. ``steps`` bounds all of that together, whatever the
+    histogram; the best packing so far stands. With ``nodes`` None nothing is bounded, and the whole histogram is searched
+    to the end: the result is the least number of bins, in a time that grows exponentially at worst.
     """
     counts = {int(x): int(n) for x, n in counts.items() if n > 0}
     if any(not 0 < x <= capacity for x in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
+    effort = Effort(nodes, steps)
     best, bound = best_fit(counts, capacity), least_bins(counts, capacity)
     bins = sum(n for _, n in best)
     if bins > bound:
-        best = search(counts, capacity, bins, nodes) or best
+        best = search(counts, capacity, bins, effort) or best
+    if nodes is None:
+        return best
     failed: set[tuple] = set()  # lots without a gain are not tried again
     gained = True
     while gained:
-        gained = False
+        gained, rest, fresh = False, dict(enumerate(best)), []
         for window in _windows(best):
-            if sum(n for _, n in best) == bound:
-                return best
+            if effort.spent(0) or sum(n for _, n in rest.values()) + sum(n for _, n in fresh) == bound:
+                break
+            if any(i not in rest for i in window):  # half of it has just been packed anew
+                continue
             lot = [best[i] for i in window]
             name = tuple(sorted(lot))
             if name in failed:
                 continue
             opened, emptied = _total(lot)
-            found = search(opened, capacity, emptied, nodes)
+            found = search(opened, capacity, emptied, effort)
             if found is None:
                 failed.add(name)
                 continue
-            inside = set(window)
-            best = [entry for i, entry in enumerate(best) if i not in inside] + found
+            for i in window:
+                del rest[i]
+            fresh += found
             gained = True
-            break
+        best = [*rest.values(), *fresh]
+        gained = gained and not effort.spent(0)
     return best
 
 
@@ -365,12 +402,12 @@ def tokenized(
     return chosen.mapInPandas(pieces, PIECES + (", ids array<int>" if ids else ""))
 
 
-def placed(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
+def placed(pieces: DataFrame, capacity: int = CAPACITY, nodes: int | None = NODES, steps: int = STEPS) -> DataFrame:
     """Written pieces with ``sequence_id`` and ``offset``. Pieces are ranked within their length,
     hot lengths in parts of about RANK_ROWS rows, and take that slot of the packed histogram.
     """
     counts = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}  # at most capacity rows
-    slots = Slots(pack(counts, capacity, nodes))
+    slots = Slots(pack(counts, capacity, nodes, steps))
     parts = [F.lit(x) for length, n in counts.items() if n > RANK_ROWS for x in (length, -(-n // RANK_ROWS))]
     salts = F.coalesce(F.try_element_at(F.create_map(*parts), "length"), F.lit(1)) if parts else F.lit(1)
     dealt = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts))
@@ -398,17 +435,19 @@ def packed(
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = CAPACITY,
-    nodes: int = NODES,
+    nodes: int | None = NODES,
+    steps: int = STEPS,
     ids: bool = False,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ``ids``).
 
-    Every piece lies whole in one sequence of at most ``capacity`` ids, gapless from offset 0. Other columns of
+    Every piece lies whole in one sequence of at most ``capacity`` ids, gapless from offset 0. ``nodes`` and ``steps`` bound
+    the search as in ``pack``. Other columns of
     ``docs`` are not looked at. Rows that share an id are documents of their own; a null id stays null. Empty
     tables give no rows.
     """
     pieces = written_table(tokenized(docs, path, id_col=id_col, text_col=text_col, capacity=capacity, ids=ids), "pieces")
-    return placed(pieces, capacity, nodes)
+    return placed(pieces, capacity, nodes, steps)
 
 
 def sequences(packed_pieces: DataFrame) -> DataFrame:

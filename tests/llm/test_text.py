@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -420,6 +421,37 @@ def test_lots_of_patterns_are_tried_until_none_gains(monkeypatch):
     assert bins_of(packing.pack(counts)) < bins_of(packing.best_fit(counts, 4096)) and len(lots) > 2
 
 
+def test_without_bounds_the_search_is_exact():
+    """No cap on nodes, fillings or steps: the least number of bins, where one step of work finds nothing."""
+    draw = random.Random(19)
+    for _ in range(60):
+        capacity = draw.choice([20, 30, 50])
+        items = [draw.randint(3, capacity // 2) for _ in range(draw.randint(6, 11))]
+        counts = {x: items.count(x) for x in items}
+        found = packing.pack(counts, capacity, nodes=None, steps=0)
+        assert sorted(x for pattern, bins in found for x in pattern * bins) == sorted(items)
+        assert bins_of(found) == fewest(items, capacity)
+        assert bins_of(packing.pack(counts, capacity, steps=0)) == bins_of(packing.best_fit(counts, capacity))
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 2_000_000])
+def test_the_whole_search_is_bounded(n):
+    """A thousand lengths that no packing fits to the bound: some seconds, whatever the number of pieces."""
+    draw, counts = random.Random(1), {}
+    for _ in range(2_000):
+        length = draw.randint(1000, 1999)
+        counts[length] = counts.get(length, 0) + n // 2_000
+    begin = time.process_time()
+    found = packing.pack(counts)
+    assert time.process_time() - begin < 60
+    used: dict = {}
+    for pattern, bins in found:
+        assert sum(pattern) <= 4096
+        for x in pattern:
+            used[x] = used.get(x, 0) + bins
+    assert used == counts and bins_of(found) < bins_of(packing.best_fit(counts, 4096))
+
+
 def test_tiny_pieces_fill_a_bin_without_deep_recursion():
     assert sum(packing.fillings(4000, {1: 5000, 3: 2000})[0]) == 4000
 
