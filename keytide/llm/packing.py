@@ -9,7 +9,9 @@ far rules out a gain. Pieces then take the slots of their length by rank.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
@@ -34,6 +36,15 @@ RANK_ROWS = 20_000
 KEPT_UNITS = 500_000  # units whose ids a worker remembers
 PIECE_BYTES = 8 << 20
 
+# Fixed value: how a file cuts words from marks, as it stands there.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+# A unit that ends in ASCII marks after a letter or digit (ASCII or Latin-1). An apostrophe may belong to letters
+# after it and "<" may begin a special token, so units with either are left whole.
+_MARKED = re.compile(
+    rb"([^'<]*(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:;=-@\[-`{-~]*)"
+)
+_COMPOSED = re.compile(rb"[\xcc\xcd]")  # may combine with the letter before, which then has another lower case
+
 Pattern = tuple[int, ...]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -302,7 +313,12 @@ class Slots:
 
 
 class _Encoder:
-    """Token ids of texts, unit by unit between ASCII spaces, which the pre-tokenizer never crosses."""
+    """Token ids of texts, unit by unit between ASCII spaces, which the pre-tokenizer never crosses.
+
+    Where the file lower-cases and cuts words from marks (SPLIT), a unit is lower-cased and its marks at the end go apart, so
+    that far fewer are encoded. Words then go to the library by the hundred, between spaces; with an end-of-word suffix the
+    last token of each shows. Units of which more than that is to be thought go one by one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -316,6 +332,16 @@ class _Encoder:
             if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
         ]
         self.between, self.mark = plain[-1] if plain else (None, "")
+        file = json.loads(self.library.to_str())
+        suffix = file["model"].get("end_of_word_suffix") if file["model"]["type"] == "BPE" else None
+        self.folds = _kinds(file["normalizer"]) == ["NFC", "Replace", "Lowercase"] and SPLIT in json.dumps(
+            file["pre_tokenizer"], ensure_ascii=False
+        ).replace("\\\\", "\\")
+        self.last = np.zeros(0, bool)  # which ids end a word
+        if suffix and self.folds:
+            vocab = self.library.get_vocab()
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[number for token, number in vocab.items() if token.endswith(suffix)]] = True
 
     def _alone(self, units: list[bytes]) -> list[bytes]:
         texts = [unit.decode() for unit in units]
@@ -329,18 +355,52 @@ class _Encoder:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        units = [text.split() for text in texts]
-        new = list({unit for line in units for unit in line if unit not in self.known})
+    def _words(self, units: list[bytes]) -> list[bytes] | None:
+        """Ids of units that are one word each; None if one of them turns out to be more."""
+        ids = np.array(self.library.encode(b" ".join(units).decode(), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(units):  # each has one end at least
+            return None
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _encoded(self, units: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        words = [unit for unit in units if unit.decode().isalpha()] if len(self.last) else []
+        for low in range(0, len(words), 512):
+            part = words[low : low + 512]
+            found = self._words(part)
+            if found is not None:
+                out.update(zip(part, found))
         # What could hold a special token itself goes by itself.
-        simple = [unit for unit in new if b"<" not in unit] if self.between is not None else []
-        fresh: dict[bytes, bytes] = {}
+        simple = [unit for unit in units if unit not in out and b"<" not in unit] if self.between is not None else []
         for low in range(0, len(simple), 512):
             part = simple[low : low + 512]
-            fresh.update(zip(part, self._together(part), strict=True))
-        rest = [unit for unit in new if unit not in fresh]
+            out.update(zip(part, self._together(part), strict=True))
+        rest = [unit for unit in units if unit not in out]
         for low in range(0, len(rest), 8192):
-            fresh.update(zip(rest[low : low + 8192], self._alone(rest[low : low + 8192])))
+            out.update(zip(rest[low : low + 8192], self._alone(rest[low : low + 8192])))
+        return out
+
+    def _folded(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """As ``_encoded``, by the words and the marks that units are made of."""
+        heads, tails = [], []
+        for unit in units:
+            found = None if _COMPOSED.search(unit) else _MARKED.fullmatch(unit)
+            heads.append(found[1].lower() if found else unit)
+            tails.append(found[2] if found else b"")
+        wanted = {*heads, *tails} - {b""}
+        fresh = self._encoded([part for part in wanted if part not in self.known])
+        fresh.update((part, self.known[part]) for part in wanted if part in self.known)
+        fresh[b""] = b""
+        ids = [fresh[head] + fresh[tail] if tail else fresh[head] for head, tail in zip(heads, tails)]
+        fresh.update(zip(units, ids))
+        return fresh
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        units = [text.split() for text in texts]
+        new = list({unit for line in units for unit in line if unit not in self.known})
+        fresh = self._folded(new) if self.folds else self._encoded(new)
         room = KEPT_UNITS - len(self.known)
         if room > 0:
             self.known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
@@ -349,6 +409,11 @@ class _Encoder:
         return [b"".join(map(get, line)) for line in units]
 
 
+def _kinds(part) -> list[str]:
+    """The types of the steps of a normalizer."""
+    return [one["type"] for one in part["normalizers"]] if part and part["type"] == "Sequence" else [part["type"]] if part else []
+
+
 _encoders: dict[str, _Encoder] = {}
 
 

@@ -477,3 +477,20 @@ def test_units_encode_as_whole_texts(spark):
     for key, text in enumerate(STRANGE):
         assert got[key] == [*library.encode(text, add_special_tokens=False).ids, 1], text
     assert got[None] == [1]
+
+
+def test_folded_units_encode_as_the_library_does():
+    """Letters that combine, marks that run into words, special tokens in other cases, spaces of all kinds."""
+    from tokenizers import Tokenizer
+
+    signs = [
+        "a", "B", "é", "É", "H̱", "ẖ", "É", "İ", "ß", "Σ", "'s", "'S", "'", "’", "!", ".", "%%", "<",
+        "<|endoftext|>", "<|ENDOFTEXT|>", "≠", "…", "×", "÷", "7", "٣", "中", "하", "क़", "K",
+        " ", "  ", "\n", "\x1c", "\xa0", "\x85", "-", "_", "`", "~", "‍", "😀", "</w>", "ﬁ", "\x00", "won't", "I'M", "'re.",
+    ]
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
+    got = packing._Encoder(WORDS).encode([text.encode() for text in texts])
+    library = Tokenizer.from_file(WORDS)
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
