@@ -404,7 +404,7 @@ class _Encoder:
         room = KEPT_UNITS - len(self.known)
         if room > 0:
             self.known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
-        full = len(self.known) >= KEPT_UNITS
+        full = len(fresh) > room
         get = (lambda unit: self.known[unit] if unit in self.known else fresh[unit]) if full else self.known.__getitem__
         return [b"".join(map(get, line)) for line in units]
 

@@ -479,7 +479,8 @@ def test_units_encode_as_whole_texts(spark):
     assert got[None] == [1]
 
 
-def test_folded_units_encode_as_the_library_does():
+@pytest.mark.parametrize("kept", [packing.KEPT_UNITS, 700, 0])
+def test_folded_units_encode_as_the_library_does(kept, monkeypatch):
     """Letters that combine, marks that run into words, special tokens in other cases, spaces of all kinds."""
     from tokenizers import Tokenizer
 
@@ -490,7 +491,10 @@ def test_folded_units_encode_as_the_library_does():
     ]
     draw = random.Random(3)
     texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
-    got = packing._Encoder(WORDS).encode([text.encode() for text in texts])
+    monkeypatch.setattr(packing, "KEPT_UNITS", kept)  # a worker remembers all, some or none
+    encoder, raw = packing._Encoder(WORDS), [text.encode() for text in texts]
+    got = [ids for low in range(0, 3000, 500) for ids in encoder.encode(raw[low : low + 500])]
+    assert encoder.encode(raw[:500]) == got[:500]
     library = Tokenizer.from_file(WORDS)
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
