@@ -33,17 +33,17 @@ STEPS = 2_000_000  # steps of all searches of one packing together, some seconds
 FILLINGS, FILLING_STEPS = 16, 1000  # fillings tried at a node, the fullest first, and steps to find them
 SEARCHED_ITEMS = 200  # pieces of the patterns that are packed anew at a time, however many bins have them
 RANK_ROWS = 20_000
-KEPT_UNITS = 500_000  # units whose ids a worker remembers
+KEPT_UNITS = 1_000_000  # units whose ids a worker remembers, some 200 MB
 PIECE_BYTES = 8 << 20
 
 # Fixed value: how a file cuts words from marks, as it stands there.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-# A unit that ends in ASCII marks after a letter or digit (ASCII or Latin-1). An apostrophe may belong to letters
-# after it and "<" may begin a special token, so units with either are left whole.
+# A unit that may be lower-cased, and ASCII marks at its end after a letter or digit (ASCII or Latin-1). An apostrophe may
+# belong to letters after it, "<" may begin a special token, and a mark of U+0300 to U+037F may combine with the letter
+# before, which then has another lower case: units with one of these are left whole.
 _MARKED = re.compile(
-    rb"([^'<]*(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:;=-@\[-`{-~]*)"
+    rb"([^'<\xcc\xcd]*(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:;=-@\[-`{-~]*)"
 )
-_COMPOSED = re.compile(rb"[\xcc\xcd]")  # may combine with the letter before, which then has another lower case
 
 Pattern = tuple[int, ...]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -386,7 +386,7 @@ class _Encoder:
         """As ``_encoded``, by the words and the marks that units are made of."""
         heads, tails = [], []
         for unit in units:
-            found = None if _COMPOSED.search(unit) else _MARKED.fullmatch(unit)
+            found = _MARKED.fullmatch(unit)
             heads.append(found[1].lower() if found else unit)
             tails.append(found[2] if found else b"")
         wanted = {*heads, *tails} - {b""}
@@ -399,14 +399,14 @@ class _Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         units = [text.split() for text in texts]
-        new = list({unit for line in units for unit in line if unit not in self.known})
+        new = list(set().union(*units).difference(self.known))
         fresh = self._folded(new) if self.folds else self._encoded(new)
-        room = KEPT_UNITS - len(self.known)
-        if room > 0:
-            self.known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
-        full = len(fresh) > room
-        get = (lambda unit: self.known[unit] if unit in self.known else fresh[unit]) if full else self.known.__getitem__
-        return [b"".join(map(get, line)) for line in units]
+        beyond = [*islice((part for part in fresh if part not in self.known), max(0, KEPT_UNITS - len(self.known)), None)]
+        self.known.update(fresh)
+        out = [b"".join(map(self.known.__getitem__, line)) for line in units]
+        for part in beyond:  # what a worker has no room for goes after the texts that need it
+            del self.known[part]
+        return out
 
 
 def _kinds(part) -> list[str]:
