@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE = 1 << 19  # symbols worked on at a time, which bounds the arrays whatever a text's length
+SLICE = 1 << 16  # symbols worked on at a time: arrays that fit the cache, whatever a text's length
 BASE = 0x9E3779B97F4A7C15
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_SPACE = np.zeros(256, bool)
