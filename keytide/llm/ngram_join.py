@@ -19,11 +19,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from keytide.llm.blocks import released
 from keytide.llm.components import components
 from keytide.llm.vectors import LOWER, Prefixes, mixed, words_of
 from keytide.settings import written_table
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20  # of text worked on at a time; its n-grams and parts take some ten times that
 LEADER_ROUNDS = 2
 CHUNK_ROWS = 4096  # sets multiplied with one leader in one go
 
@@ -35,18 +36,19 @@ HASHES = "node long, shingles binary"
 
 
 def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
-    """Rows and their lower-cased texts, some megabytes at a time."""
+    """Rows without their texts, and the lower-cased texts, a piece at a time."""
     for frame in frames:
-        ids, texts, size = [], [], 0
-        for key, text in zip(frame.index, frame["text"]):
-            ids.append(key)
+        rows, texts, size, low = frame.drop(columns="text"), [], 0, 0
+        for text in frame.pop("text"):
             texts.append(text.encode().translate(LOWER) if isinstance(text, str) else b"")
             size += len(texts[-1])
             if size >= PIECE_BYTES:
-                yield frame.loc[ids], texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield frame.loc[ids], texts
+                yield rows.iloc[low : low + len(texts)], texts
+                released()
+                low, texts, size = low + len(texts), [], 0
+        if texts:
+            yield rows.iloc[low:], texts
+            released()
 
 
 def _shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +187,9 @@ def _parted(words: int, per: int, of: int):
             hashes, bounds = _shingles(texts, words)
             parts = _parts(hashes, bounds, per, of)
             node = np.repeat(_set_ids(hashes, bounds)[0], [len(own) for own in parts])
+            del hashes, bounds, texts
             yield pd.DataFrame({"part": np.concatenate(parts), "node": node})
+            del parts, node
 
     return parted
 
