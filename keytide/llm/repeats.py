@@ -162,6 +162,7 @@ def _stretches_sent(method: Method, n_buckets: int):
                 runs = _runs(method, block, n_buckets)
                 found = _stretches(runs, block.ids, _shared(runs, B.by_bucket(reply)), n_buckets)
                 symbols, rows = runs.symbols, []
+                message = head = begin = end = None
                 for bucket, low, high in B.pieces(found.bucket):
                     head = found.head[low:high]
                     begin, end = runs.first[head], runs.last[head] + method.window
@@ -176,6 +177,7 @@ def _stretches_sent(method: Method, n_buckets: int):
                     )
                     rows.append((bucket, number, message))
                 yield pd.DataFrame(rows, columns=["bucket", "block", "message"])
+                del block, runs, found, symbols, rows, message, head, begin, end  # before the next block is read
                 B.released()
 
     return send
