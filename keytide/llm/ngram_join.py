@@ -8,12 +8,16 @@ whose sizes or whose parities (how many n-grams fall into each of some buckets,
 the product of a block with its first row counts the overlaps of the others.
 
 Components need no more links than join them. So each block is first multiplied with one
-row; rows of one component are done with each other, and what is left is tested in full.
+row; rows of one component are done with each other. Rows whose blocks still hold several components after
+that make families (rows that blocks lead to), and a family is multiplied with itself in tiles of bounded size: n-grams
+are taken a range at a time, overlap counts accumulate, pairs go as soon as their sizes and the n-grams to come cannot
+reach the threshold, and of the links those stay that join two components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,7 +30,10 @@ from keytide.settings import written_table
 
 PIECE_BYTES = 1 << 20  # of text worked on at a time; its n-grams and parts take some ten times that
 LEADER_ROUNDS = 2
-CHUNK_ROWS = 4096  # sets multiplied with one leader in one go
+CHUNK_ROWS, CHUNK_BYTES = 4096, 32 << 20  # sets multiplied with one leader in one go, and their n-grams
+TILE_SETS, TILE_BYTES = 2048, 8 << 20  # of a family, multiplied with another tile in one go
+STEP_ROWS, STEP_ENTRIES = 256, 1 << 21  # rows of a tile, and products of entries, counted at a time
+RANGES = 4  # of n-gram hashes, one after the other
 
 SIEVE_BITS = 1 << 26  # of the fixed-size filter that spares shuffling rows without a partner
 
@@ -245,14 +252,14 @@ def _products(per: int, of: int):
 
 
 def _linked(pairs: DataFrame, hashes: DataFrame, per: int, of: int) -> DataFrame:
-    """The pairs (leader, node) whose overlap reaches the threshold, as (a, b)."""
+    """The pairs (leader, node, n: n-grams of the node) whose overlap reaches the threshold, as (a, b)."""
     session = pairs.sparkSession
-    rows = pairs.count()
-    buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), rows // 20_000)
-    chunked = pairs.withColumn("chunk", F.pmod(F.xxhash64("node"), F.lit(max(1, rows // CHUNK_ROWS))))
-    # Few leaders have many members; their chunks, and so their copies, follow the number of members.
-    per_leader = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).alias("chunks"))
-    chunked = chunked.join(per_leader, "leader").withColumn("chunk", F.pmod("chunk", F.col("chunks")))
+    rows, grams = pairs.agg(F.count(F.lit(1)), F.sum("n")).first()
+    buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), rows // 20_000, 8 * grams // CHUNK_BYTES)
+    # Few leaders have many members; their chunks, and so their copies, follow the number and size of the members.
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_ROWS, 8 * F.sum("n") / CHUNK_BYTES))
+    per_leader = pairs.groupBy("leader").agg(chunks.alias("chunks"))
+    chunked = pairs.join(per_leader, "leader").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
     bucket = F.pmod(F.xxhash64("leader", "chunk"), F.lit(buckets)).alias("bucket")
     leaders = per_leader.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     leaders = leaders.join(hashes.withColumnRenamed("node", "leader"), "leader")
@@ -265,6 +272,150 @@ def _linked(pairs: DataFrame, hashes: DataFrame, per: int, of: int) -> DataFrame
     return written_table(product.applyInPandas(_products(per, of), "a long, b long"), "overlaps")
 
 
+class _Labels:
+    """Components of the rows of two tiles as links are found."""
+
+    def __init__(self, roots: np.ndarray):
+        names, self.of = np.unique(roots, return_inverse=True)
+        self.up = list(range(len(names)))
+
+    def top(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def joined(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Which of the links between rows join two components."""
+        _, one_each = np.unique(np.stack([self.of[a], self.of[b]]), axis=1, return_index=True)
+        fresh = []
+        for i in one_each.tolist():
+            x, y = self.top(int(self.of[a[i]])), self.top(int(self.of[b[i]]))
+            if x != y:
+                self.up[x] = y
+                fresh.append(i)
+        if fresh:
+            self.of = np.array([self.top(x) for x in range(len(self.up))])[self.of]
+        return fresh
+
+
+@dataclass
+class _Incidence:
+    """Sets as rows of a matrix: entries by row, each row's n-grams ascending, told apart by family."""
+
+    row: np.ndarray
+    gram: np.ndarray
+    range_of: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def of(held: list[bytes], family: np.ndarray) -> _Incidence:
+        size = np.array([len(x) // 8 for x in held], np.int64)
+        row = np.repeat(np.arange(len(held)), size)
+        gram = np.frombuffer(b"".join(held), np.uint64)
+        # Ranges go by the n-gram itself, so that equal ones of two rows are in the same.
+        return _Incidence(row, gram ^ mixed(family.view(np.uint64))[row], (gram % np.uint64(RANGES)).astype(np.int64), size)
+
+
+def _tile_product(left: _Incidence, right: _Incidence, allowed, found, per: int, of: int) -> None:
+    """Tell ``found`` the pairs (rows of left, rows of right) that reach the threshold among those ``allowed(low, high)``,
+    a mask of some rows of right by all of left."""
+    ahead = [np.bincount(side.row * RANGES + side.range_of, minlength=len(side.size) * RANGES) for side in (left, right)]
+    to_come = [side.reshape(-1, RANGES)[:, ::-1].cumsum(1)[:, ::-1] for side in ahead]
+    columns = []
+    for k in range(RANGES):
+        own = np.flatnonzero(left.range_of == k)
+        own = own[np.argsort(left.gram[own], kind="stable")]
+        columns.append((left.gram[own], left.row[own]))
+    begin = np.concatenate([[0], np.cumsum(right.size)])
+    width = len(left.size)
+    for low in range(0, len(right.size), STEP_ROWS):
+        high = min(low + STEP_ROWS, len(right.size))
+        total = right.size[low:high, None] + left.size
+        need = -(-per * total // (of + per))
+        alive = allowed(low, high) & (np.minimum(right.size[low:high, None], left.size) >= need)
+        counts = np.zeros(alive.shape, np.int64)
+        entries = slice(begin[low], begin[high])
+        row, gram, part = right.row[entries] - low, right.gram[entries], right.range_of[entries]
+        for k, (grams, owners) in enumerate(columns):
+            own = np.flatnonzero((part == k) & alive.any(1)[row])
+            start = np.searchsorted(grams, gram[own], "left")
+            many = np.searchsorted(grams, gram[own], "right") - start
+            upto = np.cumsum(many)
+            done = 0
+            while done < len(own):  # an entry meets at most one of each row of left
+                stop = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + STEP_ENTRIES, "right")))
+                size = many[done:stop]
+                at = np.repeat(start[done:stop] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                met = np.repeat(row[own[done:stop]] * width, size) + owners[at]
+                counts += np.bincount(met, minlength=counts.size).reshape(counts.shape)
+                done = stop
+            if k + 1 < RANGES:
+                alive &= counts + np.minimum(to_come[1][low:high, None, k + 1], to_come[0][:, k + 1]) >= need
+            if not alive.any():
+                break
+        b, a = np.nonzero(alive & (counts >= need))
+        if len(a):
+            found(a, b + low)
+
+
+def _tile_links(per: int, of: int):
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        """The links between two tiles, or within one, that join components."""
+        tile, node, family = (rows[name].to_numpy() for name in ("tile", "node", "family"))
+        labels, out, held = _Labels(rows["root"].to_numpy()), [], rows["shingles"].to_numpy()
+        common = np.bincount(labels.of).argmax()
+        left, right = np.flatnonzero(tile == rows["low"].iloc[0]), np.flatnonzero(tile == rows["high"].iloc[0])
+        frequent = labels.of == common
+        # Rows of the most frequent component are not multiplied with each other.
+        for x, y in ((left, right[~frequent[right]]), (left[~frequent[left]], right[frequent[right]])):
+            if not len(x) or not len(y):
+                continue
+
+            def allowed(low: int, high: int) -> np.ndarray:
+                own = y[low:high, None]
+                return (labels.of[own] != labels.of[x]) & (family[own] == family[x])
+
+            def found(a: np.ndarray, b: np.ndarray) -> None:
+                fresh = labels.joined(x[a], y[b])
+                out.extend(zip(node[x[a[fresh]]].tolist(), node[y[b[fresh]]].tolist()))
+
+            sides = (_Incidence.of(held[side].tolist(), family[side]) for side in (x, y))
+            _tile_product(*sides, allowed, found, per, of)
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return links
+
+
+def _family_links(left: DataFrame, traits: DataFrame, hashes, per: int, of: int) -> DataFrame:
+    """Links (a, b) that join the components of ``left`` (part, node, root), as many as it takes.
+
+    ``hashes(nodes)`` are the n-grams of a table of nodes. Families of at most one tile share tiles; in a larger one, every
+    tile meets every other, so that a set is sent once for each tile of its family, whatever the number of its blocks.
+    """
+    first = left.groupBy("part").agg(F.min("node").alias("a"))
+    inside = left.join(first, "part").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+    family = components(inside).withColumnRenamed("root", "family")
+    sets = left.select("node", "root").distinct().join(family, "node").join(traits.select("node", "n"), "node")
+    sets = written_table(sets, "apart")
+    size = F.greatest(F.count(F.lit(1)) / TILE_SETS, 8 * F.sum("n") / TILE_BYTES)
+    rows, grams = sets.agg(F.count(F.lit(1)), F.sum("n")).first()
+    bins = max(1, rows // TILE_SETS, 8 * grams // TILE_BYTES)
+    tiled = sets.join(sets.groupBy("family").agg(F.ceil(size).alias("tiles")), "family")
+    own_bin = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
+    tiled = tiled.withColumn("bin", own_bin).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    met = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    met = met.select(
+        (F.col("tiles") > 1).alias("large"),
+        "bin",
+        F.least("tile", "other").alias("low"),
+        F.greatest("tile", "other").alias("high"),
+        *("tile", "family", "node", "root"),
+    )
+    product = met.join(hashes(sets.select("node")), "node").groupBy("large", "bin", "low", "high")
+    return written_table(product.applyInPandas(_tile_links(per, of), "a long, b long"), "links")
+
+
 def _may_link(per: int, of: int) -> Column:
     """Sizes and parities of (n, level, odd, odder) and the same of the leader that allow the threshold."""
     smaller, larger = F.least("n", "leader_n"), F.greatest("n", "leader_n")
@@ -322,28 +473,22 @@ def near_documents(
     traits = written_table(traits, "traits")
     leader_traits = traits.withColumnsRenamed({name: f"leader_{name}" for name in traits.columns[1:]} | {"node": "leader"})
 
+    def hashes_of(nodes: DataFrame) -> DataFrame:
+        needed = written_table(nodes.distinct(), "needed")
+        every = chosen.select("text").mapInPandas(_hashed(words), HASHES)
+        held = _sifted(every, "node", _sieve(needed, "node")).join(needed, "node", "left_semi")
+        return written_table(held.dropDuplicates(["node"]), "shingles")
+
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     left = members.withColumn("root", F.col("node")).withColumn("leader_root", F.col("leader"))
-    for turn in range(LEADER_ROUNDS + 1):
-        if turn < LEADER_ROUNDS:
-            pairs = left.where("node <> leader and root <> leader_root").select("leader", "node").distinct()
-            pairs = pairs.join(traits, "node").join(leader_traits, "leader").where(_may_link(per, of))
-        else:  # everything that is still apart, pair by pair
-            own = written_table(left.select("part", "node", "root").join(traits, "node"), "apart")
-            renamed = {name: f"leader_{name}" for name in ("root", *traits.columns[1:])}
-            other = own.withColumnsRenamed({**renamed, "node": "leader", "part": "same"})
-            apart = (F.col("leader") < F.col("node")) & (F.col("root") != F.col("leader_root"))
-            pairs = own.join(other, (F.col("part") == F.col("same")) & apart & _may_link(per, of))
-            pairs = pairs.select("leader", "node").distinct()
-        pairs = written_table(pairs.select("leader", "node"), "pairs")
+    for _ in range(LEADER_ROUNDS):
+        pairs = left.where("node <> leader and root <> leader_root").select("leader", "node").distinct()
+        pairs = pairs.join(traits, "node").join(leader_traits, "leader").where(_may_link(per, of))
+        pairs = written_table(pairs.select("leader", "node", "n"), "pairs")
         if not pairs.isEmpty():
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
-            needed = written_table(needed, "needed")
-            every = chosen.select("text").mapInPandas(_hashed(words), HASHES)
-            hashes = _sifted(every, "node", _sieve(needed, "node")).join(needed, "node", "left_semi")
-            hashes = written_table(hashes.dropDuplicates(["node"]), "shingles")
-            roots = components(known.unionByName(_linked(pairs, hashes, per, of)))
+            hashes = hashes_of(pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))))
+            links = _linked(pairs, hashes, per, of)
+            roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         # A leader is done with its block; of the rest, blocks that hold more than one component go on.
         rest = left.where("node <> leader").select("part", "node").join(roots, "node", "left")
         rest = rest.withColumn("root", F.coalesce("root", "node"))
@@ -355,6 +500,9 @@ def near_documents(
         left = written_table(rest.join(apart, "part"), "left")
         if left.isEmpty():
             break
+    else:
+        links = _family_links(left.select("part", "node", "root"), traits, hashes_of, per, of)
+        roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     named = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id").alias("least_id"))

@@ -122,3 +122,26 @@ def test_pairs_across_a_class_end_link_from_separate_partitions(spark):
     found = got(ngram_join.near_documents(docs, words=1, per=90))
     assert found == brute(rows, 1, 90)
     assert all(component == key - key % 2 for key, _, component in found)
+
+
+@pytest.mark.parametrize(("leaders", "tile"), [(0, 5), (0, 2048), (1, 7)])
+def test_families_in_tiles_equal_brute_force(spark, families, monkeypatch, leaders, tile):
+    """Everything, or all but one leader a block, is left to the tiles."""
+    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", leaders)
+    monkeypatch.setattr(ngram_join, "TILE_SETS", tile)
+    docs = spark.createDataFrame(families, "doc_id long, text string").repartition(4)
+    assert got(ngram_join.near_documents(docs, words=3, per=90)) == brute(families, 3, 90)
+
+
+def test_large_group_of_copies_around_the_threshold(spark):
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for key in range(300):
+        copy = list(base)
+        for place in draw.sample(range(120), draw.randrange(2, 8)):
+            copy[place] = f"x{draw.randrange(10**6)}"
+        rows.append((key, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = got(ngram_join.near_documents(docs, words=1, per=90))
+    assert found == brute(rows, 1, 90) and 1 < len({component for _, _, component in found}) < 300
