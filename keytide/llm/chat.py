@@ -1,8 +1,9 @@
 """Chat formatting by prefix-target expansion, in DataFrame functions only.
 
-A conversation is written once. Every assistant turn is an example of its own: the text up to the end
-of that turn, of which only the reply is trained on. An example is therefore a prefix of its conversation and a
-span in it, which keeps the expansion linear in the text; ``example_texts`` spells the prefixes out.
+A conversation is written once. Every assistant turn becomes an example of its own: the text up to the end
+of that turn, its prefix as context and the reply as target, of which only the reply is trained on. What is
+trained on is read from these examples. Each holds its prefix, so a conversation's examples come to its length times its
+replies; they are made row by row where the conversation lies and never collected.
 """
 
 from __future__ import annotations
@@ -73,46 +74,47 @@ def formatted(
 
 
 def examples(conversations: DataFrame, *keep: str, outer: bool = False) -> DataFrame:
-    """One row per reply: conv_id, the columns ``keep``, example, prefix_chars (how much of the conversation the example
-    is), loss_start, loss_chars and loss (the reply as it stands in the text). All that comes before the reply is context.
+    """One row per reply: conv_id, the columns ``keep``, example, prefix (the conversation up to the reply), target (the
+    reply as it stands in the text, with the mark that ends it), prefix_chars (of both together: how much of the conversation the
+    example is), loss_start, loss_chars and loss (what the example's text, prefix and target, has under the loss mask).
 
-    With ``outer`` a conversation without replies has one row with nulls. A null conversation id stays null.
+    With ``outer`` a conversation without replies has one row with nulls. A null conversation id stays null; an empty
+    reply has an empty loss, and its target is the mark alone.
     """
-    cut = F.transform(
-        "spans", lambda s: F.struct(s["start"], s["length"], F.substring("text", s["start"] + 1, s["length"]).alias("loss"))
-    )
     explode = F.posexplode_outer if outer else F.posexplode
-    rows = conversations.select("conv_id", *keep, explode(cut).alias("example", "reply"))
-    return rows.select(
+    whole = F.col("text").alias("_whole")
+    rows = conversations.select("conv_id", *keep, whole, explode("spans").alias("example", "_span"))
+    start, length = F.col("_span.start"), F.col("_span.length")
+    told = rows.select(
+        "*",
+        F.substring("_whole", F.lit(1), start).alias("prefix"),
+        F.substring("_whole", start + 1, length + len(END)).alias("target"),
+    )
+    return told.select(
         "conv_id",
         *keep,
         "example",
-        (F.col("reply.start") + F.col("reply.length") + len(END)).alias("prefix_chars"),
-        F.col("reply.start").alias("loss_start"),
-        F.col("reply.length").alias("loss_chars"),
-        F.col("reply.loss").alias("loss"),
+        "prefix",
+        "target",
+        (F.length("prefix") + F.length("target")).alias("prefix_chars"),
+        start.alias("loss_start"),
+        length.alias("loss_chars"),
+        F.substring(F.concat("prefix", "target"), start + 1, length).alias("loss"),
     )
 
 
 def example_texts(conversations: DataFrame) -> DataFrame:
-    """The examples with their texts spelt out: conv_id, example, text, loss_start, loss_chars."""
-    rows = conversations.select("conv_id", "text", F.posexplode("spans").alias("example", "span"))
-    end = F.col("span.start") + F.col("span.length") + len(END)
-    return rows.select(
-        "conv_id",
-        "example",
-        F.substring("text", F.lit(1), end).alias("text"),
-        F.col("span.start").alias("loss_start"),
-        F.col("span.length").alias("loss_chars"),
-    )
+    """The examples as one text each: conv_id, example, text, loss_start, loss_chars."""
+    text = F.concat("prefix", "target").alias("text")
+    return examples(conversations).select("conv_id", "example", text, "loss_start", "loss_chars")
 
 
 def read_back(conversations: DataFrame) -> DataFrame:
     """What the formatted conversations say, from their texts and spans alone: conv_id, n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars.
 
-    Turns are found by the template's marks and unescaped. The loss is what the examples train on, one after the other,
-    unescaped. A conversation's examples lie where it lies, so nothing moves.
+    Turns are found by the template's marks and unescaped. The loss is what the examples have under their masks, one after
+    the other, unescaped. A conversation's examples lie where it lies, so nothing moves.
     """
     turns = F.slice(F.split("text", TURN.replace("|", r"\|")), F.lit(2), F.size(F.split("text", TURN.replace("|", r"\|"))))
     told = F.transform(turns, lambda t: F.split(F.regexp_replace(t, r"<\|end\|>\z", ""), r"<\|says\|>"))

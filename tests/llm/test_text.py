@@ -261,6 +261,15 @@ def test_odd_conversations(spark):
     assert chat.read_back(chat.formatted(turns.limit(0))).count() == 0
 
 
+def test_examples_hold_prefix_and_target(spark):
+    rows = [(1, 0, "user", "a </s>"), (1, 1, "assistant", "é"), (1, 2, "user", "c"), (1, 3, "assistant", ""), (2, 0, "user", "x")]
+    whole = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    text = {r.conv_id: r.text for r in whole.collect()}[1]
+    got = sorted(chat.examples(whole).collect(), key=lambda r: r.example)
+    assert [(r.conv_id, r.target, r.loss) for r in got] == [(1, "é" + chat.END, "é"), (1, chat.END, "")]
+    assert all(r.prefix + r.target == text[: r.prefix_chars] and len(r.prefix) == r.loss_start for r in got)
+
+
 # --- quality -------------------------------------------------------------------------------
 
 
