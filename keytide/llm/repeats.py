@@ -22,7 +22,7 @@ from keytide.llm import blocks as B
 from keytide.llm.vectors import winnowed
 
 
-SHARE_BYTES = 1 << 20  # stretches compared at a time
+SHARE_BYTES = 1 << 18  # stretches compared at a time; their hashes, suffixes and windows take some hundred times that
 
 
 @dataclass
@@ -189,26 +189,26 @@ def _stretches_answered(method: Method):
         ids, sizes, offsets, shares, data = (
             np.concatenate([part[k] for part in parts]) for k in ("ids", "sizes", "offsets", "shares", "bytes")
         )
+        upto = np.cumsum([0, *(len(part["ids"]) for part in parts)]).tolist()
+        del parts
         sizes = sizes.astype(np.int64)
-        begin, raw = np.cumsum(sizes) - sizes, data.tobytes()
-        del data
+        begin = np.cumsum(sizes) - sizes
         # Stretches of one seed lie in one share; a few shares at a time bound the work's memory.
         order = np.argsort(shares, kind="stable")
-        upto = np.cumsum(sizes[order])
-        cuts, low = [], 0
+        sized = np.cumsum(sizes[order])
+        flags, low, symbols = [np.zeros(0, bool)], 0, None
+        windows = np.zeros(len(sizes), np.int64)
         for _, _, high in B.pieces(shares[order]):
-            if upto[high - 1] - (upto[low - 1] if low else 0) >= SHARE_BYTES or high == len(order):
-                cuts.append(order[low:high])
+            if sized[high - 1] - (sized[low - 1] if low else 0) >= SHARE_BYTES or high == len(order):
+                rows = order[low:high]
+                symbols = method.read([data[b : b + s].tobytes() for b, s in zip(begin[rows].tolist(), sizes[rows].tolist())])
+                flags.append(method.compare(symbols, ids[rows], offsets[rows].astype(np.int64), method.window, method.seed))
+                windows[rows] = np.diff(symbols.bounds) - method.window + 1
                 low = high
-        found: list[np.ndarray] = [np.zeros(0, bool)] * len(sizes)
-        for rows in cuts:
-            symbols = method.read([raw[b : b + s] for b, s in zip(begin[rows].tolist(), sizes[rows].tolist())])
-            flags = method.compare(symbols, ids[rows], offsets[rows].astype(np.int64), method.window, method.seed)
-            windows = np.diff(symbols.bounds) - method.window + 1
-            for row, part in zip(rows.tolist(), np.split(flags, np.cumsum(windows)[:-1])):
-                found[row] = part
-        upto = np.cumsum([0, *(len(part["ids"]) for part in parts)]).tolist()
-        return [np.packbits(np.concatenate(found[a:b])).tobytes() for a, b in zip(upto[:-1], upto[1:])]
+        del data, symbols
+        found, first = np.concatenate(flags), np.empty_like(windows)
+        first[order] = np.cumsum(windows[order]) - windows[order]
+        return [np.packbits(gathered(found, first[a:b], windows[a:b])).tobytes() for a, b in zip(upto[:-1], upto[1:])]
 
     return answer
 

@@ -166,3 +166,27 @@ def test_span_hashes_do_not_depend_on_place():
     for word, value in zip(words, span_hashes(buffer, starts, ends).tolist()):
         assert by_word.setdefault(word, value) == value
     assert len(set(by_word.values())) == len(by_word)
+
+
+def test_answering_holds_little_beside_the_messages():
+    """A bucket's stretches are worked on a few shares at a time, and told in one array."""
+    import tracemalloc
+
+    from keytide.llm import blocks, repeats
+
+    draw = np.random.default_rng(2)
+    size, many = 70, 60_000
+    texts = draw.integers(97, 123, (many, size), dtype=np.uint8)
+    texts[1::2] = texts[::2]  # each stretch in two documents
+    message = blocks.packed(
+        ids=np.arange(many), sizes=np.full(many, size, np.uint32), offsets=np.full(many, 20, np.uint16),
+        shares=np.repeat(draw.integers(0, 256, many // 2).astype(np.uint8), 2), bytes=texts.ravel(),
+    )
+    answer = repeats._stretches_answered(repeats.Method(50, 16, substrings._read, substrings._compare))
+    answer([message])  # powers are kept between calls
+    tracemalloc.start()
+    flags = np.unpackbits(np.frombuffer(answer([message])[0], np.uint8)).reshape(many, size - 49)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert flags[1::2].all() and not flags[::2].any()
+    assert peak < 60 << 20, peak
