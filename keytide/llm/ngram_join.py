@@ -9,7 +9,8 @@ the product of a block with its first row counts the overlaps of the others.
 
 Components need no more links than join them. So each block is first multiplied with one
 row; rows of one component are done with each other. Rows whose blocks still hold several components after
-that make families (rows that blocks lead to), and a family is multiplied with itself in tiles of bounded size: n-grams
+that make families (rows that blocks lead to), and a family is multiplied with itself in tiles of bounded size. Sizes and
+parities go to the tiles first; n-grams follow only of sets that have a partner in a tile which these allow. N-grams
 are taken a range at a time, overlap counts accumulate, pairs go as soon as their sizes and the n-grams to come cannot
 reach the threshold, and of the links those stay that join two components.
 """
@@ -40,6 +41,7 @@ SIEVE_BITS = 1 << 26  # of the fixed-size filter that spares shuffling rows with
 PROFILE = "doc_id long, text_hash long, n_shingles long, node long, proof long, level int, odd array<long>, odder array<long>"
 PARTS = "part long, node long"
 HASHES = "node long, shingles binary"
+MET = ["large", "bin", "low", "high", "tile", "family", "node", "root"]
 
 
 def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -387,11 +389,56 @@ def _tile_links(per: int, of: int):
     return links
 
 
+def _flips(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """In how many bits each row of ``one`` differs from each of ``other``."""
+    total = np.zeros((len(one), len(other)), np.int32)
+    for k in range(one.shape[1]):
+        total += np.bitwise_count(one[:, k, None] ^ other[:, k])
+    return total
+
+
+def _tile_reach(per: int, of: int):
+    def reach(rows: pd.DataFrame) -> pd.DataFrame:
+        """The sets that may link with one of another component in these tiles, by sizes and parities (see ``_may_link``)."""
+        tile, family, root, n, level = (rows[name].to_numpy() for name in ("tile", "family", "root", "n", "level"))
+        near = np.zeros(len(rows), bool)
+        left, right = np.flatnonzero(tile == rows["low"].iloc[0]), np.flatnonzero(tile == rows["high"].iloc[0])
+        wide = {k: np.stack(rows["odder"].to_numpy()[level == k]).view(np.uint64) for k in np.unique(level).tolist()}
+        # Half as many buckets hold the sums of two that lie half of all apart.
+        narrow = {k: bits[:, : 1 << k] ^ bits[:, 1 << k :] for k, bits in wide.items()}
+        place = np.zeros(len(rows), np.int64)
+        for k in wide:
+            place[level == k] = np.arange(len(wide[k]))
+        for a in np.unique(level[left]).tolist():
+            x = left[level[left] == a]
+            for b in (a - 1, a, a + 1):  # further apart, sizes do not allow a link
+                y = right[level[right] == b]
+                if not len(y):
+                    continue
+                bits = (wide if a < b else narrow)[a][place[x]]
+                other = wide[b] if b < a else narrow[b]
+                for low in range(0, len(y), STEP_ROWS):
+                    some = y[low : low + STEP_ROWS]
+                    total, least = n[some, None] + n[x], np.minimum(n[some, None], n[x])
+                    may = (family[some, None] == family[x]) & (root[some, None] != root[x]) & (least * of >= (total - least) * per)
+                    some_in, x_in = may.any(1), may.any(0)
+                    if not some_in.any():
+                        continue
+                    some, may, total = some[some_in], may[np.ix_(some_in, x_in)], total[np.ix_(some_in, x_in)]
+                    may &= _flips(other[place[some]], bits[x_in]).astype(np.int64) * (of + per) <= total * (of - per)
+                    near[some[may.any(1)]] = True
+                    near[x[x_in][may.any(0)]] = True
+        return rows.loc[near, MET]
+
+    return reach
+
+
 def _family_links(left: DataFrame, traits: DataFrame, hashes, per: int, of: int) -> DataFrame:
     """Links (a, b) that join the components of ``left`` (part, node, root), as many as it takes.
 
     ``hashes(nodes)`` are the n-grams of a table of nodes. Families of at most one tile share tiles; in a larger one, every
-    tile meets every other, so that a set is sent once for each tile of its family, whatever the number of its blocks.
+    tile meets every other, so that a set's size and parities are sent once for each tile of its family, whatever the number
+    of its blocks, and its n-grams once for each tile that holds a set in reach.
     """
     first = left.groupBy("part").agg(F.min("node").alias("a"))
     inside = left.join(first, "part").select("a", F.col("node").alias("b")).where("a <> b").distinct()
@@ -412,7 +459,10 @@ def _family_links(left: DataFrame, traits: DataFrame, hashes, per: int, of: int)
         F.greatest("tile", "other").alias("high"),
         *("tile", "family", "node", "root"),
     )
-    product = met.join(hashes(sets.select("node")), "node").groupBy("large", "bin", "low", "high")
+    sketched = met.join(traits.select("node", "n", F.col("level").cast("int"), "odder"), "node")
+    near = sketched.groupBy("large", "bin", "low", "high").applyInPandas(_tile_reach(per, of), met.select(*MET).schema)
+    near = written_table(near, "reach")
+    product = near.join(hashes(near.select("node")), "node").groupBy("large", "bin", "low", "high")
     return written_table(product.applyInPandas(_tile_links(per, of), "a long, b long"), "links")
 
 

@@ -145,3 +145,24 @@ def test_large_group_of_copies_around_the_threshold(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     found = got(ngram_join.near_documents(docs, words=1, per=90))
     assert found == brute(rows, 1, 90) and 1 < len({component for _, _, component in found}) < 300
+
+
+def test_tiles_get_the_ngrams_of_sets_in_reach_only(spark, monkeypatch):
+    """Unrelated texts share a word and so parts; of them, only sizes and parities go to the tiles."""
+    rows = [(key, " ".join(["common"] + [f"w{key}x{i}" for i in range(40)])) for key in range(60)]
+    rows += [(100 + key, " ".join(text.split()[:38] + ["a", "b", "c"])) for key, text in rows[:4]]
+    asked, whole = [], ngram_join._family_links
+
+    def told(left, traits, hashes, per, of):
+        def spied(nodes):
+            asked.append((left.select("node").distinct().count(), nodes.distinct().count()))
+            return hashes(nodes)
+
+        return whole(left, traits, spied, per, of)
+
+    monkeypatch.setattr(ngram_join, "_family_links", told)
+    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "TILE_SETS", 9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(ngram_join.near_documents(docs, words=1, per=50)) == brute(rows, 1, 50)
+    assert len(asked) == 1 and asked[0][0] > 16 and asked[0][1] == 8
