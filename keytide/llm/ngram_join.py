@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from keytide.llm import blocks as B
 from keytide.llm.blocks import released
 from keytide.llm.components import components
 from keytide.llm.vectors import LOWER, Prefixes, mixed, words_of
@@ -40,6 +41,7 @@ SIEVE_BITS = 1 << 26  # of the fixed-size filter that spares shuffling rows with
 
 PROFILE = "doc_id long, text_hash long, n_shingles long, node long, proof long, level int, odd array<long>, odder array<long>"
 PARTS = "part long, node long"
+ENDS = "bucket long, message binary"
 HASHES = "node long, shingles binary"
 MET = ["large", "bin", "low", "high", "tile", "family", "node", "root"]
 
@@ -203,6 +205,42 @@ def _parted(words: int, per: int, of: int):
     return parted
 
 
+def _ends(part: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct parts, and the least and the largest node of each."""
+    order = np.lexsort((node, part))
+    part, node = part[order], node[order]
+    fresh = np.ones(len(part) + 1, bool)
+    fresh[1:-1] = part[1:] != part[:-1]
+    at = np.flatnonzero(fresh)
+    return part[at[:-1]], node[at[:-1]], node[at[1:] - 1]
+
+
+def _ends_sent(words: int, per: int, of: int, n_buckets: int):
+    """Of each piece of texts one message to a bucket: its parts, and the least and the largest node of each."""
+    parted = _parted(words, per, of)
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in parted(frames):
+            part, low, high = _ends(frame["part"].to_numpy(), frame["node"].to_numpy())
+            twice = np.flatnonzero(low != high)
+            part, node = np.concatenate([part, part[twice]]), np.concatenate([low, high[twice]])
+            bucket = (part.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            both = np.stack([part, node])[:, order]
+            rows = [(b, both[:, x:y].tobytes()) for b, x, y in B.pieces(bucket[order])]
+            yield pd.DataFrame(rows, columns=["bucket", "message"])
+
+    return send
+
+
+def _met(rows: pd.DataFrame) -> pd.DataFrame:
+    """The parts of a bucket that two sets share, and the least node of each."""
+    told = [np.frombuffer(message, np.int64).reshape(2, -1) for message in rows["message"]]
+    part, low, high = _ends(*np.concatenate(told, axis=1))
+    shared = low != high
+    return pd.DataFrame({"part": part[shared], "leader": low[shared]})
+
+
 def _hashed(words: int):
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts in _pieces(frames):
@@ -511,10 +549,13 @@ def near_documents(
     if not sets.where("low <> high").isEmpty():
         raise RuntimeError("two sets have the same 64-bit name")
 
-    # The parts are worked out twice: to see which two sets share, and to fetch the sets that share one.
+    # The parts are worked out twice: to see which two sets share, and to fetch the sets that share one. A row for each
+    # part of each set fills an executor's memory before it leaves a task, so the first time they go to buckets in messages.
+    total = 8 * (sets.agg(F.sum("n")).first()[0] or 0)  # bytes of n-grams
+    ends = chosen.select("text").mapInPandas(_ends_sent(words, per, of, B.buckets_for(total)), ENDS)
+    blocks = B.spread(ends, total, "bucket").groupBy("bucket").applyInPandas(_met, "part long, leader long")
+    blocks = written_table(blocks, "blocks")
     keyed = chosen.select("text").mapInPandas(_parted(words, per, of), PARTS)
-    blocks = keyed.groupBy("part").agg(F.min("node").alias("leader"), F.max("node").alias("most")).where("leader <> most")
-    blocks = written_table(blocks.select("part", "leader"), "blocks")
     members = _sifted(keyed, "part", _sieve(blocks, "part")).join(blocks, "part").distinct()
     members = written_table(members, "members")
     meeting = written_table(members.select("node").distinct(), "meeting")

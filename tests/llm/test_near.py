@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from keytide.llm import ngram_join, queries
@@ -166,3 +168,26 @@ def test_tiles_get_the_ngrams_of_sets_in_reach_only(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(ngram_join.near_documents(docs, words=1, per=50)) == brute(rows, 1, 50)
     assert len(asked) == 1 and asked[0][0] > 16 and asked[0][1] == 8
+
+
+def test_parts_go_to_buckets_in_messages(spark, families, monkeypatch):
+    """No row for each part of each set is grouped or shuffled to find the parts that sets share."""
+    plans, write = {}, ngram_join.written_table
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(ngram_join, "written_table", spied)
+    docs = spark.createDataFrame(families, "doc_id long, text string").repartition(4)
+    assert got(ngram_join.near_documents(docs, words=5, per=80)) == brute(families, 5, 80)
+    assert "Aggregate" not in plans["blocks"] and "message" in plans["blocks"]
+
+
+def test_a_part_costs_a_message_two_sets_at_most():
+    rows = pd.DataFrame({"part": [7] * 50 + [9, 9, 8, -8], "node": [*range(50), 3, 3, -4, 5]})
+    part, low, high = ngram_join._ends(rows["part"].to_numpy(), rows["node"].to_numpy())
+    assert (part.tolist(), low.tolist(), high.tolist()) == ([-8, 7, 8, 9], [5, 0, -4, 3], [5, 49, -4, 3])
+    told = [np.stack([part, low]).tobytes(), np.array([[9, 8], [3, -9]]).tobytes(), np.array([[7], [0]]).tobytes()]
+    met = ngram_join._met(pd.DataFrame({"message": told}))
+    assert met.to_dict("list") == {"part": [8], "leader": [-9]}
