@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from keytide.llm.blocks import released
 from keytide.settings import written_table
 
 CAPACITY, END = 4096, 1
@@ -34,7 +35,7 @@ FILLINGS, FILLING_STEPS = 16, 1000  # fillings tried at a node, the fullest firs
 SEARCHED_ITEMS = 200  # pieces of the patterns that are packed anew at a time, however many bins have them
 RANK_ROWS = 20_000
 KEPT_UNITS = 1_000_000  # units whose ids a worker remembers, some 200 MB
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20  # of text worked on at a time; its units take some ten times that
 
 # Fixed value: how a file cuts words from marks, as it stands there.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
@@ -460,8 +461,10 @@ def tokenized(
                 if size >= PIECE_BYTES:
                     yield frame(keys, texts)
                     keys, texts, size = [], [], 0
+                    released()
             if keys:
                 yield frame(keys, texts)
+            released()
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return chosen.mapInPandas(pieces, PIECES + (", ids array<int>" if ids else ""))

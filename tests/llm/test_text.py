@@ -7,6 +7,7 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -507,3 +508,18 @@ def test_folded_units_encode_as_the_library_does(kept, monkeypatch):
     library = Tokenizer.from_file(WORDS)
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_worker_splits_little_text_at_a_time(spark, monkeypatch):
+    """Split, a text takes many times its size, so few megabytes are split at once, whatever the batch."""
+
+    class Docs:  # keeps what would run in the tasks
+        select = lambda self, *_: self
+        mapInPandas = lambda self, work, _: work
+
+    seen, encode = [], packing._Encoder.encode
+    monkeypatch.setattr(packing._Encoder, "encode", lambda self, texts: [seen.append(sum(map(len, texts)))] and encode(self, texts))
+    rows = pd.DataFrame({"doc_id": range(60), "text": ["some words " * 10_000] * 60})
+    found = pd.concat(packing.tokenized(Docs(), WORDS)(iter([rows])))
+    assert sum(seen) == 60 * 110_000 and max(seen) < 3 << 20
+    assert found.groupby("doc_id")["length"].sum().nunique() == 1 and found["doc_id"].nunique() == 60
