@@ -161,7 +161,7 @@ def _stretches_sent(method: Method, n_buckets: int):
                 block = B.Block(payload)
                 runs = _runs(method, block, n_buckets)
                 found = _stretches(runs, block.ids, _shared(runs, B.by_bucket(reply)), n_buckets)
-                symbols, rows = runs.symbols, []
+                symbols, rows, within = runs.symbols, [], runs.place - runs.first
                 message = head = begin = end = None
                 for bucket, low, high in B.pieces(found.bucket):
                     head = found.head[low:high]
@@ -171,13 +171,13 @@ def _stretches_sent(method: Method, n_buckets: int):
                     message = B.packed(
                         ids=block.ids[runs.owner[head]],
                         sizes=(end - begin).astype(np.uint32),
-                        offsets=(runs.place - runs.first)[head].astype(np.uint16),
+                        offsets=within[head].astype(np.uint16),
                         shares=(runs.seed[head] >> np.uint64(56)).astype(np.uint8),
                         bytes=gathered(symbols.buffer, begin, end - begin),
                     )
                     rows.append((bucket, number, message))
                 yield pd.DataFrame(rows, columns=["bucket", "block", "message"])
-                del block, runs, found, symbols, rows, message, head, begin, end  # before the next block is read
+                del block, runs, found, symbols, rows, within, message, head, begin, end  # before the next block is read
                 B.released()
 
     return send

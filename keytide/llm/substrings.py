@@ -122,11 +122,11 @@ def _compare(symbols: Symbols, ids: np.ndarray, offsets: np.ndarray, window: int
             named[order] = np.cumsum(share < length)
             classes.append(named)
         key = (classes[0] * (len(ids) + 1) + classes[1])[active]
-        order = np.lexsort((ids[active], key))
+        order = np.argsort(key, kind="stable")
         fresh = np.ones(len(order), bool)
         fresh[1:] = key[order][1:] != key[order][:-1]
         owner = ids[active][order]
-        least = owner[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        least = np.minimum.reduceat(owner, np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         hit = active[order[owner > least]]
         flags[first_window[hit] + offsets[hit] - back] = True
     return flags

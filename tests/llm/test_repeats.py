@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from keytide.llm import passages, queries, substrings
+from keytide.llm import blocks, passages, queries, substrings
 from keytide.llm.vectors import span_hashes, winnowed, word_spans
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -190,3 +190,18 @@ def test_answering_holds_little_beside_the_messages():
     tracemalloc.stop()
     assert flags[1::2].all() and not flags[::2].any()
     assert peak < 60 << 20, peak
+
+
+def test_a_message_of_few_keys_is_small():
+    """Every block sends every bucket a message, so what each costs beside its arrays counts."""
+    held = {
+        "ids": np.arange(5) * 977,
+        "sizes": np.full(5, 80, np.uint32),
+        "offsets": np.arange(5, dtype=np.uint16),
+        "flags": np.arange(5, dtype=np.uint8),
+        "none": np.zeros(0, np.int64),
+    }
+    message = blocks.packed(**held)
+    told = blocks.unpacked(message)
+    assert len(message) < 250
+    assert list(told) == list(held) and all(told[k].dtype == v.dtype and np.array_equal(told[k], v) for k, v in held.items())
