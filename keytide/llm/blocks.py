@@ -81,13 +81,36 @@ def share_bytes(total: int) -> int:
     return max(LEAST_BYTES, math.isqrt(MESSAGE_KEYS * total))
 
 
-def released() -> None:
-    """Give freed memory back, so that a worker does not keep the peaks of earlier blocks."""
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What a worker keeps from one task to the next, until one of another kind says ``released``."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def released(*names: str) -> None:
+    """Give freed memory back, so that a worker does not keep the peaks of earlier blocks, nor what tasks of another kind
+    have left there: only what is kept under these names stays."""
+    for name in _kept.keys() - {*names}:
+        del _kept[name]
     pa.default_memory_pool().release_unused()
     if _libc is not None:
         _libc.malloc_trim(0)
 
 
+def portions(texts: pa.Array, size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The first place and the texts of stretches of about ``size`` bytes, as UTF-8 (empty for null)."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low, base = 0, 0
+    while low < len(texts):
+        high = min(int(np.searchsorted(upto, base + size)) + 1, len(texts))
+        yield low, [text or b"" for text in texts.slice(low, high - low).cast(pa.large_binary()).to_pylist()]
+        low, base = high, int(upto[high - 1])
+
+
 def in_blocks(
     docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = (), shares: float = 0.5
 ) -> tuple[DataFrame, int]:

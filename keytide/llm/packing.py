@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from keytide.llm.blocks import released
+from keytide.llm.blocks import kept, released
 from keytide.settings import written_table
 
 CAPACITY, END = 4096, 1
@@ -415,13 +415,8 @@ def _kinds(part) -> list[str]:
     return [one["type"] for one in part["normalizers"]] if part and part["type"] == "Sequence" else [part["type"]] if part else []
 
 
-_encoders: dict[str, _Encoder] = {}
-
-
 def _encoder(path: str) -> _Encoder:
-    if path not in _encoders:
-        _encoders[path] = _Encoder(path)
-    return _encoders[path]
+    return kept(path, lambda: _Encoder(path))
 
 
 def tokenized(
@@ -461,10 +456,10 @@ def tokenized(
                 if size >= PIECE_BYTES:
                     yield frame(keys, texts)
                     keys, texts, size = [], [], 0
-                    released()
+                    released(path)
             if keys:
                 yield frame(keys, texts)
-            released()
+            released(path)
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return chosen.mapInPandas(pieces, PIECES + (", ids array<int>" if ids else ""))

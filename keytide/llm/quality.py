@@ -14,12 +14,13 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from keytide.llm.blocks import portions, released
 from keytide.llm.vectors import Prefixes, covered, mixed, span_hashes, words_of
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20  # of text worked on at a time; its words and windows take some thirty times that
 SAMPLE_ROWS = 2000
 MIN_WORDS, MOST_REPEATED_PERCENT, REPEAT_WORDS = 50, 50, 3
 
@@ -128,17 +129,12 @@ MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 MEASURES += ", base_failed boolean, kept boolean"
 
 
-def _batches(texts: pd.Series) -> Iterator[Batch]:
-    """Some megabytes of texts at a time."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text.encode() if isinstance(text, str) else b"")
-        size += len(held[-1])
-        if size >= PIECE_BYTES:
-            yield Batch(held)
-            held, size = [], 0
-    if held:
+def _batches(texts: pa.Array) -> Iterator[Batch]:
+    """About a megabyte of texts at a time; what the one before took is given back first."""
+    released()
+    for _, held in portions(texts, PIECE_BYTES):
         yield Batch(held)
+        released()
 
 
 def _base_failed(batch: Batch) -> np.ndarray:
@@ -154,17 +150,17 @@ def cascade_order(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[R
     rows = docs.count()
     every = F.pmod(F.xxhash64(id_col, text_col), F.lit(max(1, rows // SAMPLE_ROWS))) == 0
 
-    def tried(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (batch for frame in frames for batch in _batches(frame["text"])):
+    def tried(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (batch for frame in frames for batch in _batches(frame.column(0))):
             batch = batch.rows(np.flatnonzero(~_base_failed(batch)))
             for rule in rules:
                 own = batch.rows(np.arange(batch.size))  # nothing worked out by another rule
                 began = time.perf_counter()
                 gone = int(np.count_nonzero(rule.rejects(own)))
-                yield pd.DataFrame({"rule": [rule.name], "gone": [gone], "seconds": [time.perf_counter() - began]})
+                yield pa.RecordBatch.from_pydict({"rule": [rule.name], "gone": [gone], "seconds": [time.perf_counter() - began]})
 
     sample = docs.where(every).select(F.col(text_col).cast("string").alias("text"))
-    tried_rules = sample.mapInPandas(tried, "rule string, gone long, seconds double")
+    tried_rules = sample.mapInArrow(tried, "rule string, gone long, seconds double")
     figures = tried_rules.groupBy("rule").agg(F.sum("gone").alias("gone"), F.sum("seconds").alias("seconds")).collect()
     worth = {row["rule"]: row["gone"] / max(row["seconds"], 1e-9) for row in figures}
     return sorted((rule.name for rule in rules), key=lambda name: -worth.get(name, 0.0))
@@ -190,26 +186,25 @@ def verdicts(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[Rule]
     order = cascade_order(docs, id_col, text_col, rules)
     cascade = sorted(rules, key=lambda rule: order.index(rule.name))
 
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        parts = []
+    def measured(texts: pa.Array) -> pa.Array:
+        fields = [(name, {"long": pa.int64(), "boolean": pa.bool_()}[kind]) for name, kind in map(str.split, MEASURES.split(", "))]
+        parts = [pa.array([], pa.struct(fields))]
         for batch in _batches(texts):
             failed = _base_failed(batch)
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "n_words": batch.n_words,
-                        "word_chars": batch.word_chars,
-                        "n_symbols": batch.n_symbols,
-                        "n_dup_lines": batch.n_dup_lines,
-                        "n_repeat_words": batch.n_repeat_words,
-                        "base_failed": failed,
-                        "kept": ~failed & ~_rejected(batch, ~failed, cascade),
-                    }
-                )
-            )
-        return pd.concat(parts) if parts else pd.DataFrame(columns=[field.split()[0] for field in MEASURES.split(", ")])
-
-    return F.pandas_udf(measured, MEASURES)(F.col(text_col).cast("string"))
+            columns = {
+                "n_words": batch.n_words,
+                "word_chars": batch.word_chars,
+                "n_symbols": batch.n_symbols,
+                "n_dup_lines": batch.n_dup_lines,
+                "n_repeat_words": batch.n_repeat_words,
+                "base_failed": failed,
+                "kept": ~failed & ~_rejected(batch, ~failed, cascade),
+            }
+            parts.append(pa.StructArray.from_arrays([pa.array(columns[name], kind) for name, kind in fields], [name for name, _ in fields]))
+            del batch, columns  # before it is given back
+        return pa.concat_arrays(parts)
+
+    return F.arrow_udf(measured, MEASURES)(F.col(text_col).cast("string"))
 
 
 def rate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:

@@ -9,9 +9,10 @@ import time
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from keytide.llm import chat, fingerprints, packing, pieces, quality, token_counts, warc
+from keytide.llm import blocks, chat, fingerprints, packing, pieces, quality, token_counts, warc
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -308,6 +309,30 @@ def test_odd_documents_are_rated(spark, odd, empty):
     assert quality.kept(odd).columns == odd.columns
 
 
+def test_a_worker_rates_little_text_at_a_time(spark, monkeypatch):
+    """Measured, a text takes many times its size; little is measured at once, and memory is given back in between."""
+    seen, batch, released = [], quality.Batch.__init__, quality.released
+    monkeypatch.setattr(quality.Batch, "__init__", lambda self, texts: [seen.append(sum(map(len, texts)))] and batch(self, texts))
+    monkeypatch.setattr(quality, "released", lambda: [seen.append(None)] and released())
+    texts = [None, "", *["some words " * 10_000] * 30, None]
+    found = [one.n_words.tolist() for one in quality._batches(pa.array(texts))]
+    assert sum(found, []) == [0, 0, *[20_000] * 30, 0]
+    sizes = [size for size in seen if size is not None]
+    assert sum(sizes) == 30 * 110_000 and max(sizes) < 3 << 19
+    assert seen[::2] == [None] * (len(sizes) + 1)
+
+
+def test_other_tasks_do_not_hold_what_a_tokenizer_kept():
+    """A worker runs tasks of all stages one after the other."""
+    encoder = packing._encoder(WORDS)
+    blocks.released(WORDS)
+    assert packing._encoder(WORDS) is encoder
+    list(quality._batches(pa.array(["some words"])))
+    assert blocks.kept(WORDS, lambda: None) is None
+    blocks.released()
+    assert packing._encoder(WORDS) is not encoder
+
+
 def test_classes_meet_behind_unlike_smaller_ones(spark):
     """Every band of b and c has smaller, unlike classes: the first 80 of 128 steps are the same in all."""
     draw = random.Random(4)
