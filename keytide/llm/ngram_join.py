@@ -9,8 +9,9 @@ the product of a block with its first row counts the overlaps of the others.
 
 Components need no more links than join them. So each block is first multiplied with one
 row; rows of one component are done with each other. Rows whose blocks still hold several components after
-that make families (rows that blocks lead to), and a family is multiplied with itself in tiles of bounded size. Sizes and
-parities go to the tiles first; n-grams follow only of sets that have a partner in a tile which these allow. N-grams
+that make families (rows that blocks of one size class lead to). Sizes and parities of a family's rows are compared first:
+all with each other in tiles of bounded size, or block by block where that sends less. Rows that these allow
+to link make new families, mostly far smaller, which are multiplied with themselves in tiles. N-grams
 are taken a range at a time, overlap counts accumulate, pairs go as soon as their sizes and the n-grams to come cannot
 reach the threshold, and of the links those stay that join two components.
 """
@@ -33,17 +34,21 @@ from keytide.settings import written_table
 PIECE_BYTES = 1 << 20  # of text worked on at a time; its n-grams and parts take some ten times that
 LEADER_ROUNDS = 2
 CHUNK_ROWS, CHUNK_BYTES = 4096, 32 << 20  # sets multiplied with one leader in one go, and their n-grams
-TILE_SETS, TILE_BYTES = 2048, 8 << 20  # of a family, multiplied with another tile in one go
+TILE_SETS, TILE_BYTES = 2048, 8 << 20  # of a family, compared or multiplied with another tile in one go
 STEP_ROWS, STEP_ENTRIES = 256, 1 << 21  # rows of a tile, and products of entries, counted at a time
+STEP_PAIRS, STEP_WORDS = 1 << 18, 1 << 19  # pairs of sets, and words of their parities, compared at a time
+ROW_BYTES = 64  # of a set that goes to a tile, besides its parities
 RANGES = 4  # of n-gram hashes, one after the other
 
+KIND_BITS = 8  # the uppermost of a part's key tell the size class it was dealt for
+
 SIEVE_BITS = 1 << 26  # of the fixed-size filter that spares shuffling rows without a partner
 
 PROFILE = "doc_id long, text_hash long, n_shingles long, node long, proof long, level int, odd array<long>, odder array<long>"
 PARTS = "part long, node long"
 ENDS = "bucket long, message binary"
 HASHES = "node long, shingles binary"
-MET = ["large", "bin", "low", "high", "tile", "family", "node", "root"]
+MET = ["large", "bin", "low", "high"]
 
 
 def _pieces(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -104,6 +109,12 @@ def size_classes(most: int, per: int, of: int) -> np.ndarray:
     return np.array(ends)
 
 
+def _of_kind(keys: np.ndarray, kind) -> np.ndarray:
+    """Keys that tell the size class; classes beyond the last number share it."""
+    tag = np.minimum(kind, (1 << KIND_BITS) - 1).astype(np.uint64) << np.uint64(64 - KIND_BITS)
+    return keys >> np.uint64(KIND_BITS) | tag
+
+
 def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np.ndarray]:
     """For each set the keys of its parts, in its size class and, near the upper end, the next.
 
@@ -134,7 +145,7 @@ def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np
         filled[slot] = True
         tag = np.repeat(kind, parts).astype(np.uint64) << np.uint64(32)
         number = np.arange(len(sums)) - np.repeat(first, parts)
-        keys = mixed(sums + mixed(tag + number.astype(np.uint64)))
+        keys = _of_kind(mixed(sums + mixed(tag + number.astype(np.uint64))), np.repeat(kind, parts))
         enough = np.add.reduceat(filled, first) > differ
         for i, row in enumerate(chosen):
             low, high = first[i], first[i] + parts[i]
@@ -142,7 +153,7 @@ def _parts(hashes: np.ndarray, bounds: np.ndarray, per: int, of: int) -> list[np
             if not enough[i]:
                 least = int(size[row] - -(-size[row] * per // of) + 1)
                 members = hashes[bounds[row] : bounds[row] + least]
-                found[row].append(mixed(members ^ mixed(np.uint64([kind[i]]) + np.uint64(1 << 40))))
+                found[row].append(_of_kind(mixed(members ^ mixed(np.uint64([kind[i]]) + np.uint64(1 << 40))), kind[i]))
     return [np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64) for keys in found]
 
 
@@ -299,10 +310,10 @@ def _linked(pairs: DataFrame, hashes: DataFrame, per: int, of: int) -> DataFrame
     # Few leaders have many members; their chunks, and so their copies, follow the number and size of the members.
     chunks = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_ROWS, 8 * F.sum("n") / CHUNK_BYTES))
     per_leader = pairs.groupBy("leader").agg(chunks.alias("chunks"))
-    chunked = pairs.join(per_leader, "leader").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    chunked = pairs.join(per_leader.hint("merge"), "leader").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
     bucket = F.pmod(F.xxhash64("leader", "chunk"), F.lit(buckets)).alias("bucket")
     leaders = per_leader.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    leaders = leaders.join(hashes.withColumnRenamed("node", "leader"), "leader")
+    leaders = leaders.join(hashes.withColumnRenamed("node", "leader").hint("merge"), "leader")
     # A leader may have several chunks in one bucket; its hashes are needed there once.
     leaders = leaders.select(bucket, "leader", "shingles").dropDuplicates(["bucket", "leader"])
     members = chunked.join(hashes, "node").select(
@@ -427,80 +438,132 @@ def _tile_links(per: int, of: int):
     return links
 
 
-def _flips(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """In how many bits each row of ``one`` differs from each of ``other``."""
-    total = np.zeros((len(one), len(other)), np.int32)
-    for k in range(one.shape[1]):
-        total += np.bitwise_count(one[:, k, None] ^ other[:, k])
-    return total
+def _folded(bits: np.ndarray, level: int) -> np.ndarray:
+    """Parities of 64 * 2^level buckets, from rows of those of more: a bucket holds the sums of the buckets it is made of."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, 1 << level), axis=1)
 
 
 def _tile_reach(per: int, of: int):
     def reach(rows: pd.DataFrame) -> pd.DataFrame:
-        """The sets that may link with one of another component in these tiles, by sizes and parities (see ``_may_link``)."""
-        tile, family, root, n, level = (rows[name].to_numpy() for name in ("tile", "family", "root", "n", "level"))
-        near = np.zeros(len(rows), bool)
-        left, right = np.flatnonzero(tile == rows["low"].iloc[0]), np.flatnonzero(tile == rows["high"].iloc[0])
-        wide = {k: np.stack(rows["odder"].to_numpy()[level == k]).view(np.uint64) for k in np.unique(level).tolist()}
-        # Half as many buckets hold the sums of two that lie half of all apart.
-        narrow = {k: bits[:, : 1 << k] ^ bits[:, 1 << k :] for k, bits in wide.items()}
-        place = np.zeros(len(rows), np.int64)
-        for k in wide:
-            place[level == k] = np.arange(len(wide[k]))
-        for a in np.unique(level[left]).tolist():
-            x = left[level[left] == a]
-            for b in (a - 1, a, a + 1):  # further apart, sizes do not allow a link
-                y = right[level[right] == b]
-                if not len(y):
-                    continue
-                bits = (wide if a < b else narrow)[a][place[x]]
-                other = wide[b] if b < a else narrow[b]
-                for low in range(0, len(y), STEP_ROWS):
-                    some = y[low : low + STEP_ROWS]
-                    total, least = n[some, None] + n[x], np.minimum(n[some, None], n[x])
-                    may = (family[some, None] == family[x]) & (root[some, None] != root[x]) & (least * of >= (total - least) * per)
-                    some_in, x_in = may.any(1), may.any(0)
-                    if not some_in.any():
-                        continue
-                    some, may, total = some[some_in], may[np.ix_(some_in, x_in)], total[np.ix_(some_in, x_in)]
-                    may &= _flips(other[place[some]], bits[x_in]).astype(np.int64) * (of + per) <= total * (of - per)
-                    near[some[may.any(1)]] = True
-                    near[x[x_in][may.any(0)]] = True
-        return rows.loc[near, MET]
+        """Pairs of sets of a family, but of two components, that sizes and parities allow to link (see ``_may_link``):
+        as many as it takes to lead from each such set to all that it may link with."""
+        rows = rows.sort_values(["family", "n"])
+        tile, node, root, n, level = (rows[name].to_numpy() for name in ("tile", "node", "root", "n", "level"))
+        family, base = np.unique(rows["family"].to_numpy(), return_inverse=True)[1], int(n.max()) + 1
+        key, most = family * base + n, np.minimum(n * of // per, base - 1)
+        if rows["low"].iloc[0] == rows["high"].iloc[0]:
+            x = y = np.arange(len(rows))
+            begin = x + 1
+        else:
+            x, y = np.flatnonzero(tile == rows["low"].iloc[0]), np.flatnonzero(tile == rows["high"].iloc[0])
+            begin = np.searchsorted(key[y], family[x] * base - (-n[x] * per // of))
+        many = np.maximum(np.searchsorted(key[y], family[x] * base + most[x], "right") - begin, 0)
+
+        parities, held = {}, rows["bits"].to_numpy()
+        for k in np.unique(level).tolist():
+            place, own = np.zeros(len(rows), np.int64), []
+            for more in np.unique(level[level >= k]).tolist():
+                at = np.flatnonzero(level == more)
+                place[at] = np.arange(len(at)) + sum(map(len, own))
+                own.append(_folded(np.stack(held[at]).view(np.uint64), k))
+            parities[k] = place, np.concatenate(own)
+
+        def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            may, least = np.zeros(len(a), bool), np.minimum(level[a], level[b])
+            for k in np.unique(least).tolist():
+                at, (place, bits) = np.flatnonzero(least == k), parities[k]
+                step = max(1, STEP_WORDS >> k)
+                for low in range(0, len(at), step):
+                    some = at[low : low + step]
+                    one, other = a[some], b[some]
+                    flips = np.bitwise_count(bits[place[one]] ^ bits[place[other]]).sum(1, dtype=np.int64)
+                    may[some] = flips * (of + per) <= (n[one] + n[other]) * (of - per)
+            return may
+
+        labels, out, upto, done = _Labels(node), [], np.cumsum(many), 0
+        while done < len(x):
+            stop = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + STEP_PAIRS, "right")))
+            size = many[done:stop]
+            a = np.repeat(x[done:stop], size)
+            b = y[np.repeat(begin[done:stop] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            apart = (root[a] != root[b]) & (labels.of[a] != labels.of[b])
+            a, b = a[apart], b[apart]
+            may = near(a, b)
+            a, b = a[may], b[may]
+            if len(a):
+                fresh = labels.joined(a, b)
+                out.extend(zip(node[a[fresh]].tolist(), node[b[fresh]].tolist()))
+            done = stop
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     return reach
 
 
-def _family_links(left: DataFrame, traits: DataFrame, hashes, per: int, of: int) -> DataFrame:
-    """Links (a, b) that join the components of ``left`` (part, node, root), as many as it takes.
+def _tiles(sets: DataFrame, load: DataFrame) -> DataFrame:
+    """The sets (family, node, root, bytes), each with its row of ``load`` (node ...), once for each tile of its family.
 
-    ``hashes(nodes)`` are the n-grams of a table of nodes. Families of at most one tile share tiles; in a larger one, every
-    tile meets every other, so that a set's size and parities are sent once for each tile of its family, whatever the number
-    of its blocks, and its n-grams once for each tile that holds a set in reach.
+    Families of at most one tile share tiles. What a set brings along joins before its row is repeated: Spark would size the
+    repeated rows by the single ones, and might broadcast them.
     """
-    first = left.groupBy("part").agg(F.min("node").alias("a"))
-    inside = left.join(first, "part").select("a", F.col("node").alias("b")).where("a <> b").distinct()
-    family = components(inside).withColumnRenamed("root", "family")
-    sets = left.select("node", "root").distinct().join(family, "node").join(traits.select("node", "n"), "node")
-    sets = written_table(sets, "apart")
-    size = F.greatest(F.count(F.lit(1)) / TILE_SETS, 8 * F.sum("n") / TILE_BYTES)
-    rows, grams = sets.agg(F.count(F.lit(1)), F.sum("n")).first()
-    bins = max(1, rows // TILE_SETS, 8 * grams // TILE_BYTES)
-    tiled = sets.join(sets.groupBy("family").agg(F.ceil(size).alias("tiles")), "family")
+    rows, held = sets.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    bins = max(1, rows // TILE_SETS, (held or 0) // TILE_BYTES)
+    size = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_SETS, F.sum("bytes") / TILE_BYTES))
+    tiled = sets.join(sets.groupBy("family").agg(size.alias("tiles")), "family")
     own_bin = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
     tiled = tiled.withColumn("bin", own_bin).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    tiled = tiled.join(load.hint("merge"), "node")
     met = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    met = met.select(
+    return met.select(
         (F.col("tiles") > 1).alias("large"),
         "bin",
         F.least("tile", "other").alias("low"),
         F.greatest("tile", "other").alias("high"),
         *("tile", "family", "node", "root"),
+        *[name for name in load.columns if name != "node"],
     )
-    sketched = met.join(traits.select("node", "n", F.col("level").cast("int"), "odder"), "node")
-    near = sketched.groupBy("large", "bin", "low", "high").applyInPandas(_tile_reach(per, of), met.select(*MET).schema)
-    near = written_table(near, "reach")
-    product = near.join(hashes(near.select("node")), "node").groupBy("large", "bin", "low", "high")
+
+
+def _sketches(traits: DataFrame) -> DataFrame:
+    """(node, n, level, bits, bytes): parities of at least four times as many buckets as two linked sets of a size differ in."""
+    level, words = F.greatest(F.col("level").cast("int") - 1, F.lit(0)), F.size("odder") / F.when(F.col("level") > 0, 4).otherwise(2)
+    part = lambda k: F.slice("odder", (words * k + 1).cast("int"), words.cast("int"))
+    both = lambda a, b: F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    half = both(part(0), part(1))
+    bits = F.when(F.col("level") > 0, both(half, both(part(2), part(3)))).otherwise(half)
+    return traits.select("node", "n", level.alias("level"), bits.alias("bits"), (words * 8 + ROW_BYTES).cast("long").alias("bytes"))
+
+
+def _family_links(left: DataFrame, traits: DataFrame, hashes, per: int, of: int) -> DataFrame:
+    """Links (a, b) that join the components of ``left`` (part, node, root), as many as it takes.
+
+    ``hashes(nodes)`` are the n-grams of a table of nodes. In a family of several tiles every tile meets every other, so that a
+    set's size and parities are sent once for each. If that is more than once for each of its blocks, the blocks
+    take the place of the family: what is sent follows the rows of ``left`` then, not their square. N-grams go to the tiles of
+    the families that sets in reach of each other make, once for each tile.
+    """
+    # A set may have parts of two classes; sets that may link share one of the same class. Files hold repeated parts and nodes
+    # in few bytes, by which Spark would take their rows for few enough to broadcast.
+    own = left.select("part", "node", "root", F.xxhash64("node", F.shiftrightunsigned("part", 64 - KIND_BITS)).alias("member"))
+    first = own.groupBy("part").agg(F.min("member").alias("a"))
+    inside = own.join(first.hint("merge"), "part").select("a", F.col("member").alias("b")).where("a <> b").distinct()
+    family = components(inside).withColumnsRenamed({"node": "member", "root": "family"})
+    sketches = written_table(_sketches(traits.join(left.select("node").distinct(), "node", "left_semi")), "sketches")
+    sets = own.groupBy("member", "node", "root").agg(F.count(F.lit(1)).alias("blocks"))
+    sets = written_table(sets.join(family, "member").join(sketches.select("node", "bytes"), "node"), "apart")
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_SETS, F.sum("bytes") / TILE_BYTES))
+    costs = sets.groupBy("family").agg((tiles * F.sum("bytes") > F.sum(F.col("bytes") * F.col("blocks"))).alias("by_part"))
+    sets = sets.join(costs, "family")
+    whole = sets.where("not by_part").select("family", "node", "root", "bytes")
+    parted = own.join(sets.where("by_part").select("member", "bytes").hint("merge"), "member")
+    met = whole.unionByName(parted.select(F.col("part").alias("family"), "node", "root", "bytes"))
+    met = _tiles(written_table(met, "met"), sketches.drop("bytes"))
+    reach = written_table(met.groupBy(*MET).applyInPandas(_tile_reach(per, of), "a long, b long"), "reach")
+    if reach.isEmpty():
+        return reach
+    near = components(reach).withColumnRenamed("root", "family").join(left.select("node", "root").distinct(), "node")
+    near = near.join(traits.select("node", (F.col("n") * 8).alias("bytes")), "node")
+    near = written_table(near.select("family", "node", "root", "bytes"), "near")
+    product = _tiles(near, hashes(near.select("node"))).groupBy(*MET)
     return written_table(product.applyInPandas(_tile_links(per, of), "a long, b long"), "links")
 
 
@@ -556,7 +619,7 @@ def near_documents(
     blocks = B.spread(ends, total, "bucket").groupBy("bucket").applyInPandas(_met, "part long, leader long")
     blocks = written_table(blocks, "blocks")
     keyed = chosen.select("text").mapInPandas(_parted(words, per, of), PARTS)
-    members = _sifted(keyed, "part", _sieve(blocks, "part")).join(blocks, "part").distinct()
+    members = _sifted(keyed, "part", _sieve(blocks, "part")).join(blocks.hint("merge"), "part").distinct()
     members = written_table(members, "members")
     meeting = written_table(members.select("node").distinct(), "meeting")
     traits = _sifted(profiles.where("n_shingles > 0"), "node", _sieve(meeting, "node")).join(meeting, "node", "left_semi")
@@ -581,14 +644,14 @@ def near_documents(
             links = _linked(pairs, hashes, per, of)
             roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         # A leader is done with its block; of the rest, blocks that hold more than one component go on.
-        rest = left.where("node <> leader").select("part", "node").join(roots, "node", "left")
+        rest = left.where("node <> leader").select("part", "node").join(roots.hint("merge"), "node", "left")
         rest = rest.withColumn("root", F.coalesce("root", "node"))
         first = F.min(F.struct("node", "root"))
         apart = rest.groupBy("part").agg(F.min("root").alias("x"), F.max("root").alias("y"), first.alias("first"))
         apart = apart.where("x <> y").select(
             "part", F.col("first.node").alias("leader"), F.col("first.root").alias("leader_root")
         )
-        left = written_table(rest.join(apart, "part"), "left")
+        left = written_table(rest.join(apart.hint("merge"), "part"), "left")
         if left.isEmpty():
             break
     else:
