@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -191,3 +192,57 @@ def test_a_part_costs_a_message_two_sets_at_most():
     told = [np.stack([part, low]).tobytes(), np.array([[9, 8], [3, -9]]).tobytes(), np.array([[7], [0]]).tobytes()]
     met = ngram_join._met(pd.DataFrame({"message": told}))
     assert met.to_dict("list") == {"part": [8], "leader": [-9]}
+
+
+def overlapping(n: int, width: int) -> list[tuple]:
+    """Texts of which each shares some words with the next ones only; all parts lead to one family, and none link."""
+    return [(key, " ".join(f"w{5 * key + i}" for i in range(width))) for key in range(n)]
+
+
+def test_sizes_and_parities_go_to_blocks_where_tiles_would_be_more(spark, monkeypatch, tmp_path):
+    """What is compared follows the parts of the sets left apart, not the square of their number."""
+    met, whole = {}, ngram_join._tile_reach
+
+    def counting(folder):
+        def made(per, of):
+            reach = whole(per, of)
+
+            def told(rows):
+                with open(tempfile.mkstemp(dir=folder)[1], "w") as file:
+                    file.write(str(len(rows)))
+                return reach(rows)
+
+            return told
+
+        return made
+
+    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "TILE_SETS", 4)
+    for n in (60, 240):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        monkeypatch.setattr(ngram_join, "_tile_reach", counting(str(folder)))
+        rows = overlapping(n, 25)
+        rows += [(1000 + key, f"{text} z") for key, text in rows[::9]]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert got(ngram_join.near_documents(docs, words=1, per=80)) == brute(rows, 1, 80)
+        met[n] = sum(int(file.read_text()) for file in folder.iterdir())
+    assert 0 < met[240] < 6 * met[60]
+
+
+def test_no_join_after_rows_are_repeated_for_tiles(spark, families, monkeypatch):
+    """Spark sizes exploded rows by those before, and would broadcast them."""
+    plans, write = {}, ngram_join.written_table
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(ngram_join, "written_table", spied)
+    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 0)
+    docs = spark.createDataFrame(families, "doc_id long, text string").repartition(4)
+    ngram_join.near_documents(docs, words=3, per=90)
+    for name in ("reach", "links"):
+        above = plans[name].partition("Generate explode")
+        assert above[1] and "Join" not in above[0], name
+        assert "leftHint" in above[2] or "rightHint" in above[2] or "strategy=merge" in above[2]
