@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units that no piece crosses. Of the distinct units all substrings up to the longest piece's
+Texts are cut into units that no piece crosses, and the distinct ones between characters that no piece has beside each other. Of the distinct units all substrings up to the longest piece's
 length are exploded and joined to the piece table; the matches are a unit's edges. Grouped by unit, they are
 folded by a higher-order ``aggregate`` in the way of the file's model: for a unigram model the path of the best
 total score (Viterbi), for a BPE model the merges, best piece first, since there the best path is not what the
@@ -28,9 +28,15 @@ SPACE = "▁"
 BITS = 60  # units up to so many characters are folded with their cuts in one number
 BLOCK_SHARES = 4  # large blocks repeat fewer units
 LATTICE_UNITS = 40_000  # units per task, so that their edges stay in memory
+PAIRS = 1 << 22  # places for pairs of characters
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs beyond the worst piece
 
 
+def _pairs(codes: np.ndarray) -> np.ndarray:
+    """Of each character and the next a place below PAIRS."""
+    return (codes[:-1] * np.uint32(0x9E3779B1) >> np.uint32(7) ^ codes[1:]) & np.uint32(PAIRS - 1)
+
+
 @dataclass(frozen=True)
 class Model:
     """What the encoder needs of a model file: the ordinary pieces, byte pieces and the kind of model."""
@@ -59,6 +65,25 @@ class Model:
             return re.compile(f"{SPACE}+|[^{SPACE}]")
         return re.compile(f"{SPACE}*[{self._joining}]+|{SPACE}+|[^{SPACE}{self._joining}]")
 
+    @cached_property
+    def _beside(self) -> np.ndarray:
+        """Which pairs of characters some piece has beside each other, by hash: others may seem so, which only spares a cut."""
+        text = " ".join(p for p, ok in zip(self.pieces, self.ordinary) if ok)
+        held = np.zeros(PAIRS, bool)
+        held[_pairs(np.frombuffer(text.encode("utf-32-le"), np.uint32))] = True
+        return held
+
+    def split(self, units: list[str]) -> tuple[list[str], np.ndarray]:
+        """The units cut between characters that are beside each other in no piece: the parts, and where each unit's begin."""
+        text = "".join(units)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        starts = np.cumsum([0, *map(len, units)])
+        fresh = np.ones(len(codes) + 1, bool)
+        fresh[1:-1] = ~self._beside[_pairs(codes)]
+        fresh[starts] = True
+        at = np.flatnonzero(fresh)
+        return [text[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.searchsorted(at, starts)
+
     def cut(self, text: str) -> list[str]:
         if not text:
             return []
@@ -114,7 +139,10 @@ def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
         "node", "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("length")
     )
     parts = spans.select("node", "start", "length", F.substring("unit", F.col("start") + 1, F.col("length")).alias("piece"))
-    edges = parts.join(F.broadcast(table), "piece").select("node", F.struct("rank", "start", "length", "id", "score").alias("e"))
+    # A number as the only key is met much faster than text; the text is compared after that, in a form that is no key.
+    keyed = table.withColumnRenamed("piece", "known").withColumn("key", F.xxhash64("known"))
+    same = (F.xxhash64("piece") == F.col("key")) & (F.col("piece") >= F.col("known")) & (F.col("piece") <= F.col("known"))
+    edges = parts.join(F.broadcast(keyed), same).select("node", F.struct("rank", "start", "length", "id", "score").alias("e"))
     return edges.groupBy("node").agg(F.sort_array(F.collect_list("e")).alias("edges"))
 
 
@@ -250,19 +278,25 @@ def _bucket_of(units: list[str], n_buckets: int) -> np.ndarray:
     return pd.util.hash_array(np.array(units, object)).astype(np.uint64) % np.uint64(n_buckets)
 
 
-def _own_units(block: B.Block, model: Model, n_buckets: int) -> tuple[list[np.ndarray], list[str], np.ndarray]:
-    """The documents as numbers of units, and the distinct units in that order, which is by bucket."""
+def _own_units(block: B.Block, model: Model, n_buckets: int) -> tuple[list[np.ndarray], list[np.ndarray], list[str], np.ndarray]:
+    """The documents as numbers of units, of each unit the numbers of its parts, and the distinct parts in that order, which is
+    by bucket."""
     number: dict[str, int] = {}
     lines = []
     for text in block.texts:
         units = model.cut(text.decode())
         lines.append(np.fromiter((number.setdefault(unit, len(number)) for unit in units), np.int32, len(units)))
-    distinct = np.array([*number], object)
-    bucket = _bucket_of(list(number), n_buckets).astype(np.int64) if number else np.zeros(0, np.int64)
+    if not number:
+        return lines, [], [], np.zeros(0, np.int64)
+    parts, starts = model.split([*number])
+    known: dict[str, int] = {}
+    own = np.fromiter((known.setdefault(part, len(known)) for part in parts), np.int32, len(parts))
+    distinct = np.array([*known], object)
+    bucket = _bucket_of(list(known), n_buckets).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
-    return [place[line] for line in lines], distinct[order].tolist(), bucket[order]
+    return lines, np.split(place[own], starts[1:-1]), distinct[order].tolist(), bucket[order]
 
 
 def _strings(units: list[str]) -> bytes:
@@ -335,7 +369,7 @@ def encoded(
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for number, payload in zip(frame["block"], frame["payload"]):
-                _, distinct, bucket = _own_units(B.Block(payload), model, n_buckets)
+                _, _, distinct, bucket = _own_units(B.Block(payload), model, n_buckets)
                 rows = [(b, number, _strings(distinct[low:high])) for b, low, high in B.pieces(bucket)]
                 yield pd.DataFrame(rows, columns=["bucket", "block", "message"])
                 B.released()
@@ -366,14 +400,15 @@ def encoded(
         for frame in frames:
             for payload, reply in zip(frame["payload"], frame["reply0"]):
                 block, got = B.Block(payload), B.by_bucket(reply)
-                lines, distinct, bucket = _own_units(block, model, n_buckets)
+                lines, made, distinct, bucket = _own_units(block, model, n_buckets)
                 told: list[bytes] = [b""] * len(distinct)
                 for bucket_number, low, high in B.pieces(bucket):
                     parts = B.unpacked(got[bucket_number])
                     ends = (np.cumsum(parts["sizes"], dtype=np.int64) * 4).tolist()
                     raw = parts["ids"].astype("<u4").tobytes()
                     told[low:high] = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-                out = [b"".join([told[i] for i in line.tolist()]) for line in lines]
+                whole = [b"".join([told[i] for i in own]) for own in made]
+                out = [b"".join([whole[i] for i in line.tolist()]) for line in lines]
                 texts = [np.frombuffer(o, "<u4") for o in out]
                 held = {
                     "doc_id": pd.Series(block.ids, dtype="Int64").mask(block.null),

@@ -104,6 +104,34 @@ def test_pieces_of_strange_texts_equal_library(spark, tmp_path, kind):
     assert all(texts[key] == text for key, text in enumerate(STRANGE) if got[key].round_trip)
 
 
+def test_units_are_cut_where_no_piece_has_both_sides(spark, monkeypatch):
+    """A word's ids are found once, whatever marks follow it; the parts of a unit have its ids."""
+    import sentencepiece
+
+    model = pieces.read_model(PIECES)
+    known, draw = pieces._known(model), random.Random(8)
+    units = list(dict.fromkeys(u for _ in range(300) for u in model.cut("".join(draw.choice("aehnrst éß,.;!7中\n ") for _ in range(30)))))
+    parts, starts = model.split(units)
+    assert len(starts) == len(units) + 1 and len(parts) > len(units) > len(set(parts))
+    for i, unit in enumerate(units):
+        own = parts[starts[i] : starts[i + 1]]
+        assert "".join(own) == unit
+        assert [x for part in own for x in pieces.folded_in_place(part, known, model)] == pieces.folded_in_place(unit, known, model)
+
+    told, write = {}, pieces.written_table
+
+    def spied(df, name):
+        told[name] = write(df, name)
+        return told[name]
+
+    monkeypatch.setattr(pieces, "written_table", spied)
+    words = ["".join(draw.choice("aeinrst") for _ in range(8)) for _ in range(40)]
+    text = " ".join(word + mark for mark in (",,", "?!", ".,") for word in words)
+    rows = pieces.encoded(spark.createDataFrame([(1, text)], "doc_id long, text string"), PIECES, ids=True).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert list(rows[0].ids) == library.encode(text) and told["units"].count() < 100
+
+
 def test_long_units_fold_as_short_ones(spark):
     model = pieces.read_model(PIECES)
     known, draw = pieces._known(model), random.Random(4)
